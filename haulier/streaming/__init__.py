@@ -1,0 +1 @@
+"""No streaming operators: every load here is a batch (a "watermark" is a stored maximum)."""
