@@ -271,20 +271,22 @@ def dataset_layout(spark: SparkSession, dataset: str) -> str | None:
     """``flat``, ``year``, ``month`` or ``day``; None when there is no data. Mixed layouts raise."""
     live = Storage(spark, dataset)
     found = ["flat"] if live.any("*.parquet") else []
-    for granularity in LEVELS:
-        if any(live.any(f"{partition}/*.parquet") for partition in live.glob(_level_glob(granularity))):
-            found.append(granularity)
+    if live.any("year=*"):
+        for granularity in LEVELS:
+            if any(live.any(f"{partition}/*.parquet") for partition in live.glob(_level_glob(granularity))):
+                found.append(granularity)
     if len(found) > 1:
         raise LayoutError(f"{dataset} mixes layouts {found}; Spark would read only part of it")
     return found[0] if found else None
 
 
-def check_layout(spark: SparkSession, dataset: str, partitioning: Partitioning | None) -> None:
-    """An incremental load must write the layout that is already there."""
+def check_layout(spark: SparkSession, dataset: str, partitioning: Partitioning | None) -> str | None:
+    """An incremental load must write the layout that is already there, which is returned."""
     wanted = partitioning.granularity if partitioning else "flat"
     present = dataset_layout(spark, dataset)
     if present not in (None, wanted):
         raise LayoutError(f"{dataset} is laid out by '{present}', the load writes '{wanted}'; run a full load first")
+    return present
 
 
 def check_types(spark: SparkSession, dataset: str, schema: T.StructType, replaced: Collection[str] = ()) -> None:

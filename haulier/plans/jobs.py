@@ -147,12 +147,11 @@ def append_new(
         staging = landing.open_staging(spark, dataset)
         undone = _settle_pending(source, dataset, watermarks)
         if known is not None:
-            if landing.dataset_layout(spark, dataset) is None:
+            if landing.check_layout(spark, dataset, partitioning) is None:
                 raise StateError(
                     f"a watermark ({known.watermark_value}) exists for {task_identifier} but {dataset} has no data; "
                     "rows up to it would be missing for good"
                 )
-            landing.check_layout(spark, dataset, partitioning)
             landing.check_types(spark, dataset, source.schema)
         staged = landing.stage(
             new_rows(source, name, known, upper_bound),

@@ -1,0 +1,222 @@
+"""Appends above a watermark, and what a crash between data and state leaves behind."""
+
+from pathlib import Path
+
+import pytest
+from helpers import content, failing, files, folders, leftovers, values
+from pyspark.sql import functions as F
+
+from haulier import LayoutError, Partitioning, SchemaError, StateError, WatermarkTable, append_new, full_load
+from haulier.operators import landing
+
+COLUMNS = "id INT, d TIMESTAMP_NTZ"
+START = ("1, TIMESTAMP_NTZ'2024-01-01 10:00:00'", "2, TIMESTAMP_NTZ'2024-02-01 10:00:00'")
+MORE = (*START, "3, TIMESTAMP_NTZ'2024-02-02 00:00:00.25'", "4, TIMESTAMP_NTZ'2024-02-01 10:00:00'")
+MONTH = Partitioning("d", "month")
+
+
+@pytest.fixture
+def state(spark, tmp_path):
+    return WatermarkTable(spark, str(tmp_path / "state"))
+
+
+def append(rows, dataset, state, **options):
+    merged = {"task_identifier": "raw.t", "reference_column": "d", "watermarks": state, **options}
+    return append_new(rows, dataset, **merged)
+
+
+def ids(spark, dataset):
+    return sorted(r[0] for r in content(spark, dataset))
+
+
+@pytest.mark.parametrize("partitioning", [None, Partitioning("d", "year"), MONTH, Partitioning("d", "day")])
+def test_first_then_new_rows_only(spark, dataset, state, partitioning):
+    full_load(values(spark, COLUMNS, "99, TIMESTAMP_NTZ'2020-01-01 00:00:00'"), dataset)
+    first = append(values(spark, COLUMNS, *START), dataset, state, partitioning=partitioning)
+    assert (first.rows, first.watermark, first.watermark_type) == (2, "2024-02-01 10:00:00", "timestamp")
+    kept = set(files(dataset))
+    second = append(values(spark, COLUMNS, *MORE), dataset, state, partitioning=partitioning)
+    # row 4 ties with the watermark: never read
+    assert (second.rows, second.watermark) == (1, "2024-02-02 00:00:00.250000")
+    assert ids(spark, dataset) == [1, 2, 3]
+    assert kept < set(files(dataset)) and leftovers(dataset) == []
+    third = append(values(spark, COLUMNS, *MORE), dataset, state, partitioning=partitioning)
+    assert (third.rows, third.watermark) == (0, "2024-02-02 00:00:00.250000")
+    assert ids(spark, dataset) == [1, 2, 3] and leftovers(dataset) == []
+    stored = state.get("raw.t", "d")
+    assert (stored.watermark_value, stored.last_record_count, stored.version) == ("2024-02-02 00:00:00.250000", 1, 2)
+
+
+GOLDEN_START = [
+    (1, "2023-02-01 08:00:00"), (2, "2023-06-11 09:30:00"), (3, "2023-11-20 10:00:00"),
+    (4, "2024-01-15 08:00:00"), (5, "2024-03-03 12:00:00"), (6, "2024-07-07 13:00:00"), (7, "2024-12-24 18:00:00"),
+    (8, "2025-01-05 07:00:00"), (9, "2025-03-09 20:00:00"), (10, "2025-05-10 22:00:00"),
+]
+INSERTED = [(n, f"2025-05-{n} 17:45:00") for n in range(11, 16)]
+UPDATED = {3: "2025-05-16 09:00:00", 5: "2025-05-16 10:00:00", 8: "2025-05-16 11:00:00", 12: "2025-05-16 12:00:00"}
+
+
+@pytest.mark.parametrize("by_year", [False, True])
+def test_golden_scenario(spark, dataset, state, by_year):
+    """Ten rows, five inserted, four updated, one deleted: runs load 10, 5, 4 and 0 rows."""
+    table = dict(GOLDEN_START)
+
+    def run():
+        rows = values(
+            spark,
+            "id INT, name STRING, amount DOUBLE, last_update TIMESTAMP_NTZ",
+            *[f"{n}, 'row {n}', {n}.5D, TIMESTAMP_NTZ'{at}'" for n, at in table.items()],
+        )
+        layout = Partitioning("last_update", "year") if by_year else None
+        result = append(rows.coalesce(1), dataset, state, reference_column="last_update", partitioning=layout)
+        return result.rows, state.get("raw.t", "last_update").watermark_value
+
+    assert run() == (10, "2025-05-10 22:00:00")
+    if by_year:
+        counts = {r.year: r["count"] for r in spark.read.parquet(dataset).groupBy("year").count().collect()}
+        assert counts == {2023: 3, 2024: 4, 2025: 3}
+    table.update(INSERTED)
+    assert run() == (5, "2025-05-15 17:45:00")
+    table.update(UPDATED)
+    assert run() == (4, "2025-05-16 12:00:00")
+    del table[1]
+    assert run() == (0, "2025-05-16 12:00:00")
+    assert spark.read.parquet(dataset).count() == 19 and len(table) == 14
+    assert len(files(dataset)) == (5 if by_year else 3)
+
+
+def test_null_references(spark, dataset, state):
+    """Loaded by a flat first run, never later; all NULL stores no watermark."""
+    empty_refs = values(spark, COLUMNS, "1, NULL", "2, NULL")
+    result = append(empty_refs, dataset, state)
+    assert (result.rows, result.watermark, result.rows_null_reference) == (2, None, 2)
+    assert state.get("raw.t", "d") is None
+    result = append(values(spark, COLUMNS, "1, NULL", *START[1:]), dataset, state)
+    assert (result.rows, result.rows_null_reference) == (2, 1) and ids(spark, dataset) == [1, 2]
+    result = append(values(spark, COLUMNS, "7, NULL", *MORE), dataset, state)
+    assert result.rows == 1 and ids(spark, dataset) == [1, 2, 3]
+
+
+def test_watermark_covers_rows_dropped_for_null_partition(spark, dataset, state):
+    columns, layout = "id INT, d DATE", Partitioning("d", "year")
+    rows = ("1, DATE'2024-01-01'", "9, NULL")
+    result = append(values(spark, columns, *rows), dataset, state, reference_column="id", partitioning=layout)
+    assert (result.rows, result.watermark, result.watermark_type, result.rows_dropped_null) == (1, "9", "int", 1)
+    result = append(
+        values(spark, columns, *rows, "5, DATE'2024-05-05'", "10, NULL"), dataset, state, reference_column="id", partitioning=layout
+    )
+    # 5 is below the watermark; 10 has no partition, so nothing is written and the state stays
+    assert (result.rows, result.rows_dropped_null) == (0, 1)
+    assert state.get("raw.t", "id").watermark_value == "9"
+
+
+def test_nan_is_no_watermark(spark, dataset, state):
+    rows = values(spark, "id INT, x DOUBLE", "1, 1.5D", "2, double('NaN')")
+    result = append(rows, dataset, state, reference_column="x")
+    assert (result.rows, result.watermark, result.watermark_type) == (2, "1.5", "string")
+
+
+def test_empty_first_run_changes_nothing(spark, dataset, state):
+    full_load(values(spark, COLUMNS, *START), dataset)
+    assert append(values(spark, COLUMNS), dataset, state).rows == 0
+    assert ids(spark, dataset) == [1, 2] and state.get("raw.t", "d") is None
+
+
+def test_upper_bound_fixes_the_edge(spark, dataset, state):
+    rows = values(spark, COLUMNS, "0, NULL", *MORE)
+    first = append(rows, dataset, state, upper_bound="2024-02-01 10:00:00")
+    assert (first.rows, first.watermark) == (4, "2024-02-01 10:00:00")
+    assert append(rows, dataset, state, upper_bound="2024-02-03").rows == 1
+
+
+def test_failure_keeps_data_and_state(spark, dataset, state):
+    append(values(spark, COLUMNS, *START), dataset, state)
+    before = files(dataset)
+    with pytest.raises(Exception, match="lost the source"):
+        append(failing(values(spark, COLUMNS, *MORE)), dataset, state)
+    assert files(dataset) == before and leftovers(dataset) == []
+    assert state.get("raw.t", "d").version == 1
+
+
+@pytest.mark.parametrize("partitioning", [None, MONTH])
+def test_state_write_fails_after_the_commit(spark, dataset, state, monkeypatch, partitioning):
+    """The next run takes the files of the unfinished append back and loads the rows again, once."""
+    append(values(spark, COLUMNS, *START), dataset, state, partitioning=partitioning)
+
+    def broken(*_):
+        raise OSError("state store down")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(WatermarkTable, "put", broken)
+        with pytest.raises(OSError):
+            append(values(spark, COLUMNS, *MORE), dataset, state, partitioning=partitioning)
+    assert ids(spark, dataset) == [1, 2, 3]
+    result = append(values(spark, COLUMNS, *MORE), dataset, state, partitioning=partitioning)
+    assert (result.rows, result.files_undone) == (1, 1)
+    assert ids(spark, dataset) == [1, 2, 3] and leftovers(dataset) == []
+
+
+def test_crash_after_the_state_was_stored(spark, dataset, state, monkeypatch):
+    append(values(spark, COLUMNS, *START), dataset, state)
+
+    def broken(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(landing, "close_append", broken)
+        with pytest.raises(KeyboardInterrupt):
+            append(values(spark, COLUMNS, *MORE), dataset, state)
+    result = append(values(spark, COLUMNS, *MORE), dataset, state)
+    assert (result.rows, result.files_undone) == (0, 0)
+    assert ids(spark, dataset) == [1, 2, 3] and leftovers(dataset) == []
+
+
+def test_commit_fails_half_way(spark, dataset, state, monkeypatch):
+    append(values(spark, COLUMNS, *START), dataset, state, partitioning=MONTH)
+    before = files(dataset)
+    more = values(spark, COLUMNS, *MORE, "5, TIMESTAMP_NTZ'2024-05-05 00:00:00'", "6, TIMESTAMP_NTZ'2024-06-05 00:00:00'")
+
+    from haulier.operators.storage import Storage
+
+    def first_only(self, moves):
+        self.rename(*moves[0])
+        raise OSError("file system down")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Storage, "rename_all", first_only)
+        with pytest.raises(OSError):
+            append(more, dataset, state, partitioning=MONTH)
+    assert files(dataset) == before and leftovers(dataset) == []
+    assert append(more, dataset, state, partitioning=MONTH).rows == 3
+    assert ids(spark, dataset) == [1, 2, 3, 5, 6]
+
+
+def test_guards(spark, dataset, state):
+    rows = values(spark, COLUMNS, *START)
+    append(rows, dataset, state)
+    with pytest.raises(LayoutError):
+        append(values(spark, COLUMNS, *MORE), dataset, state, partitioning=MONTH)
+    with pytest.raises(SchemaError, match="id: int -> string"):
+        append(values(spark, "id STRING, d TIMESTAMP_NTZ", *MORE), dataset, state)
+    with pytest.raises(SchemaError):
+        append(rows, dataset, state, reference_column="D")
+    landing.Storage(spark, dataset).delete()
+    with pytest.raises(StateError):
+        append(rows, dataset, state)
+
+
+def test_new_column_may_appear(spark, dataset, state):
+    append(values(spark, COLUMNS, *START), dataset, state)
+    wider = values(spark, COLUMNS, *MORE).withColumn("extra", F.lit("x"))
+    result = append(wider, dataset, state)
+    assert result.rows == 1
+    assert sorted(r.extra or "" for r in spark.read.schema(result.schema).parquet(dataset).collect()) == ["", "", "x"]
+
+
+def test_two_columns_keep_two_watermarks(spark, tmp_path, state):
+    for name in ("a", "b"):
+        append(values(spark, COLUMNS, *START), str(tmp_path / name), state, task_identifier=f"raw.{name}")
+    append(values(spark, COLUMNS, *MORE), str(tmp_path / "a"), state, task_identifier="raw.a")
+    current = {r.task_identifier: r.watermark_value for r in state.current().collect()}
+    assert current == {"raw.a": "2024-02-02 00:00:00.250000", "raw.b": "2024-02-01 10:00:00"}
+    assert Path(tmp_path / "state" / "watermarks").exists() and folders(tmp_path / "b") == ["."]

@@ -1,0 +1,86 @@
+"""The task contract."""
+
+from datetime import datetime
+
+import pytest
+
+from haulier.errors import ContractError
+from haulier.task import LineageColumn, Metadata, task_from_mapping
+
+BASE = {
+    "table": {"schema_name": "public", "name": "posts", "target_schema_name": "raw", "target_name": "so_posts"},
+    "source": {"type": " PostgreSQL ", "runtime": "db", "chunk_size": 50000},
+    "target": {"type": "LOCAL", "runtime": "storage", "chunk_size": 200000},
+    "replication": {"mode": "full_load"},
+}
+PART = {"type": " Month", "reference_column": "d"}
+REPLACE = {"type": "replace", "reference_column": "d", "lookback_periods": 3}
+APPEND = {"type": "append", "reference_column": "d"}
+
+
+def build(**sections):
+    return task_from_mapping({**BASE, **sections})
+
+
+def test_names_and_normalisation():
+    task = build(replication={"mode": "full_load", "partition": PART})
+    assert (task.source.type, task.target.type, task.replication.partition.type) == ("postgresql", "local", "month")
+    assert task.table.qualified_name == "public.posts"
+    assert task.table.target_dataset_path == "raw/so_posts"
+    assert task.table.task_identifier == "raw.so_posts"
+    assert build(table={**BASE["table"], "schema_name": None}).table.qualified_name == "posts"
+
+
+def test_incremental_forms():
+    assert build(replication={"mode": "incremental", "strategy": REPLACE, "partition": PART}).replication.strategy.lookback_periods == 3
+    assert build(replication={"mode": "incremental", "strategy": {**APPEND, "aggregation": "max"}}).replication.partition is None
+
+
+@pytest.mark.parametrize(
+    "sections",
+    [
+        {"source": {**BASE["source"], "type": "db2"}},
+        {"source": {**BASE["source"], "chunk_size": 0}},
+        {"source": {**BASE["source"], "runtime": " "}},
+        {"target": {**BASE["target"], "type": "ftp"}},
+        {"target": {**BASE["target"], "chunk_size": -1}},
+        {"table": {"name": "x"}},
+        {"table": None},
+        {"replication": {"mode": "cdc"}},
+        {"replication": {"mode": "full_load", "strategy": APPEND}},
+        {"replication": {"mode": "full_load", "partition": {"type": "week", "reference_column": "d"}}},
+        {"replication": {"mode": "full_load", "partition": {"type": "year"}}},
+        {"replication": {"mode": "full_load", "partition": {"type": "year", "reference_column": " "}}},
+        {"replication": {"mode": "incremental"}},
+        {"replication": {"mode": "incremental", "strategy": REPLACE}},
+        {"replication": {"mode": "incremental", "strategy": {**REPLACE, "lookback_periods": None}, "partition": PART}},
+        {"replication": {"mode": "incremental", "strategy": {**REPLACE, "lookback_periods": 0}, "partition": PART}},
+        {"replication": {"mode": "incremental", "strategy": {**APPEND, "lookback_periods": 2}}},
+        {"replication": {"mode": "incremental", "strategy": {**APPEND, "type": "merge"}}},
+        {"replication": {"mode": "incremental", "strategy": {**APPEND, "reference_column": ""}}},
+        # only the maximum is ever taken
+        {"replication": {"mode": "incremental", "strategy": {**APPEND, "aggregation": "MIN"}}},
+        # replace partitions by strategy.reference_column; another partition column would be ignored
+        {"replication": {"mode": "incremental", "strategy": REPLACE, "partition": {**PART, "reference_column": "e"}}},
+    ],
+)
+def test_refused(sections):
+    with pytest.raises(ContractError):
+        build(**sections)
+
+
+def test_lineage_values():
+    now = datetime(2026, 8, 22, 0, 41, 33, 999999)
+    assert list(build().metadata.lineage("public.posts", now).items()) == [
+        ("$data_ingestao", "2026-08-22T00:41:33"),
+        ("$banco_origem", "public.posts"),
+    ]
+    assert Metadata(enabled=False).lineage("x", now) == {}
+    off = {"columns": {"data_ingestao": {"enabled": False}, "banco_origem": {"column_name": " src "}}}
+    assert build(metadata=off).metadata.lineage("x", now) == {"src": "x"}
+    both_off = Metadata(ingestion=LineageColumn(enabled=False), origin=LineageColumn(enabled=False))
+    assert both_off.lineage("x", now) == {}
+    with pytest.raises(ContractError):
+        Metadata(ingestion=LineageColumn(column_name="  ")).lineage("x", now)
+    with pytest.raises(ContractError):
+        Metadata(ingestion=LineageColumn(column_name="A"), origin=LineageColumn(column_name="a")).lineage("x", now)
