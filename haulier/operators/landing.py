@@ -90,17 +90,20 @@ def stage(
     track: str | None = None,
     max_rows_per_file: int | None = None,
     clustered: bool = False,
+    gather: bool = False,
 ) -> Staged:
     """Write all rows with one job and measure on the way.
 
     The maximum of ``track`` covers every row read, also rows that have no partition. Partitioned
     rows are shuffled by period so that a period gets few, large files; the rebalance lets AQE
     split a hot period over many tasks and merge thin ones. ``clustered=True`` skips the shuffle
-    for a source whose files already follow the partition column. Constants and path columns are
-    added behind the shuffle.
+    for a source whose files already follow the partition column. Flat rows are written by the
+    tasks that read them; ``gather=True`` brings few rows out of many tasks together first.
+    Constants and path columns are added behind the shuffle.
     """
     measures = read_measures(source, partitioning, track)
-    rows, seen, written, schema = staging_plan(source, partitioning, lineage or {}, measures, clustered)
+    shuffle = (partitioning is not None or gather) and not clustered
+    rows, seen, written, schema = staging_plan(source, partitioning, lineage or {}, measures, shuffle)
     writer = rows.write.mode("errorifexists")
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
@@ -109,7 +112,7 @@ def stage(
     writer.parquet(staging)
 
     after = written.get
-    if measures and partitioning and not after["rows"]:
+    if measures and shuffle and not after["rows"]:
         # AQE drops a shuffle stage without output, and what was observed in it: count again,
         # over the measured columns only.
         before = source.agg(*measures).first().asDict()
@@ -147,7 +150,7 @@ def staging_plan(
     partitioning: Partitioning | None,
     lineage: Mapping[str, str],
     measures: list[Column],
-    clustered: bool,
+    shuffle: bool,
 ) -> tuple[DataFrame, Observation | None, Observation, T.StructType]:
     """The frame that is written, its observations, and the schema the dataset reads back with."""
     check_lineage(source, lineage)
@@ -156,19 +159,21 @@ def staging_plan(
     rows = source.observe(seen, *measures) if seen else source
     if partitioning:
         rows = with_period(drop_null_periods(rows, partitioning), day, partitioning)
-        if not clustered:
-            rows = spread(rows)
-        rows = with_path_columns(add_lineage(rows, lineage), partitioning)
-    else:
-        rows = add_lineage(rows, lineage)
+    if shuffle:
+        rows = spread(rows, partitioning)
+    rows = add_lineage(rows, lineage)
+    if partitioning:
+        rows = with_path_columns(rows, partitioning)
 
     schema = landed_schema(source.schema, lineage, partitioning)
     written = Observation()
     return rows.observe(written, F.count(F.lit(1)).alias("rows")), seen, written, schema
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Shuffle by period without tying a period to one task."""
+def spread(rows: DataFrame, partitioning: Partitioning | None) -> DataFrame:
+    """Shuffle into well-sized tasks: by period, without tying a period to one task, or evenly."""
+    if partitioning is None:
+        return rows.hint("rebalance")
     spark = rows.sparkSession
     if spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
         return rows.hint("rebalance", PERIOD)
@@ -301,7 +306,7 @@ def check_types(spark: SparkSession, dataset: str, schema: T.StructType, replace
     changed = [
         f"{f.name}: {present[f.name].simpleString()} -> {f.dataType.simpleString()}"
         for f in schema.fields
-        if f.name in present and present[f.name] != f.dataType
+        if f.name in present and present[f.name].simpleString() != f.dataType.simpleString()
     ]
     if changed:
         raise SchemaError(f"column types changed since {dataset} was landed: {changed}")

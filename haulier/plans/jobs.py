@@ -161,6 +161,8 @@ def append_new(
             track=name,
             max_rows_per_file=max_rows_per_file,
             clustered=clustered,
+            # A few new rows spread over every task of a large scan must not become as many files.
+            gather=known is not None,
         )
         if staged.rows == 0:
             landing.discard_staging(spark, dataset)

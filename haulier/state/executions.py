@@ -1,7 +1,8 @@
 """Execution records: one per run, kept as an append-only table of events.
 
 A run appends a ``running`` row, perhaps progress rows, and a closing row; the history shows the
-last event of each id. Failing to record never fails a load.
+last event of each id. Every event has a folder of its own, grouped by day, so that runs of
+different tables can record at the same time. Failing to record never fails a load.
 """
 
 from __future__ import annotations
@@ -62,13 +63,14 @@ class ExecutionTable:
         row = self._spark.range(0, 1, 1, 1).select(
             *[F.lit(event.get(f.name)).cast(f.dataType).alias(f.name) for f in _EVENTS.fields]
         )
-        row.write.mode("append").parquet(self._root)
+        day = event["started_at"].date().isoformat()
+        row.write.mode("errorifexists").parquet(f"{self._root}/{day}/{event['id']}-{event[_SEQUENCE]}")
 
     def history(self) -> DataFrame:
         """One row per run: its last event."""
         if not Storage(self._spark, self._root).exists():
             return self._spark.createDataFrame([], HISTORY)
-        events = self._spark.read.schema(_EVENTS).parquet(self._root)
+        events = self._spark.read.schema(_EVENTS).option("recursiveFileLookup", "true").parquet(self._root)
         last = F.max_by(F.struct(*[c for c in HISTORY.names if c != "id"]), _SEQUENCE).alias("last")
         return events.groupBy("id").agg(last).select("id", "last.*")
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import LoadError
 from ..operators.landing import delete_partition, read_landed
 from ..operators.shape import Partitioning
 from ..operators.summary import file_counts, partition_counts
@@ -125,10 +125,10 @@ def full_load_failure_keeps_data(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
     dataset = f"{work_folder(spark, 'failure')}/raw/orders"
     first = full_load(orders, dataset)
-    clash = orders.withColumn("$banco_origem", F.lit("already here"))
+    broken = F.when(F.col("o_orderpriority") == "5-LOW", F.raise_error(F.lit("source lost"))).otherwise("")
     try:
-        full_load(clash, dataset, lineage=Metadata().lineage("tpch.orders", NOW))
-    except LoadError:
+        full_load(orders.withColumn("o_orderpriority", broken), dataset)
+    except PySparkException:
         pass
     return landed(spark, first)
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.periods import path_text, period_start_column, shift_periods_column
+from ..sources.jdbc import period_predicates
 from ..sources.tables import column_catalog, lower_bound
 from ..sources.types import normalize_types
 from .registry import table, workload
@@ -21,6 +24,21 @@ def lower_bound_exclusive(spark: SparkSession, folder: str) -> DataFrame:
     return lower_bound(table(spark, folder, "events"), "ts", "2024-01-15T12:30:00.500000", inclusive=False)
 
 
+@workload(
+    """SELECT CASE WHEN l_shipdate < TIMESTAMP '1996-01-01' OR l_shipdate IS NULL THEN 'before'
+            WHEN l_shipdate >= TIMESTAMP '2000-01-01' THEN 'after'
+            ELSE strftime(l_shipdate, '%Y') END AS split, count(*) AS rows
+    FROM lineitem GROUP BY 1"""
+)
+def split_scan_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The predicates of a parallel read by year: each row falls into exactly one of them."""
+    predicates = period_predicates("l_shipdate", "year", date(1996, 3, 1), date(1999, 3, 1), "spark")
+    names = ["1996", "1997", "1998", "1999", "before", "after"]
+    hits = F.array(*[F.when(F.expr(p), F.lit(n)) for n, p in zip(names, predicates)])
+    lineitem = table(spark, folder, "lineitem").select(F.explode(F.array_compact(hits)).alias("split"))
+    return lineitem.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @workload(
     """SELECT l_orderkey, CAST(l_linenumber AS SMALLINT) AS line_small, l_linenumber AS line_int,
         CAST(l_quantity AS DOUBLE) AS quantity, CAST(l_discount AS FLOAT) AS discount_real,
