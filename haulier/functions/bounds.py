@@ -5,10 +5,12 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta, timezone
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..errors import SchemaError
+
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
@@ -34,6 +36,16 @@ def _with_offset(text: str) -> str:
     return parsed.isoformat(" ") if parsed.tzinfo else parsed.isoformat(" ") + "+00:00"
 
 
+def check_bound(spark: SparkSession, value: Any, dtype: T.DataType) -> None:
+    """Refuse a bound that is not a value of the column type.
+
+    With ANSI mode off such text would become NULL, and the load would quietly find nothing.
+    Constant folding answers this on the driver, without a job.
+    """
+    if value is None or spark.sql("SELECT 1").select(bound_literal(value, dtype).isNull()).first()[0]:
+        raise SchemaError(f"bound '{value}' is not a {dtype.simpleString()}")
+
+
 def after(col: Column, value: Any, dtype: T.DataType) -> Column:
     """Exclusive lower bound."""
     return col > bound_literal(value, dtype)

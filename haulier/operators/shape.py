@@ -25,6 +25,10 @@ class Partitioning:
     column: str
     granularity: str
 
+    def __post_init__(self) -> None:
+        levels(self.granularity)
+        object.__setattr__(self, "column", (self.column or "").strip())
+
     @property
     def levels(self) -> tuple[str, ...]:
         return levels(self.granularity)

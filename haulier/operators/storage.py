@@ -71,6 +71,7 @@ class Storage:
             raise CommitError(f"could not delete {path.toString()}")
 
     def delete_on_exit(self) -> None:
+        """Mark the folder, which must exist, for removal when the driver's JVM ends."""
         self._fs.deleteOnExit(self._root)
 
     def rename(self, source: str, destination: str) -> None:

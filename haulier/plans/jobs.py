@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..errors import StateError
-from ..functions.bounds import after, bound_literal, watermark_type
+from ..functions.bounds import bound_literal, check_bound, watermark_type
 from ..functions.names import column, require_column
 from ..functions.periods import window_bounds, window_partitions
 from ..operators import landing
 from ..operators.landing import Staged
 from ..operators.shape import Partitioning, keep_window
+from ..sources.tables import lower_bound
 from ..state.watermarks import Watermark, WatermarkTable
 
 
@@ -206,8 +207,9 @@ def new_rows(source: DataFrame, name: str, known: Watermark | None, upper_bound:
     dtype = source.schema[name].dataType
     rows = source
     if known is not None:
-        rows = rows.filter(after(column(name), known.watermark_value, dtype))
+        rows = lower_bound(rows, name, known.watermark_value, inclusive=False)
     if upper_bound is not None:
+        check_bound(source.sparkSession, upper_bound, dtype)
         below = column(name) <= bound_literal(upper_bound, dtype)
         rows = rows.filter(below if known is not None else below | column(name).isNull())
     return rows

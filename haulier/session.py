@@ -33,5 +33,7 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder below :func:`scratch_root`, removed when the application ends."""
     path = f"{scratch_root(spark)}/haulier/{name}-{uuid.uuid4().hex[:12]}"
-    Storage(spark, path).delete_on_exit()
+    storage = Storage(spark, path)
+    storage.make_folder()
+    storage.delete_on_exit()
     return path

@@ -174,7 +174,7 @@ def read_jdbc(
 
 def maximum_query(source_type: str, sql: str, reference_column: str) -> str:
     name = quote_ident(reference_column, source_type)
-    return f"SELECT MAX({name}) AS top FROM {subquery(sql)}"
+    return f"SELECT MAX({name}) AS highest_value FROM {subquery(sql)}"
 
 
 def current_maximum(
@@ -187,4 +187,4 @@ def current_maximum(
         .option("dbtable", subquery(maximum_query(source_type, sql, reference_column)))
         .load()
     )
-    return found.first()["top"]
+    return found.first()["highest_value"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import ContractError, SchemaError
-from ..functions.bounds import after, from_start
+from ..functions.bounds import after, check_bound, from_start
 from ..functions.names import column, require_column
 
 
@@ -47,8 +47,9 @@ def resolve_query(spark: SparkSession, queries: Mapping[str, str] | str, query_p
 def lower_bound(df: DataFrame, reference_column: str, value: object, inclusive: bool = True) -> DataFrame:
     """Rows at or above (``inclusive``) or strictly above a bound. NULLs never qualify."""
     name = require_column(df.columns, reference_column, "reference_column")
-    keep = from_start if inclusive else after
-    return df.filter(keep(column(name), value, df.schema[name].dataType))
+    dtype = df.schema[name].dataType
+    check_bound(df.sparkSession, value, dtype)
+    return df.filter((from_start if inclusive else after)(column(name), value, dtype))
 
 
 def column_catalog(df: DataFrame) -> DataFrame:

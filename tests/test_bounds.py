@@ -3,6 +3,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,10 +89,16 @@ def test_iso_forms_reach_the_scan(spark, text):
     assert frame.count() == orders.filter("o_orderdate >= TIMESTAMP_NTZ'2000-06-30'").count()
 
 
-def test_bad_bound_text_fails(spark):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_bound_text_fails(spark, ansi):
     frame = spark.sql("SELECT DATE'2024-01-01' AS c")
-    with pytest.raises(Exception):
-        lower_bound(frame, "c", "30/06/2000").count()
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for value in ("30/06/2000", "None", None):
+            with pytest.raises((SchemaError, PySparkException)):
+                lower_bound(frame, "c", value)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
 
 
 def test_names():

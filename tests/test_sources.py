@@ -6,8 +6,9 @@ import pytest
 from helpers import content, values
 from pyspark.sql import functions as F
 
-from haulier import SchemaError, full_load
+from haulier import SchemaError, full_load, task_from_mapping
 from haulier.errors import ContractError
+from haulier.plans.replicate import open_source
 from haulier.sources import jdbc
 from haulier.sources.tables import column_catalog, lower_bound, read_query, single_statement
 from haulier.sources.types import normalize_types
@@ -107,7 +108,7 @@ def test_range_split():
 
 
 def test_maximum_query():
-    assert jdbc.maximum_query("sqlserver", "SELECT * FROM t;", "At") == "SELECT MAX([At]) AS top FROM (SELECT * FROM t) AS src"
+    assert jdbc.maximum_query("sqlserver", "SELECT * FROM t;", "At") == "SELECT MAX([At]) AS highest_value FROM (SELECT * FROM t) AS src"
 
 
 @pytest.mark.parametrize("granularity", ["year", "month", "day"])
@@ -124,3 +125,83 @@ def test_period_predicates_cover_every_row_once(spark, granularity):
         total = total + hit
     assert rows.filter(total != 1).count() == 0
     assert "'20231201'" in jdbc.period_predicates("d", "month", date(2023, 12, 15), date(2024, 2, 10), "sqlserver")[0]
+
+
+class RecordingSession:
+    """Stands in for the session: records what the JDBC reader is asked and answers with given frames."""
+
+    def __init__(self, answers):
+        self.answers, self.asked = answers, []
+        self.read = self
+
+    def format(self, name):
+        assert name == "jdbc"
+        self._options = {}
+        return self
+
+    def options(self, **options):
+        self._options.update(options)
+        return self
+
+    def option(self, key, value):
+        self._options[key] = value
+        return self
+
+    def load(self):
+        return self._answer(self._options)
+
+    def jdbc(self, url, table, predicates, properties):
+        return self._answer({"url": url, "dbtable": table, "predicates": predicates, **properties})
+
+    def _answer(self, options):
+        self.asked.append(options)
+        return next(frame for key, frame in self.answers if key in options["dbtable"])
+
+
+@pytest.fixture
+def database(spark):
+    catalog = spark.sql(
+        """SELECT * FROM VALUES ('at', 'time without time zone', 'NO', 2), ('n', 'numeric', 'YES', 1)
+        AS t(name, data_type, nullable, ordinal_position)"""
+    )
+    rows = spark.sql("SELECT CAST(1.5 AS DECIMAL(9,2)) AS n, TIMESTAMP_NTZ'1970-01-01 08:00:00' AS at")
+    top = spark.sql("SELECT 7 AS highest_value")
+    return RecordingSession([("information_schema", catalog), ("MAX(", top), ("", rows)])
+
+
+def test_table_read(database):
+    frame = jdbc.read_jdbc(database, {"url": "jdbc:x"}, "postgresql", "public", "t", chunk_size=50000)
+    assert tuple(frame.first()) == (1.5, "08:00:00")
+    asked = database.asked[-1]
+    # columns in ordinal order, one query, fetched in chunks
+    assert asked["dbtable"] == '(SELECT "n", "at" FROM "public"."t") AS src'
+    assert asked["fetchsize"] == "50000" and "numPartitions" not in asked
+
+
+def test_query_and_split_reads(database):
+    connection = {"url": "jdbc:x", "user": "u"}
+    jdbc.read_jdbc(database, connection, "sqlserver", None, "t", query="SELECT 1;", split=jdbc.RangeSplit("n", 0, 9, 3))
+    assert database.asked[-1]["dbtable"] == "(SELECT 1) AS src" and database.asked[-1]["numPartitions"] == "3"
+    jdbc.read_jdbc(database, connection, "postgresql", None, "t", query="SELECT 1", split=["n < 5", "n >= 5 OR n IS NULL"])
+    assert database.asked[-1]["predicates"] == ["n < 5", "n >= 5 OR n IS NULL"] and database.asked[-1]["url"] == "jdbc:x"
+    assert len(database.asked) == 2
+    with pytest.raises(SchemaError):
+        jdbc.read_jdbc(database, connection, "postgresql", None, "t")
+
+
+def test_split_append_fixes_its_upper_edge(database):
+    task = task_from_mapping(
+        {
+            "table": {"schema_name": "public", "name": "t", "target_schema_name": "raw", "target_name": "t"},
+            "source": {"type": "postgresql", "runtime": "db", "chunk_size": 10},
+            "target": {"type": "local", "runtime": "out"},
+            "replication": {"mode": "incremental", "strategy": {"type": "append", "reference_column": "n"}},
+        }
+    )
+    settings = {"url": "jdbc:x", "split": jdbc.RangeSplit("n", 0, 9, 3), "numeric": "decimal"}
+    frame, upper = open_source(database, task, {"db": settings})
+    assert upper == 7 and frame.schema["n"].dataType.simpleString() == "decimal(9,2)"
+    assert database.asked[-1]["dbtable"] == '(SELECT MAX("n") AS highest_value FROM (SELECT "n", "at" FROM "public"."t") AS src) AS src'
+    assert "split" not in database.asked[-1]
+    frame, upper = open_source(database, task, {"db": {"url": "jdbc:x"}})
+    assert upper is None
