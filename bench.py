@@ -133,7 +133,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "rows_per_sec": rates,
-                "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
+                "sf": float(os.path.basename(FOLDER.rstrip("/")).removeprefix("sf")),
             }
         )
     )

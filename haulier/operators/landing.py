@@ -226,17 +226,25 @@ def append_tag(task_id: str, reference_column: str, version: int) -> str:
     return f"part-{digest}-v{version:08d}"
 
 
-def commit_append(spark: SparkSession, dataset: str, task_id: str, reference_column: str, version: int) -> None:
+def commit_append(
+    spark: SparkSession,
+    dataset: str,
+    partitioning: Partitioning | None,
+    task_id: str,
+    reference_column: str,
+    version: int,
+) -> None:
     """Move the staged files in. ``version`` is the watermark version the load will store."""
     live = Storage(spark, dataset)
     tag = append_tag(task_id, reference_column, version)
     note = {"tag": tag, "task_identifier": task_id, "reference_column": reference_column, "version": version}
     live.write_text(PENDING, json.dumps(note))
+    folders = f"{STAGING}/{_level_glob(partitioning.granularity)}" if partitioning else STAGING
     moves = []
-    for path in live.files(STAGING):
-        folder, _, name = path.rpartition("/")
+    for path in live.glob(f"{folders}/part-*"):
+        folder, _, name = path.removeprefix(f"{STAGING}/").rpartition("/")
         landed = f"{tag}-{name.removeprefix('part-')}"
-        moves.append((f"{STAGING}/{path}", f"{folder}/{landed}" if folder else landed))
+        moves.append((path, f"{folder}/{landed}" if folder else landed))
     live.rename_all(moves)
     live.delete(STAGING)
 

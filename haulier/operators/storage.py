@@ -35,8 +35,10 @@ class Storage:
     def glob(self, pattern: str) -> list[str]:
         """Relative paths that match; the matching itself runs in the JVM."""
         found = self._fs.globStatus(self._path(pattern))
+        if not found:
+            return []
         cut = len(self._base) + 1
-        return sorted(s.getPath().toString()[cut:] for s in found or [])
+        return sorted(path.toString()[cut:] for path in self._hadoop.FileUtil.stat2Paths(found))
 
     def any(self, pattern: str) -> bool:
         return len(self._fs.globStatus(self._path(pattern)) or []) > 0
@@ -50,18 +52,6 @@ class Storage:
         found = self._fs.getContentSummary(self._path(relative))
         return found.getFileCount(), found.getLength()
 
-    def files(self, relative: str = "") -> list[str]:
-        """Data files below a folder, relative to that folder."""
-        start = self._path(relative)
-        cut = len(self._fs.makeQualified(start).toString()) + 1
-        walk = self._fs.listFiles(start, True)
-        found = []
-        while walk.hasNext():
-            path = walk.next().getPath()
-            if not path.getName().startswith(("_", ".")):
-                found.append(path.toString()[cut:])
-        return sorted(found)
-
     def make_folder(self, relative: str = "") -> None:
         self._fs.mkdirs(self._path(relative))
 
@@ -83,8 +73,6 @@ class Storage:
 
     def rename_all(self, moves: list[tuple[str, str]]) -> None:
         """Independent renames, several at a time."""
-        for folder in {d.rpartition("/")[0] for _, d in moves}:
-            self.make_folder(folder)
         with ThreadPoolExecutor(_RENAME_THREADS) as pool:
             list(pool.map(lambda move: self.rename(*move), moves))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
 from datetime import date, datetime, timezone
 from typing import Any
@@ -129,6 +129,7 @@ def append_new(
     watermarks: WatermarkTable,
     partitioning: Partitioning | None = None,
     upper_bound: Any = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
     lineage: Mapping[str, str] | None = None,
     max_rows_per_file: int | None = None,
     clustered: bool = False,
@@ -139,10 +140,11 @@ def append_new(
     watermark; if it dies in between, the next run removes those files and loads them again.
     Rows at or below the watermark, and NULLs after the first run, are never read.
     ``upper_bound`` fixes the upper edge for sources whose parallel reads are no single snapshot.
+    ``prepare`` shapes the rows behind the bounds (type casts, say), so that the bounds are compared
+    with the source's own column and stay in reach of the scan.
     """
     spark = source.sparkSession
     name = require_column(source.columns, reference_column, "strategy.reference_column")
-    dtype = source.schema[name].dataType
     known = watermarks.get(task_identifier, name)
     try:
         staging = landing.open_staging(spark, dataset)
@@ -153,9 +155,13 @@ def append_new(
                     f"a watermark ({known.watermark_value}) exists for {task_identifier} but {dataset} has no data; "
                     "rows up to it would be missing for good"
                 )
-            landing.check_types(spark, dataset, source.schema)
+        rows = new_rows(source, name, known, upper_bound)
+        if prepare is not None:
+            rows = prepare(rows)
+        if known is not None:
+            landing.check_types(spark, dataset, rows.schema)
         staged = landing.stage(
-            new_rows(source, name, known, upper_bound),
+            rows,
             staging,
             partitioning=partitioning,
             lineage=lineage,
@@ -182,14 +188,14 @@ def append_new(
             landing.commit_swap(spark, dataset)
         else:
             version = watermarks.next_version(task_identifier, name)
-            landing.commit_append(spark, dataset, task_identifier, name, version)
+            landing.commit_append(spark, dataset, partitioning, task_identifier, name, version)
     except BaseException:
         landing.discard_staging(spark, dataset)
         # A commit that failed half-way has stored no watermark yet: take its files back now.
         _settle_pending(source, dataset, watermarks)
         raise
 
-    label = watermark_type(dtype)
+    label = watermark_type(rows.schema[name].dataType)
     if staged.top is not None:
         watermarks.put(task_identifier, name, staged.top, label, staged.rows)
     if known is not None:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from datetime import date, datetime
 from typing import Any
 
@@ -62,9 +63,7 @@ def _run(
     if "path" not in target:
         raise ContractError(f"target runtime '{task.target.runtime}' needs a path")
     dataset = f"{str(target['path']).rstrip('/')}/{task.table.target_dataset_path}"
-    upper_bound = None
-    if source is None:
-        source, upper_bound = open_source(spark, task, connections, queries)
+    opened = Opened(source) if source is not None else open_source(spark, task, connections, queries)
 
     strategy, partition = task.replication.strategy, task.replication.partition
     options: dict[str, Any] = {
@@ -74,27 +73,39 @@ def _run(
         "clustered": clustered,
     }
     if strategy is None:
-        return full_load(source, dataset, **options)
+        return full_load(opened.shaped(), dataset, **options)
     if strategy.type == "replace":
-        return replace_window(source, dataset, lookback_periods=strategy.lookback_periods, as_of=as_of, **options)
+        return replace_window(opened.shaped(), dataset, lookback_periods=strategy.lookback_periods, as_of=as_of, **options)
     return append_new(
-        source,
+        opened.rows,
         dataset,
         task_identifier=task.table.task_identifier,
         reference_column=strategy.reference_column,
         watermarks=WatermarkTable(spark, state_root),
-        upper_bound=upper_bound,
+        upper_bound=opened.upper_bound,
+        prepare=opened.prepare,
         **options,
     )
 
 
+@dataclass(frozen=True)
+class Opened:
+    """A source: its rows, the shaping to landing types, and the fixed upper edge of a split append."""
+
+    rows: DataFrame
+    prepare: Callable[[DataFrame], DataFrame] | None = None
+    upper_bound: Any = None
+
+    def shaped(self) -> DataFrame:
+        return self.prepare(self.rows) if self.prepare else self.rows
+
+
 def open_source(
     spark: SparkSession,
     task: Task,
     connections: Connections,
     queries: Mapping[str, str] | str | None = None,
-) -> tuple[DataFrame, Any]:
-    """The source frame, and the fixed upper edge of a split JDBC append (else None)."""
+) -> Opened:
     settings = dict(_settings(connections, task.source.runtime))
     query = None
     if task.source.query_path is not None:
@@ -104,19 +115,17 @@ def open_source(
     if task.source.type not in ("parquet", "table"):
         raise ContractError(f"source type '{task.source.type}' cannot be read yet")
     if query is not None:
-        return tables.read_query(spark, query), None
+        return Opened(tables.read_query(spark, query))
     if task.source.type == "table":
-        return spark.table(task.table.qualified_name), None
-    return tables.read_parquet(spark, f"{str(settings['path']).rstrip('/')}/{task.table.name}.parquet"), None
+        return Opened(spark.table(task.table.qualified_name))
+    return Opened(tables.read_parquet(spark, f"{str(settings['path']).rstrip('/')}/{task.table.name}.parquet"))
 
 
-def _open_jdbc(
-    spark: SparkSession, task: Task, settings: dict[str, Any], query: str | None
-) -> tuple[DataFrame, Any]:
+def _open_jdbc(spark: SparkSession, task: Task, settings: dict[str, Any], query: str | None) -> Opened:
     split: jdbc.RangeSplit | Sequence[str] | None = settings.pop("split", None)
     numeric = settings.pop("numeric", "double")
     table, kind = task.table, task.source.type
-    rows = jdbc.read_jdbc(
+    rows, prepare = jdbc.scan_jdbc(
         spark,
         settings,
         kind,
@@ -129,9 +138,9 @@ def _open_jdbc(
     )
     strategy = task.replication.strategy
     if split is None or strategy is None or strategy.type != "append":
-        return rows, None
+        return Opened(rows, prepare)
     text = query or jdbc.default_query(kind, table.schema_name, table.name, rows.columns)
-    return rows, jdbc.current_maximum(spark, settings, kind, text, strategy.reference_column)
+    return Opened(rows, prepare, jdbc.current_maximum(spark, settings, kind, text, strategy.reference_column))
 
 
 def _settings(connections: Connections, runtime: str) -> Mapping[str, Any]:

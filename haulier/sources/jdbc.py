@@ -8,7 +8,7 @@ fixes its upper edge first (:func:`current_maximum`).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -153,6 +153,27 @@ def read_jdbc(
 
     ``split`` is a :class:`RangeSplit` or a list of predicates; without it one task reads all.
     """
+    rows, landing_types = scan_jdbc(
+        spark, connection, source_type, schema_name, table_name, query, chunk_size, split, numeric
+    )
+    return landing_types(rows)
+
+
+def scan_jdbc(
+    spark: SparkSession,
+    connection: Mapping[str, str],
+    source_type: str,
+    schema_name: str | None,
+    table_name: str,
+    query: str | None = None,
+    chunk_size: int | None = None,
+    split: RangeSplit | Sequence[str] | None = None,
+    numeric: str = "double",
+) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The rows as JDBC delivers them, and the projection to landing types.
+
+    A filter between the two compares the source's own column, so the database can run it.
+    """
     time_columns: list[str] = []
     if query is None:
         if not schema_name:
@@ -169,7 +190,7 @@ def read_jdbc(
     else:
         url = options.pop("url")
         rows = spark.read.jdbc(url, subquery(query), predicates=list(split), properties=options)
-    return normalize_types(rows, source_type, numeric, time_columns)
+    return rows, lambda df: normalize_types(df, source_type, numeric, time_columns)
 
 
 def maximum_query(source_type: str, sql: str, reference_column: str) -> str:

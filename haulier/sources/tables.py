@@ -16,9 +16,12 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_query(spark: SparkSession, sql: str) -> DataFrame:
-    """A user query over views and catalog tables, planned by Catalyst as a whole."""
-    return spark.sql(single_statement(sql))
+def read_query(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
+    """A user query over views and catalog tables, planned by Catalyst as a whole.
+
+    ``frames`` are named in the text as ``{name}``.
+    """
+    return spark.sql(single_statement(sql), **frames)
 
 
 def single_statement(sql: str) -> str:

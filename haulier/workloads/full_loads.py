@@ -21,7 +21,7 @@ ROWS_PER_FILE = 1000
 
 CUSTOMER_ORDERS = """
 SELECT o.o_orderkey, o.o_orderdate, o.o_totalprice, c.c_name, c.c_mktsegment
-FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey
 WHERE o.o_orderstatus <> 'P'
 """
 
@@ -133,13 +133,14 @@ def full_load_failure_keeps_data(spark: SparkSession, folder: str) -> DataFrame:
     return landed(spark, first)
 
 
-@workload(f"""SELECT q.*, '2024-02-01T00:00:00' AS "$data_ingestao", 'tpch.customer_orders' AS "$banco_origem"
-    FROM ({CUSTOMER_ORDERS}) q""")
+@workload(
+    f"""SELECT q.*, '2024-02-01T00:00:00' AS "$data_ingestao", 'tpch.customer_orders' AS "$banco_origem"
+    FROM ({CUSTOMER_ORDERS.format(orders="orders", customer="customer")}) q"""
+)
 def full_load_query(spark: SparkSession, folder: str) -> DataFrame:
     """A user query with a join; Catalyst plans it together with the load."""
-    for name in ("orders", "customer"):
-        table(spark, folder, name).createOrReplaceTempView(name)
-    source = read_query(spark, CUSTOMER_ORDERS)
+    frames = {name: table(spark, folder, name) for name in ("orders", "customer")}
+    source = read_query(spark, CUSTOMER_ORDERS, **frames)
     dataset = f"{work_folder(spark, 'query')}/raw/customer_orders"
     return landed(spark, full_load(source, dataset, lineage=Metadata().lineage("tpch.customer_orders", NOW)))
 

@@ -220,3 +220,14 @@ def test_two_columns_keep_two_watermarks(spark, tmp_path, state):
     current = {r.task_identifier: r.watermark_value for r in state.current().collect()}
     assert current == {"raw.a": "2024-02-02 00:00:00.250000", "raw.b": "2024-02-01 10:00:00"}
     assert Path(tmp_path / "state" / "watermarks").exists() and folders(tmp_path / "b") == ["."]
+
+
+def test_prepare_runs_behind_the_bound(spark, dataset, state):
+    """A decimal reference column lands as double; its bound is still compared as a decimal."""
+    cast = lambda df: df.withColumn("x", F.col("x").cast("double"))
+    rows = values(spark, "id INT, x FLOAT", "1, 1.25", "2, 2.5").withColumn("x", F.col("x").cast("decimal(9,2)"))
+    first = append(rows, dataset, state, reference_column="x", prepare=cast)
+    assert (first.watermark, first.watermark_type, first.schema["x"].dataType.simpleString()) == ("2.5", "string", "double")
+    more = rows.unionByName(rows.withColumn("x", (F.col("x") + 2).cast("decimal(9,2)")))
+    second = append(more, dataset, state, reference_column="x", prepare=cast)
+    assert (second.rows, second.watermark) == (2, "4.5")

@@ -199,9 +199,12 @@ def test_split_append_fixes_its_upper_edge(database):
         }
     )
     settings = {"url": "jdbc:x", "split": jdbc.RangeSplit("n", 0, 9, 3), "numeric": "decimal"}
-    frame, upper = open_source(database, task, {"db": settings})
-    assert upper == 7 and frame.schema["n"].dataType.simpleString() == "decimal(9,2)"
+    opened = open_source(database, task, {"db": settings})
+    assert opened.upper_bound == 7 and opened.shaped().schema["n"].dataType.simpleString() == "decimal(9,2)"
     assert database.asked[-1]["dbtable"] == '(SELECT MAX("n") AS highest_value FROM (SELECT "n", "at" FROM "public"."t") AS src) AS src'
     assert "split" not in database.asked[-1]
-    frame, upper = open_source(database, task, {"db": {"url": "jdbc:x"}})
-    assert upper is None
+    opened = open_source(database, task, {"db": {"url": "jdbc:x"}})
+    assert opened.upper_bound is None
+    # bounds are compared with the delivered column; the cast to the landing type comes behind them
+    assert opened.rows.schema["n"].dataType.simpleString() == "decimal(9,2)"
+    assert opened.shaped().schema["n"].dataType.simpleString() == "double"
