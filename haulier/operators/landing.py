@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 from typing import Any
@@ -35,6 +36,13 @@ STAGING = "_tmp"
 REPLACED = "_old"
 PENDING = "_append"
 
+# A few periods hashed into as few shuffle partitions collide, and one task would get two of them.
+# AQE merges the partitions that stay empty or thin.
+SPREAD = 64
+
+# How long to wait for the counters of a finished write.
+REPORT_SECONDS = 60.0
+
 
 @dataclass(frozen=True)
 class Staged:
@@ -42,7 +50,7 @@ class Staged:
 
     ``rows`` is counted in the task that writes the file, once per committed task. The two NULL
     counters are taken before any shuffle, so a re-run map task can raise them: they are reports,
-    nothing is decided on them.
+    nothing is decided on them. ``rows_dropped_null`` is None when it could not be observed.
     """
 
     rows: int
@@ -51,7 +59,7 @@ class Staged:
     partitions: int
     top: str | None
     rows_null_reference: int
-    rows_dropped_null: int
+    rows_dropped_null: int | None
     schema: T.StructType
 
 
@@ -111,27 +119,64 @@ def stage(
         writer = writer.partitionBy(*partitioning.levels)
     writer.parquet(staging)
 
-    after = written.get
-    if measures and shuffle and not after["rows"]:
-        # AQE drops a shuffle stage without output, and what was observed in it: count again,
-        # over the measured columns only.
-        before = source.agg(*measures).first().asDict()
-    else:
-        before = seen.get if seen else {}
+    counters = _counters(source, staging, schema, measures, seen, written, shuffle, track)
     area = Storage(source.sparkSession, staging)
     files, size = area.summary()
     return Staged(
-        rows=after["rows"],
+        rows=counters["rows"],
         files=files - 1 if area.exists("_SUCCESS") else files,
         bytes=size,
         partitions=len(area.glob(_level_glob(partitioning.granularity))) if partitioning else 0,
-        top=watermark_text(before.get("top"), source.schema[track].dataType) if track else None,
-        rows_null_reference=before.get("null_reference", 0),
-        rows_dropped_null=before.get("null_period", 0),
+        top=watermark_text(counters["top"], source.schema[track].dataType) if track else None,
+        rows_null_reference=counters.get("null_reference", 0),
+        rows_dropped_null=counters.get("null_period", 0),
         schema=schema,
     )
 
 
+def _counters(
+    source: DataFrame,
+    staging: str,
+    schema: T.StructType,
+    measures: list[Column],
+    seen: Observation | None,
+    written: Observation,
+    shuffle: bool,
+    track: str | None,
+) -> dict[str, Any]:
+    """What the write observed, or the same from the staged files if Spark lost the report."""
+    after = observed(written)
+    if after is not None and not after["rows"] and shuffle and measures:
+        # AQE drops a shuffle stage without output, and what was observed in it: count again,
+        # over the measured columns only.
+        return {**source.agg(*measures).first().asDict(), **after}
+    before = observed(seen) if seen else {}
+    if after is not None and before is not None:
+        return {**before, **after}
+    # Never from the source, which may have moved on: a maximum must not exceed what was landed.
+    aggregates = [F.count(F.lit(1)).alias("rows")]
+    if track:
+        aggregates.append(max_expression(column(track), source.schema[track].dataType).alias("top"))
+        aggregates.append(F.count_if(column(track).isNull()).alias("null_reference"))
+    found = read_landed(source.sparkSession, staging, schema).agg(*aggregates).first().asDict()
+    return {**found, "null_period": None}
+
+
+def observed(observation: Observation, patience: float = REPORT_SECONDS) -> dict[str, Any] | None:
+    """Result of an observation whose job has finished; None if it does not come.
+
+    Observations travel over the listener bus, which drops events when a job of very many tasks
+    overruns it. Waiting without a limit would then never end.
+    """
+    report = observation._jo.future()
+    give_up = time.monotonic() + patience
+    while not report.isCompleted():
+        if time.monotonic() > give_up:
+            return None
+        time.sleep(0.002)
+    return observation.get
+
+
 def read_measures(source: DataFrame, partitioning: Partitioning | None, track: str | None) -> list[Column]:
     """Aggregates over all rows read: maximum and NULLs of ``track``, NULL partition dates."""
     measures = []
@@ -175,10 +220,10 @@ def spread(rows: DataFrame, partitioning: Partitioning | None) -> DataFrame:
     if partitioning is None:
         return rows.hint("rebalance")
     spark = rows.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
-        return rows.hint("rebalance", PERIOD)
+        return rows.hint("rebalance", max(tasks, SPREAD), PERIOD)
     # Without AQE nothing splits a hot period at run time: salt it by the reading task instead.
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(tasks, F.col(PERIOD), F.spark_partition_id() % F.lit(tasks))
 
 
@@ -347,6 +392,8 @@ def read_landed(spark: SparkSession, dataset: str, schema: T.StructType | None =
 
 def _split(dataset: str) -> tuple[str, str]:
     folder, _, name = dataset.rstrip("/").rpartition("/")
+    if not name:
+        raise LayoutError("a dataset needs a folder of its own")
     return folder or "/", name
 
 

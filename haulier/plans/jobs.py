@@ -35,7 +35,7 @@ class LoadResult:
     watermark: str | None = None
     watermark_type: str | None = None
     rows_null_reference: int = 0
-    rows_dropped_null: int = 0
+    rows_dropped_null: int | None = 0
     files_undone: int = 0
 
 

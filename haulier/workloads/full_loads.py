@@ -156,7 +156,8 @@ def metadata_custom_names(spark: SparkSession, folder: str) -> DataFrame:
 
 @workload(
     """SELECT strftime(o_orderdate, 'year=%Y/month=%m') AS partition_path, count(*) AS rows
-    FROM orders GROUP BY 1"""
+    FROM orders GROUP BY 1""",
+    name="partition_counts",
 )
 def partition_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     dataset = f"{work_folder(spark, 'counts')}/raw/orders"

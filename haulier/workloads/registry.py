@@ -16,13 +16,12 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def workload(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function name, with the equivalent SQL on the same tables."""
+def workload(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query (by default under its function name) with the equivalent SQL on the same tables."""
 
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        if sql is not None:
-            ORACLES[function.__name__] = sql
+        QUERIES[name or function.__name__] = function
+        ORACLES[name or function.__name__] = sql
         return function
 
     return register

@@ -24,7 +24,8 @@ def _raised(orders: DataFrame) -> DataFrame:
     """SELECT o_orderkey, o_custkey, o_orderstatus,
         CASE WHEN year(o_orderdate) BETWEEN 1999 AND 2000 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
         o_orderdate, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS year
-    FROM orders"""
+    FROM orders""",
+    name="replace_window",
 )
 def replace_years(spark: SparkSession, folder: str) -> DataFrame:
     """Two years up to mid-2000 are rebuilt; older and future years keep the first load."""
@@ -59,7 +60,8 @@ def replace_empty_partition(spark: SparkSession, folder: str) -> DataFrame:
             THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
         o_orderdate, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS year,
         CAST(month(o_orderdate) AS INTEGER) AS month
-    FROM orders"""
+    FROM orders""",
+    name="replace_month",
 )
 def replace_months(spark: SparkSession, folder: str) -> DataFrame:
     """Four months across the turn of a year."""
@@ -77,7 +79,8 @@ def replace_months(spark: SparkSession, folder: str) -> DataFrame:
     """SELECT event_id, ts, user_id, event_type,
         CASE WHEN ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15' THEN value + 1 ELSE value END AS value,
         props, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day
-    FROM events"""
+    FROM events""",
+    name="replace_day",
 )
 def replace_days(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
@@ -111,7 +114,8 @@ def replace_on_new_dataset(spark: SparkSession, folder: str) -> DataFrame:
     """SELECT strftime(d, 'year=%Y/month=%m') AS partition_path, count(o_orderkey) AS rows
     FROM (SELECT CAST(range AS DATE) AS d FROM range(TIMESTAMP '2000-09-01', TIMESTAMP '2002-03-01', INTERVAL 1 MONTH)) w
     LEFT JOIN orders ON date_trunc('month', o_orderdate) = d
-    GROUP BY 1"""
+    GROUP BY 1""",
+    name="window_partitions",
 )
 def window_partition_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The months of a window with the rows each would get, also those that stay empty."""

@@ -44,7 +44,8 @@ def split_scan_rows(spark: SparkSession, folder: str) -> DataFrame:
         CAST(l_quantity AS DOUBLE) AS quantity, CAST(l_discount AS FLOAT) AS discount_real,
         l_returnflag = 'R' AS returned, CAST(l_shipdate AS DATE) AS shipped_on, l_shipdate AS shipped_at,
         strftime(l_shipdate, '%H:%M:%S') AS shipped_time
-    FROM lineitem"""
+    FROM lineitem""",
+    name="normalize_types",
 )
 def normalize_types_postgresql(spark: SparkSession, folder: str) -> DataFrame:
     """Integer and float widths stay, numeric lands as double, time of day as text."""
@@ -86,7 +87,8 @@ _ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o
     " UNION ALL ".join(
         f"SELECT '{name}' AS name, {position} AS ordinal_position, count({name}) AS filled_rows FROM orders"
         for position, name in enumerate(_ORDER_COLUMNS, start=1)
-    )
+    ),
+    name="column_catalog",
 )
 def column_catalog_fill(spark: SparkSession, folder: str) -> DataFrame:
     """The column catalog of a table with the rows each column is filled in."""

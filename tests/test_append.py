@@ -4,6 +4,7 @@ from pathlib import Path
 
 import pytest
 from helpers import content, failing, files, folders, leftovers, values
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from haulier import LayoutError, Partitioning, SchemaError, StateError, WatermarkTable, append_new, full_load
@@ -231,3 +232,20 @@ def test_prepare_runs_behind_the_bound(spark, dataset, state):
     more = rows.unionByName(rows.withColumn("x", (F.col("x") + 2).cast("decimal(9,2)")))
     second = append(more, dataset, state, reference_column="x", prepare=cast)
     assert (second.rows, second.watermark) == (2, "4.5")
+
+
+@pytest.mark.parametrize("partitioning", [None, MONTH])
+def test_lost_counters_are_taken_from_the_staged_files(spark, dataset, state, monkeypatch, partitioning):
+    monkeypatch.setattr(landing, "observed", lambda *_: None)
+    first = append(values(spark, COLUMNS, *START, "0, NULL"), dataset, state, partitioning=partitioning)
+    kept = 3 if partitioning is None else 2
+    assert (first.rows, first.watermark, first.rows_dropped_null) == (kept, "2024-02-01 10:00:00", None)
+    second = append(values(spark, COLUMNS, *MORE), dataset, state, partitioning=partitioning)
+    assert (second.rows, second.watermark) == (1, "2024-02-02 00:00:00.250000")
+    assert append(values(spark, COLUMNS, *MORE), dataset, state, partitioning=partitioning).rows == 0
+
+
+def test_a_report_that_never_comes_is_given_up(spark):
+    waiting = Observation()
+    spark.range(1).observe(waiting, F.count(F.lit(1)).alias("rows"))
+    assert landing.observed(waiting, patience=0.05) is None

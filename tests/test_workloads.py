@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as driver
 
-FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
+FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
 
 
