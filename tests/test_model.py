@@ -1,0 +1,91 @@
+"""Random histories of loads against a plain model of the same rules."""
+
+import random
+from datetime import date, timedelta
+
+import pytest
+from helpers import content, leftovers, values
+
+from haulier import Partitioning, WatermarkTable, append_new, full_load, replace_window
+from haulier.functions.periods import partition_path, window_partitions
+
+COLUMNS = "id INT, mark INT, d DATE"
+FIRST = date(2023, 11, 1)
+
+
+class Model:
+    """Rows as tuples; partitions as path -> rows; one watermark."""
+
+    def __init__(self, granularity):
+        self.granularity, self.landed, self.watermark = granularity, [], None
+
+    def path(self, row):
+        if self.granularity is None:
+            return ""
+        return partition_path(row[2], self.granularity) if row[2] else None
+
+    def full(self, source):
+        self.landed = [r for r in source if self.path(r) is not None]
+        return len(self.landed)
+
+    def replace(self, source, as_of, lookback):
+        window = set(window_partitions(as_of, self.granularity, lookback))
+        new = [r for r in source if self.path(r) in window]
+        self.landed = [r for r in self.landed if self.path(r) not in window] + new
+        return len(new)
+
+    def append(self, source):
+        read = [r for r in source if self.watermark is None or (r[1] is not None and r[1] > self.watermark)]
+        new = [r for r in read if self.path(r) is not None]
+        if new:
+            self.landed = new if self.watermark is None else self.landed + new
+            marks = [r[1] for r in read if r[1] is not None]
+            self.watermark = max(marks) if marks else self.watermark
+        return len(new)
+
+
+def random_source(rng, size):
+    def row(n):
+        day = FIRST + timedelta(days=rng.randrange(120)) if rng.random() > 0.15 else None
+        mark = rng.randrange(1, 60) if rng.random() > 0.1 else None
+        return n, mark, day
+
+    return [row(n) for n in range(size)]
+
+
+def frame(spark, source):
+    text = lambda v: "NULL" if v is None else f"DATE'{v}'" if isinstance(v, date) else str(v)
+    return values(spark, COLUMNS, *[", ".join(map(text, r)) for r in source])
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_history(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    granularity = [None, "year", "month", "day"][seed % 4]
+    layout = Partitioning("d", granularity) if granularity else None
+    dataset, state = str(tmp_path / "raw" / "t"), WatermarkTable(spark, str(tmp_path / "state"))
+    model, result = Model(granularity), None
+    for step in range(6):
+        source = random_source(rng, rng.choice([0, 5, 40]))
+        rows = frame(spark, source)
+        kinds = ["full", "append", "append", "append"] + (["replace"] * 2 if granularity else [])
+        kind = rng.choice(kinds) if step else "append"
+        if kind == "append" and model.watermark is not None and not model.landed:
+            continue  # refused: a watermark without data
+        if kind == "full":
+            result, expected = full_load(rows, dataset, partitioning=layout, max_rows_per_file=7), model.full(source)
+        elif kind == "replace":
+            as_of, lookback = FIRST + timedelta(days=rng.randrange(120)), rng.randrange(1, 4)
+            result = replace_window(rows, dataset, partitioning=layout, lookback_periods=lookback, as_of=as_of)
+            expected = model.replace(source, as_of, lookback)
+        else:
+            result = append_new(
+                rows, dataset, task_identifier="raw.t", reference_column="mark", watermarks=state, partitioning=layout
+            )
+            expected = model.append(source)
+            stored = state.get("raw.t", "mark")
+            assert (stored and int(stored.watermark_value)) == model.watermark
+        assert result.rows == expected, (step, kind)
+        got = [r[:3] for r in content(spark, result)]
+        assert got == sorted(model.landed, key=repr), (step, kind)
+        assert leftovers(dataset) == []
