@@ -394,6 +394,8 @@ def _split(dataset: str) -> tuple[str, str]:
     folder, _, name = dataset.rstrip("/").rpartition("/")
     if not name:
         raise LayoutError("a dataset needs a folder of its own")
+    if set(dataset) & set("*?[]{}\\"):
+        raise LayoutError(f"{dataset} contains characters that file listings read as patterns")
     return folder or "/", name
 
 

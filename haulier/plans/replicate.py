@@ -33,8 +33,8 @@ def replicate(
 ) -> LoadResult:
     """Load one table as the task says.
 
-    ``connections`` maps the ``runtime`` names of the task to settings: JDBC options, or
-    ``{"path": folder}`` for Parquet sources and for targets (any Hadoop file system).
+    ``connections`` maps the ``runtime`` names of the task to settings: JDBC options (and ``split``,
+    ``numeric``), or ``{"path": folder}`` for Parquet sources and for targets on any Hadoop file system.
     ``source`` overrides the source with a frame of the caller. ``now`` stamps the rows, ``as_of``
     ends the replace window. The run is recorded as ``error`` with 0 rows when anything fails.
     """
@@ -123,6 +123,8 @@ def open_source(
 
 def _open_jdbc(spark: SparkSession, task: Task, settings: dict[str, Any], query: str | None) -> Opened:
     split: jdbc.RangeSplit | Sequence[str] | None = settings.pop("split", None)
+    if isinstance(split, Mapping):
+        split = jdbc.RangeSplit(**split)
     numeric = settings.pop("numeric", "double")
     table, kind = task.table, task.source.type
     rows, prepare = jdbc.scan_jdbc(

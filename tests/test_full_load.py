@@ -181,6 +181,12 @@ def test_delete_partition(spark, dataset):
         landing.delete_partition(spark, dataset, "/")
 
 
+@pytest.mark.parametrize("path", ["/", "/tmp/raw/t*", "/tmp/{raw}/t"])
+def test_unusable_dataset_paths(spark, path):
+    with pytest.raises(LayoutError):
+        full_load(values(spark, COLUMNS, *ROWS), path)
+
+
 def test_names_with_dots_and_quotes(spark, dataset):
     frame = spark.sql("SELECT 1 AS `a.b`, 2 AS `q``x`, TIMESTAMP_NTZ'2024-01-01 01:02:03' AS `when at`")
     result = full_load(frame, dataset, partitioning=Partitioning("when at", "year"))

@@ -203,6 +203,8 @@ def test_split_append_fixes_its_upper_edge(database):
     assert opened.upper_bound == 7 and opened.shaped().schema["n"].dataType.simpleString() == "decimal(9,2)"
     assert database.asked[-1]["dbtable"] == '(SELECT MAX("n") AS highest_value FROM (SELECT "n", "at" FROM "public"."t") AS src) AS src'
     assert "split" not in database.asked[-1]
+    from_file = {"url": "jdbc:x", "split": {"column": "n", "lower": 0, "upper": 9, "partitions": 3}}
+    assert open_source(database, task, {"db": from_file}).upper_bound == 7
     opened = open_source(database, task, {"db": {"url": "jdbc:x"}})
     assert opened.upper_bound is None
     # bounds are compared with the delivered column; the cast to the landing type comes behind them

@@ -1,11 +1,14 @@
 """Watermark and execution tables, and whole tasks."""
 
+import json
 from datetime import date, datetime, timedelta
 
 import pytest
 from helpers import content, values
 
 from haulier import ContractError, ExecutionTable, WatermarkTable, replicate, task_from_mapping
+from haulier.__main__ import main
+from haulier.session import LOAD_CONF
 from haulier.sources.tables import resolve_query
 from haulier.state.executions import HISTORY
 
@@ -148,3 +151,33 @@ def test_catalog_table_and_given_frame(spark, setup):
     assert replicate(spark, named, **setup).rows == 1
     frame = values(spark, "id INT, d DATE", "4, DATE'2024-01-01'", "5, NULL")
     assert replicate(spark, named, source=frame, **setup).rows == 2
+
+
+TASK_FILE = """
+table: {schema_name: public, name: t, target_schema_name: raw, target_name: t}
+source: {type: parquet, runtime: src}
+target: {type: local, runtime: out, chunk_size: 200000}
+replication:
+  mode: incremental
+  strategy: {type: replace, reference_column: d, lookback_periods: 2}
+  partition: {type: year, reference_column: d}
+"""
+
+
+def test_command(spark, setup, tmp_path):
+    before = {key: spark.conf.get(key) for key in LOAD_CONF}
+    (tmp_path / "task.yaml").write_text(TASK_FILE)
+    (tmp_path / "broken.yaml").write_text("table: [")
+    (tmp_path / "connections.json").write_text(json.dumps(setup["connections"]))
+    common = ["--connections", str(tmp_path / "connections.json"), "--state-root", setup["state_root"]]
+    try:
+        assert main(["run", str(tmp_path / "task.yaml"), *common, "--as-of", "2024-03-01"]) == 0
+        assert main(["run", str(tmp_path / "broken.yaml"), *common]) == 1
+        assert main(["run", str(tmp_path / "missing.yaml"), *common]) == 1
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    rows = content(spark, str(tmp_path / "out" / "raw" / "t"))
+    assert [r[0] for r in rows] == [1, 2] and history(spark, setup)["success"].rows_processed == 2
+    with pytest.raises(SystemExit):
+        main(["fly"])
