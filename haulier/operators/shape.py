@@ -35,7 +35,11 @@ class Partitioning:
 
 
 def check_lineage(df: DataFrame, lineage: Mapping[str, str]) -> None:
-    """Lineage names must be new, also when only the case differs."""
+    """Lineage names must be new, and all names distinct, also when only the case differs."""
+    names = [c.lower() for c in df.columns]
+    twice = sorted({c for c in df.columns if names.count(c.lower()) > 1})
+    if twice:
+        raise SchemaError(f"Spark cannot tell the source columns {twice} apart; rename them in a query")
     taken = clashes(df.columns, lineage)
     if taken:
         raise SchemaError(f"lineage columns {taken} already exist in the source; columns: {df.columns}")

@@ -181,6 +181,13 @@ def test_delete_partition(spark, dataset):
         landing.delete_partition(spark, dataset, "/")
 
 
+def test_source_columns_that_differ_by_case_only(spark, dataset):
+    rows = values(spark, COLUMNS, *ROWS)
+    with pytest.raises(SchemaError, match="apart"):
+        full_load(rows.select("*", F.col("id").alias("ID")), dataset)
+    assert not files(dataset) if Path(dataset).exists() else True
+
+
 @pytest.mark.parametrize("path", ["/", "/tmp/raw/t*", "/tmp/{raw}/t"])
 def test_unusable_dataset_paths(spark, path):
     with pytest.raises(LayoutError):

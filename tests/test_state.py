@@ -1,6 +1,7 @@
 """Watermark and execution tables, and whole tasks."""
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -153,6 +154,21 @@ def test_catalog_table_and_given_frame(spark, setup):
     assert replicate(spark, named, source=frame, **setup).rows == 2
 
 
+def test_tables_load_side_by_side(spark, setup):
+    """Loads of different tables may run at once: they share the state folders, nothing else."""
+    append = {"mode": "incremental", "strategy": {"type": "append", "reference_column": "id"}}
+
+    def run(n):
+        table = {"schema_name": "public", "name": "t", "target_schema_name": "raw", "target_name": f"t{n}"}
+        return [replicate(spark, task(table=table, replication=append), **setup).rows for _ in range(2)]
+
+    with ThreadPoolExecutor(6) as pool:
+        assert list(pool.map(run, range(6))) == [[2, 0]] * 6
+    records = ExecutionTable(spark, setup["state_root"]).history().groupBy("target_name", "status").count().collect()
+    assert {tuple(r) for r in records} == {(f"t{n}", "success", 2) for n in range(6)}
+    assert WatermarkTable(spark, setup["state_root"]).current().count() == 6
+
+
 TASK_FILE = """
 table: {schema_name: public, name: t, target_schema_name: raw, target_name: t}
 source: {type: parquet, runtime: src}

@@ -8,7 +8,7 @@ from haulier.errors import ContractError
 from haulier.task import LineageColumn, Metadata, task_from_mapping
 
 BASE = {
-    "table": {"schema_name": "public", "name": "posts", "target_schema_name": "raw", "target_name": "so_posts"},
+    "table": {"schema_name": "public", "name": "posts", "target_schema_name": "raw", "target_name": "all_posts"},
     "source": {"type": " PostgreSQL ", "runtime": "db", "chunk_size": 50000},
     "target": {"type": "LOCAL", "runtime": "storage", "chunk_size": 200000},
     "replication": {"mode": "full_load"},
@@ -26,8 +26,8 @@ def test_names_and_normalisation():
     task = build(replication={"mode": "full_load", "partition": PART})
     assert (task.source.type, task.target.type, task.replication.partition.type) == ("postgresql", "local", "month")
     assert task.table.qualified_name == "public.posts"
-    assert task.table.target_dataset_path == "raw/so_posts"
-    assert task.table.task_identifier == "raw.so_posts"
+    assert task.table.target_dataset_path == "raw/all_posts"
+    assert task.table.task_identifier == "raw.all_posts"
     assert build(table={**BASE["table"], "schema_name": None}).table.qualified_name == "posts"
 
 
