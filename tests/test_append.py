@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from haulier import LayoutError, Partitioning, SchemaError, StateError, WatermarkTable, append_new, full_load
 from haulier.operators import landing
+from haulier.plans.jobs import new_rows
 
 COLUMNS = "id INT, d TIMESTAMP_NTZ"
 START = ("1, TIMESTAMP_NTZ'2024-01-01 10:00:00'", "2, TIMESTAMP_NTZ'2024-02-01 10:00:00'")
@@ -249,3 +250,34 @@ def test_a_report_that_never_comes_is_given_up(spark):
     waiting = Observation()
     spark.range(1).observe(waiting, F.count(F.lit(1)).alias("rows"))
     assert landing.observed(waiting, patience=0.05) is None
+
+
+@pytest.mark.parametrize("partitioning", [None, MONTH])
+@pytest.mark.parametrize("step", range(5))
+def test_crash_during_the_commit(spark, dataset, state, monkeypatch, step, partitioning):
+    """The driver dies after any file operation of the commit: the next run lands each row once."""
+    append(values(spark, COLUMNS, *START), dataset, state, partitioning=partitioning)
+    more = values(spark, COLUMNS, *MORE, "5, TIMESTAMP_NTZ'2024-05-05 00:00:00'", "6, TIMESTAMP_NTZ'2024-06-05 00:00:00'")
+    staging = landing.open_staging(spark, dataset)
+    rows = new_rows(more, "d", state.get("raw.t", "d"))
+    landing.stage(rows, staging, partitioning=partitioning, track="d")
+    calls = {"left": step}
+
+    def crash(operation):
+        def run(self, *args):
+            if calls["left"] == 0:
+                raise KeyboardInterrupt
+            calls["left"] -= 1
+            return operation(self, *args)
+
+        return run
+
+    with monkeypatch.context() as patch:
+        for name in ("rename", "delete", "write_text"):
+            patch.setattr(landing.Storage, name, crash(getattr(landing.Storage, name)))
+        try:
+            landing.commit_append(spark, dataset, partitioning, "raw.t", "d", state.next_version("raw.t", "d"))
+        except KeyboardInterrupt:
+            pass
+    assert append(more, dataset, state, partitioning=partitioning).rows == 3
+    assert ids(spark, dataset) == [1, 2, 3, 5, 6] and leftovers(dataset) == []
