@@ -87,6 +87,8 @@ def exact_groups(df: DataFrame, *, id_column: str = "doc_id", text_column: str =
     """
     rows = df.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).cast("binary").alias("body"))
     rows = named(rows, **options).select("doc_id", "identity", F.sha2("body", 256).alias("text_sha256"))
+    # Two jobs read these narrow rows, and the planner need not carry the tower of levels through the join.
+    rows = stored(rows, "exact-identities")
     groups = rows.groupBy("identity").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     # Only groups of several rows are looked up, and from a table of their own: then both sides of the join
     # are shuffled for it, and Spark splits the partition of a group that holds most of the rows.
