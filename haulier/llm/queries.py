@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import block_naming, mixing, packing, sharding, simhash, token_files
+from . import block_naming, mixing, nn_descent, packing, sharding, simhash, token_files
 from .common import table
 from .registry import query
 
@@ -15,6 +15,11 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+@query()
+def op1_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
