@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import block_naming, mixing, nn_descent, packing, sharding, simhash, token_files
+from . import block_naming, language_crf, mixing, nn_descent, packing, sharding, simhash, token_files, toxicity
 from .common import table
 from .registry import query
 
@@ -25,6 +25,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+@query()
+def op3_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_crf.document_languages(table(spark, sf_dir, "documents"))
+
+
 @query(
     """
     SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
@@ -52,6 +57,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.document_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query(
     r"""
     WITH d AS (
