@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import block_naming, language_crf, mixing, nn_descent, packing, sharding, simhash, token_files, toxicity
+from . import block_naming, language_crf, mixing, nn_descent, packing, sharding, simhash, suffix_tree, token_files, toxicity
 from .common import table
 from .registry import query
 
@@ -62,6 +62,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.document_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query()
+def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.document_scores(table(spark, sf_dir, "documents"))
+
+
 @query(
     r"""
     WITH d AS (
