@@ -1,0 +1,153 @@
+"""Encoding, token files and packing: exact round trips."""
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from frames import SCHEMA, clashing, documents
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from haulier.llm import packing, token_files
+from haulier.llm.queries import tokenizer_path
+from haulier.llm.tokens import Encoder
+
+BYTE, WORD = "byte_bpe_50k.json", "word_bpe_49k.json"
+
+
+@pytest.fixture(scope="module", params=[BYTE, WORD])
+def both(request):
+    from tokenizers import Tokenizer
+
+    return Encoder(tokenizer_path(request.param), pieces=50), Tokenizer.from_file(tokenizer_path(request.param))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="ab.,' \n\t\r 　́éß1'<|>\0日", max_size=40))
+def test_pieces_give_the_ids_of_the_whole_text(both, text):
+    encoder, tokenizer = both
+    assert np.frombuffer(encoder.encode([text])[0], encoder.dtype).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_special_tokens_count_as_the_tokenizer_says(both):
+    encoder, tokenizer = both
+    for text in ("a<|endoftext|>b", "x <|endoftext|> y", "<|", "it's a'll"):
+        assert np.frombuffer(encoder.encode([text])[0], encoder.dtype).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def encoded(df, name, end):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path(name))
+    return [(r["doc_id"], tokenizer.encode(r["text"] or "", add_special_tokens=False).ids + [end]) for r in df.collect()]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+
+
+def test_token_files_give_back_what_was_written(spark, tmp_path):
+    df = documents(spark)
+    manifest = token_files.write_token_files(clashing(df), tokenizer_path(BYTE), folder=str(tmp_path / "tokens"), frame_bytes=2000)
+    got = token_files.read_token_files(manifest).collect()
+    want = encoded(df, BYTE, 0)
+    key = lambda row: (row[0] is not None, row[0] or 0, row[1:])
+    assert sorted(((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got), key=key) == sorted(((i, len(x), crc(x)) for i, x in want), key=key)
+    place = 0
+    for r in sorted(got, key=lambda r: r["start"]):
+        assert r["start"] == place
+        place += r["n_tokens"]
+    ids = [r["doc_id"] for r in sorted(got, key=lambda r: r["start"])]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
+
+
+def test_single_documents_are_read_by_their_frames(spark, tmp_path):
+    df = documents(spark).where("doc_id < 40")
+    manifest = token_files.write_token_files(df.dropDuplicates(["doc_id"]), tokenizer_path(BYTE), folder=str(tmp_path / "t"), frame_bytes=500)
+    some = token_files.read_token_files(manifest, doc_ids=[7, 31]).collect()
+    every = {r["doc_id"]: r["ids_crc32"] for r in token_files.read_token_files(manifest).collect()}
+    assert {r["doc_id"]: r["ids_crc32"] for r in some} == {i: every[i] for i in (7, 31)}
+
+
+def test_frames_are_independent_and_checked(tmp_path):
+    path = tmp_path / "one.tokens"
+    with pa.OSFile(str(path), "wb") as stream:
+        writer = token_files.FrameWriter(stream, "<u2", frame_bytes=64)
+        for i in range(20):
+            writer.add(i, np.arange(i, dtype="<u2").tobytes())
+        frames = writer.close()
+    assert frames > 3
+    with pa.OSFile(str(path), "rb") as file:
+        reader = token_files.FrameReader(file)
+        assert [x.tolist() for _, x in reader] == [list(range(i)) for i in range(20)]
+        assert reader.read([3])[3].tolist() == [0, 1, 2]
+    raw = bytearray(path.read_bytes())
+    raw[len(raw) // 3] ^= 255
+    path.write_bytes(bytes(raw))
+    with pa.OSFile(str(path), "rb") as file, pytest.raises(Exception):  # noqa: B017
+        list(token_files.FrameReader(file))
+
+
+def test_packing_places_every_id_once(spark):
+    df = documents(spark)
+    got = packing.packed(clashing(df), tokenizer_path(WORD), block_tokens=3000).collect()
+    want = defaultdict(list)
+    for doc_id, ids in encoded(df, WORD, 2):
+        want[doc_id].append(ids)
+    pieces = defaultdict(list)
+    for r in got:
+        pieces[r["doc_id"]].append(r)
+    assert set(pieces) == set(want)
+    for doc_id, texts in want.items():
+        assert sum(r["length"] for r in pieces[doc_id]) == sum(map(len, texts))
+        if len(texts) == 1:
+            end = 0
+            for r in sorted(pieces[doc_id], key=lambda r: r["start"]):
+                assert r["start"] == end and r["doc_tokens"] == len(texts[0])
+                assert r["ids_crc32"] == crc(texts[0][end : end + r["length"]])
+                end += r["length"]
+    windows = defaultdict(list)
+    for r in got:
+        windows[r["sequence_id"]].append(r)
+    for rows in windows.values():
+        end = 0
+        for r in sorted(rows, key=lambda r: r["offset"]):
+            assert r["offset"] == end
+            end += r["length"]
+        assert end <= 4096 and end & (end - 1) == 0 and end == rows[0]["sequence_length"]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 9000), max_size=40), st.booleans())
+def test_plans_cut_nothing_away(lengths, last):
+    sequences, left = packing.plan(lengths, last=last)
+    covered = defaultdict(list)
+    for document, start, length in [p for w in sequences for p in w] + left:
+        covered[document].append((start, length))
+    for document, length in enumerate(lengths):
+        end = 0
+        for start, n in sorted(covered[document]):
+            assert start == end and n > 0
+            end += n
+        assert end == length
+    sizes = [sum(p[2] for p in w) for w in sequences]
+    assert all(s in packing.TIERS or (last and s & (s - 1) == 0) for s in sizes)
+    assert not (last and left) and sum(p[2] for p in left) < 4096
+
+
+def test_step_groups_are_balanced():
+    lengths = [4096] * 40 + [1024] * 80 + [512] * 160
+    groups = packing.balanced(lengths, 1 << 15)
+    totals = defaultdict(int)
+    for length, group in zip(lengths, groups, strict=True):
+        totals[group] += length
+    assert max(totals.values()) - min(totals.values()) <= 4096
+
+
+def test_empty_tables(spark, tmp_path):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert packing.packed(empty, tokenizer_path(WORD)).count() == 0
+    manifest = token_files.write_token_files(empty, tokenizer_path(BYTE), folder=str(tmp_path / "none"))
+    assert token_files.read_token_files(manifest).count() == 0
