@@ -8,9 +8,12 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as driver
+from haulier.workloads import QUERIES as WORKLOADS
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+NAMES = set(WORKLOADS)
+QUERIES = {name: query for name, query in driver.queries().items() if name in NAMES}
+ORACLES = {name: sql for name, sql in driver.oracle_sql().items() if name in NAMES}
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +40,7 @@ def rows(columns, records):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES) == NAMES
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
