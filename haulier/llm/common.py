@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import uuid
+import zipfile
+from pathlib import Path
 
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +40,24 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_folder(spark, name)}/{uuid.uuid4().hex[:8]}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` whose workers can import this package, wherever the driver found it."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(SparkFiles.getRootDirectory()) / "code" / f"{package.name}-code.zip"
+        archive.parent.mkdir(exist_ok=True)
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+    return df.mapInArrow(function, schema)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fold, text_or_empty
+from .common import fold, map_arrow, text_or_empty
 
 UNDETERMINED = "und"
 #: Hashed affix and n-gram features; hashed words of the lexicon.
@@ -210,7 +210,7 @@ def lexicon_counts(rows: DataFrame, languages: list[str]) -> np.ndarray:
             some = used[at : at + 8192]
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some].tolist(), pa.list_(pa.int64()))], names=["bucket", "counts"])
 
-    parts = rows.mapInArrow(count, "bucket long, counts array<long>")
+    parts = rows.transform(map_arrow, count, "bucket long, counts array<long>")
     sums = [F.sum(F.col("counts")[i]).alias(f"n{i}") for i in range(len(languages))]
     table = np.zeros((LEXICON, len(languages)))
     for row in parts.groupBy("bucket").agg(*sums).toLocalIterator():
@@ -314,7 +314,7 @@ def document_languages(df: DataFrame) -> DataFrame:
                     names=["doc_id", "held_out", "lang_pred", "score"],
                 )
 
-    return rows.mapInArrow(label, "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.transform(map_arrow, label, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def _slices(batch: pa.RecordBatch, rows: int = 1024, size: int = 6 << 20):

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, forget, stored
+from .common import connected_components, forget, map_arrow, stored
 
 THRESHOLD = 0.9
 #: Neighbours per list to begin with, and the most that a saturated list may grow to before exact blocks take over.
@@ -168,7 +168,7 @@ def _first_candidates(nodes: DataFrame, dims: int, total: int, size: int) -> Dat
                 [batch.column("node"), pa.array(codes.tolist(), pa.list_(pa.int64())), batch.column("v")], names=["node", "codes", "v"]
             )
 
-    cells = nodes.select("node", "v").mapInArrow(coded, "node long, codes array<long>, v array<double>")
+    cells = nodes.select("node", "v").transform(map_arrow, coded, "node long, codes array<long>, v array<double>")
     cells = cells.select("node", F.posexplode("codes").alias("turn", "code"), F.transform("v", lambda x: x.cast("float")).alias("v"))
     # A cell that holds many vectors is dealt out at random in parts of a few leaves: parts, not the cell, are compared.
     cells = cells.withColumn("cell", F.xxhash64("turn", "code")).withColumn("part", F.xxhash64("node", "turn"))
@@ -190,7 +190,7 @@ def _first_candidates(nodes: DataFrame, dims: int, total: int, size: int) -> Dat
             a = np.repeat(np.arange(len(ids)), k)
             yield _edges(ids[a], ids[best.reshape(-1)], sims[a, best.reshape(-1)])
 
-    return cells.mapInArrow(nearest, EDGES)
+    return cells.transform(map_arrow, nearest, EDGES)
 
 
 def _neighbours_of_neighbours(nodes: DataFrame, graph: DataFrame, dims: int, size: int, turn: int) -> DataFrame:
@@ -222,7 +222,7 @@ def _neighbours_of_neighbours(nodes: DataFrame, graph: DataFrame, dims: int, siz
                 yield _edges(ids[a], ids[b], sims[a, b])
 
     # What several nodes propose is one candidate.
-    return members.mapInArrow(joined, EDGES).groupBy("node", "other").agg(F.max("sim").alias("sim"))
+    return members.transform(map_arrow, joined, EDGES).groupBy("node", "other").agg(F.max("sim").alias("sim"))
 
 
 def _audited(nodes: DataFrame, graph: DataFrame, dims: int, audit: int, threshold: float) -> tuple[DataFrame, float]:
@@ -239,7 +239,7 @@ def _audited(nodes: DataFrame, graph: DataFrame, dims: int, audit: int, threshol
             other = own[a] != ids[b]
             yield _edges(ids[b][other], own[a][other], sims[a, b][other])
 
-    links = stored(nodes.select("node", "v").mapInArrow(compared, EDGES), "vectors-audit")
+    links = stored(nodes.select("node", "v").transform(map_arrow, compared, EDGES), "vectors-audit")
     reversed_ = graph.select(F.col("other").alias("node"), F.col("node").alias("other"))
     known = graph.select("node", "other").unionByName(reversed_)
     # A full list of a dense node is completed by blocks later on: what it lacks is no fault of the graph.
@@ -279,7 +279,7 @@ def _counted_in_blocks(members: DataFrame, nodes: DataFrame, dims: int, threshol
                     yield _counts(node[left], near @ copies[right])
                     yield _counts(node[right], near.T @ copies[left])
 
-    parts = rows.mapInArrow(counted, "node long, exact long")
+    parts = rows.transform(map_arrow, counted, "node long, exact long")
     return parts.groupBy("node").agg(F.sum("exact").alias("exact"))
 
 

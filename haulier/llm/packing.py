@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import map_arrow, text_or_empty
 from .tokens import encoder, in_slices
 
 #: Context sizes, long to short. A sequence of the length of a tier needs no padding.
@@ -157,7 +157,7 @@ def packed(
                         yield from state.flush(last=False)
         yield from state.flush(last=True)
 
-    return rows.mapInArrow(pack, PIECES)
+    return rows.transform(map_arrow, pack, PIECES)
 
 
 class _Block:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, stored, text_or_empty
+from .common import connected_components, map_arrow, stored, text_or_empty
 
 BITS, SHINGLE, SEED, RADIUS = 64, 3, 42, 2
 #: Rows of a bucket from which on it is cut further, by the bits that its key leaves open.
@@ -171,7 +171,7 @@ def with_fingerprints(df: DataFrame) -> DataFrame:
                     [part.column("doc_id"), part.column("text_key"), pa.array(values.view(np.int64))], names=["doc_id", "text_key", "fp"]
                 )
 
-    return rows.mapInArrow(fingerprint, "doc_id long, text_key long, fp long")
+    return rows.transform(map_arrow, fingerprint, "doc_id long, text_key long, fp long")
 
 
 def _segments(column: Column, bits: list[int], parts: int) -> list[Column]:
@@ -224,7 +224,7 @@ def links(distinct: DataFrame, *, radius: int = RADIUS, large: int = LARGE_BUCKE
             held_bucket, held = held_bucket[cut:], held[cut:]
         yield from _forest_batch(held_bucket, held, radius)
 
-    return rows.mapInArrow(linked, "a long, b long").distinct()
+    return rows.transform(map_arrow, linked, "a long, b long").distinct()
 
 
 def _forest_batch(buckets: np.ndarray, values: np.ndarray, radius: int) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_path, stored, text_or_empty
+from .common import map_arrow, shared_path, stored, text_or_empty
 from .tokens import encoder, in_slices
 
 # Fixed values of the seekable format: skippable frame magic, seek table footer magic, checksum flag.
@@ -188,7 +188,7 @@ def write_token_files(
                 names=["path", "place", "first_id", "last_id", "documents", "tokens", "frames"],
             )
 
-    return stored(rows.mapInArrow(write, MANIFEST), "token-manifest")
+    return stored(rows.transform(map_arrow, write, MANIFEST), "token-manifest")
 
 
 def read_token_files(manifest: DataFrame, *, doc_ids: list[int] | None = None) -> DataFrame:
@@ -225,7 +225,7 @@ def read_token_files(manifest: DataFrame, *, doc_ids: list[int] | None = None) -
                     if rows:
                         yield _batch(rows, kinds)
 
-    return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.transform(map_arrow, read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def _batch(rows: list[tuple], kinds: list) -> pa.RecordBatch:
