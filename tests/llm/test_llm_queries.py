@@ -1,0 +1,90 @@
+"""Registered queries against SQL, and the pipeline stage by stage."""
+
+import re
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pytest
+from test_llm_near import Forest, fingerprint
+
+import __spark_entry__ as driver
+import corpus_pipeline
+from haulier.llm import mixing, toxicity
+from haulier.llm.queries import tokenizer_path
+from haulier.llm.registry import ORACLES, QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_its_sql(spark, name):
+    connection = duckdb.connect()
+    for file in Path(FOLDER).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    frame = QUERIES[name](spark, FOLDER)
+    cursor = connection.execute(ORACLES[name])
+    place = [[d[0] for d in cursor.description].index(c) for c in frame.columns]
+    want = sorted(tuple(row[i] for i in place) for row in cursor.fetchall())
+    assert sorted(map(tuple, frame.collect())) == want
+
+
+def test_all_operators_are_registered():
+    names = {int(m[1]) for name in driver.queries() if (m := re.match(r"op(\d+)_", name))}
+    assert names == set(range(1, 11)) and "pipeline" in driver.queries()
+
+
+def texts(df):
+    return Counter((r["doc_id"], r["text"]) for r in df.collect())
+
+
+def test_each_stage_acts_on_what_the_one_before_kept(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["toxicity", "exact_dedup", "simhash_near_dedup", "mixing", "packing"]
+
+    clean = stages["toxicity"](spark, docs, FOLDER)
+    assert clean.columns == docs.columns
+    rejected = {r["doc_id"] for r in toxicity.document_scores(docs, labels).where("score >= 0.3").collect()}
+    rows = [r for r in docs.collect() if r["doc_id"] not in rejected]
+    assert texts(clean) == Counter((r["doc_id"], r["text"]) for r in rows)
+
+    single = stages["exact_dedup"](spark, clean, FOLDER)
+    largest = {}
+    for r in rows:
+        largest[r["text"]] = max(largest.get(r["text"], -1), r["doc_id"])
+    rows = [r for r in rows if largest[r["text"]] == r["doc_id"]]
+    assert single.columns == docs.columns and texts(single) == Counter((r["doc_id"], r["text"]) for r in rows)
+
+    different = stages["simhash_near_dedup"](spark, single, FOLDER)
+    forest, prints = Forest(), {r["doc_id"]: fingerprint(r["text"]) for r in rows}
+    for a in prints:
+        for b in prints:
+            if a < b and (prints[a] ^ prints[b]).bit_count() <= 2:
+                forest.join(a, b)
+    rows = [r for r in rows if forest.root(r["doc_id"]) == r["doc_id"]]
+    assert different.columns == docs.columns and texts(different) == Counter((r["doc_id"], r["text"]) for r in rows)
+
+    mixed = stages["mixing"](spark, different, FOLDER)
+    assert mixed.columns == docs.columns
+    taken = Counter()
+    for r in mixing.mixed(different, carry=["doc_id"]).collect():
+        taken[r["doc_id"]] += r["taken"]
+    words = Counter()
+    for r in mixed.collect():
+        words[r["doc_id"]] += len(r["text"].split())
+    assert words == +taken
+
+    pieces = stages["packing"](spark, mixed, FOLDER).collect()
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    want = sum(len(tokenizer.encode(r["text"], add_special_tokens=False).ids) + 1 for r in mixed.collect())
+    assert sum(r["length"] for r in pieces) == want
+    assert np.all([r["offset"] + r["length"] <= 4096 for r in pieces])
+
+
+def test_the_whole_pipeline(spark):
+    assert corpus_pipeline.run(spark, FOLDER).count() > 0
