@@ -15,7 +15,7 @@ from __future__ import annotations
 import hashlib
 import json
 import time
-from collections.abc import Collection, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
 from typing import Any
 
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import LayoutError, SchemaError
+from ..errors import LayoutError, SchemaError, StateError
 from ..functions.bounds import max_expression, watermark_text
 from ..functions.names import column, require_column
 from ..functions.periods import LEVELS, levels
@@ -34,6 +34,8 @@ from .storage import Storage
 # Fixed value: staging folder inside the dataset; Spark skips it when reading.
 STAGING = "_tmp"
 REPLACED = "_old"
+# Replaced partitions behind their commit point: nothing in here is ever put back.
+GONE = "_gone"
 PENDING = "_append"
 
 # A few periods hashed into as few shuffle partitions collide, and one task would get two of them.
@@ -50,7 +52,8 @@ class Staged:
 
     ``rows`` is counted in the task that writes the file, once per committed task. The two NULL
     counters are taken before any shuffle, so a re-run map task can raise them: they are reports,
-    nothing is decided on them. ``rows_dropped_null`` is None when it could not be observed.
+    nothing is decided on them. ``rows_dropped_null`` is None when it could not be observed, and when
+    nothing was written. ``top`` is the exact maximum of the tracked source column over all rows read.
     """
 
     rows: int
@@ -96,22 +99,26 @@ def stage(
     partitioning: Partitioning | None = None,
     lineage: Mapping[str, str] | None = None,
     track: str | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
     max_rows_per_file: int | None = None,
     clustered: bool = False,
     gather: bool = False,
 ) -> Staged:
     """Write all rows with one job and measure on the way.
 
-    The maximum of ``track`` covers every row read, also rows that have no partition. Partitioned
-    rows are shuffled by period so that a period gets few, large files; the rebalance lets AQE
-    split a hot period over many tasks and merge thin ones. ``clustered=True`` skips the shuffle
-    for a source whose files already follow the partition column. Flat rows are written by the
-    tasks that read them; ``gather=True`` brings few rows out of many tasks together first.
-    Constants and path columns are added behind the shuffle.
+    The maximum of ``track`` covers every row read, also rows that have no partition, and is taken from the
+    source's own column, before ``prepare`` casts it. Partitioned rows are shuffled by period so that a
+    period gets few, large files; the rebalance lets AQE split a hot period over many tasks and merge thin
+    ones. ``clustered=True`` skips the shuffle for a source whose files already follow the partition column.
+    Flat rows are written by the tasks that read them; ``gather=True`` brings few rows out of many tasks
+    together first. Constants and path columns are added behind the shuffle.
     """
-    measures = read_measures(source, partitioning, track)
+    reads = tracked_measures(source, track)
+    seen = Observation() if reads else None
+    tracked = source.observe(seen, *reads) if seen else source
+    shaped = prepare(tracked) if prepare else tracked
     shuffle = (partitioning is not None or gather) and not clustered
-    rows, seen, written, schema = staging_plan(source, partitioning, lineage or {}, measures, shuffle)
+    rows, dropped, written, schema = staging_plan(shaped, partitioning, lineage or {}, shuffle, track)
     writer = rows.write.mode("errorifexists")
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
@@ -119,7 +126,7 @@ def stage(
         writer = writer.partitionBy(*partitioning.levels)
     writer.parquet(staging)
 
-    counters = _counters(source, staging, schema, measures, seen, written, shuffle, track)
+    counters = _counters(source.sparkSession, staging, schema, seen, dropped, written)
     area = Storage(source.sparkSession, staging)
     files, size = area.summary()
     return Staged(
@@ -127,39 +134,36 @@ def stage(
         files=files - 1 if area.exists("_SUCCESS") else files,
         bytes=size,
         partitions=len(area.glob(_level_glob(partitioning.granularity))) if partitioning else 0,
-        top=watermark_text(counters["top"], source.schema[track].dataType) if track else None,
+        top=watermark_text(counters.get("top"), source.schema[track].dataType) if track else None,
         rows_null_reference=counters.get("null_reference", 0),
-        rows_dropped_null=counters.get("null_period", 0),
+        rows_dropped_null=counters["null_period"],
         schema=schema,
     )
 
 
 def _counters(
-    source: DataFrame,
+    spark: SparkSession,
     staging: str,
     schema: T.StructType,
-    measures: list[Column],
     seen: Observation | None,
+    dropped: Observation | None,
     written: Observation,
-    shuffle: bool,
-    track: str | None,
 ) -> dict[str, Any]:
-    """What the write observed, or the same from the staged files if Spark lost the report."""
-    after = observed(written)
-    if after is not None and not after["rows"] and shuffle and measures:
-        # AQE drops a shuffle stage without output, and what was observed in it: count again,
-        # over the measured columns only.
-        return {**source.agg(*measures).first().asDict(), **after}
+    """What the write observed.
+
+    Spark can lose a report. The number of rows is then counted in the staged files, and a report on dropped rows is
+    left out. The maximum has no second source (what was landed need not hold the newest row read), so a
+    load that needs it stops here, with live data and state untouched.
+    """
+    after = observed(written) or read_landed(spark, staging, schema).agg(F.count(F.lit(1)).alias("rows")).first().asDict()
+    if not after["rows"]:
+        # Nothing will be committed. AQE drops a shuffle stage without output, and with it what was observed in it.
+        return {**after, "null_period": None if dropped else 0}
     before = observed(seen) if seen else {}
-    if after is not None and before is not None:
-        return {**before, **after}
-    # Never from the source, which may have moved on: a maximum must not exceed what was landed.
-    aggregates = [F.count(F.lit(1)).alias("rows")]
-    if track:
-        aggregates.append(max_expression(column(track), source.schema[track].dataType).alias("top"))
-        aggregates.append(F.count_if(column(track).isNull()).alias("null_reference"))
-    found = read_landed(source.sparkSession, staging, schema).agg(*aggregates).first().asDict()
-    return {**found, "null_period": None}
+    if before is None:
+        raise StateError("Spark lost the report of the rows read, so the new watermark is unknown; run the load again")
+    report = observed(dropped) if dropped else {"null_period": 0}
+    return {**before, **(report or {"null_period": None}), **after}
 
 
 def observed(observation: Observation, patience: float = REPORT_SECONDS) -> dict[str, Any] | None:
@@ -177,51 +181,53 @@ def observed(observation: Observation, patience: float = REPORT_SECONDS) -> dict
     return observation.get
 
 
-def read_measures(source: DataFrame, partitioning: Partitioning | None, track: str | None) -> list[Column]:
-    """Aggregates over all rows read: maximum and NULLs of ``track``, NULL partition dates."""
-    measures = []
-    if track:
-        require_column(source.columns, track, "strategy.reference_column")
-        measures.append(max_expression(column(track), source.schema[track].dataType).alias("top"))
-        measures.append(F.count_if(column(track).isNull()).alias("null_reference"))
-    if partitioning:
-        require_column(source.columns, partitioning.column, "partition.reference_column")
-        measures.append(F.count_if(column(partitioning.column).isNull()).alias("null_period"))
-    return measures
+def tracked_measures(source: DataFrame, track: str | None) -> list[Column]:
+    """Aggregates over all rows read: maximum and NULLs of ``track``."""
+    if not track:
+        return []
+    require_column(source.columns, track, "strategy.reference_column")
+    top = max_expression(column(track), source.schema[track].dataType)
+    return [top.alias("top"), F.count_if(column(track).isNull()).alias("null_reference")]
 
 
 def staging_plan(
     source: DataFrame,
     partitioning: Partitioning | None,
     lineage: Mapping[str, str],
-    measures: list[Column],
     shuffle: bool,
+    track: str | None = None,
 ) -> tuple[DataFrame, Observation | None, Observation, T.StructType]:
-    """The frame that is written, its observations, and the schema the dataset reads back with."""
+    """The frame that is written, its observations (rows without a period, rows written), and the schema it lands with."""
     check_lineage(source, lineage)
     day = check_partitioning(source, partitioning, lineage) if partitioning else None
-    seen = Observation() if measures else None
-    rows = source.observe(seen, *measures) if seen else source
+    rows, dropped = source, None
     if partitioning:
+        dropped = Observation()
+        rows = rows.observe(dropped, F.count_if(column(partitioning.column).isNull()).alias("null_period"))
         rows = with_period(drop_null_periods(rows, partitioning), day, partitioning)
     if shuffle:
-        rows = spread(rows, partitioning)
+        rows = spread(rows, partitioning, track)
     rows = add_lineage(rows, lineage)
     if partitioning:
         rows = with_path_columns(rows, partitioning)
 
     schema = landed_schema(source.schema, lineage, partitioning)
     written = Observation()
-    return rows.observe(written, F.count(F.lit(1)).alias("rows")), seen, written, schema
+    return rows.observe(written, F.count(F.lit(1)).alias("rows")), dropped, written, schema
 
 
-def spread(rows: DataFrame, partitioning: Partitioning | None) -> DataFrame:
-    """Shuffle into well-sized tasks: by period, without tying a period to one task, or evenly."""
-    if partitioning is None:
-        return rows.hint("rebalance")
+def spread(rows: DataFrame, partitioning: Partitioning | None, track: str | None = None) -> DataFrame:
+    """Shuffle into well-sized tasks: by period, without tying a period to one task, or by the reference column.
+
+    A shuffle by a column needs no sort in front of it, as one by turns would.
+    """
     spark = rows.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+    if partitioning is None:
+        key = column(track)
+        return rows.hint("rebalance", tasks, key) if adaptive else rows.repartition(tasks, key)
+    if adaptive:
         return rows.hint("rebalance", max(tasks, SPREAD), PERIOD)
     # Without AQE nothing splits a hot period at run time: salt it by the reading task instead.
     return rows.repartition(tasks, F.col(PERIOD), F.spark_partition_id() % F.lit(tasks))
@@ -252,7 +258,8 @@ def commit_swap(spark: SparkSession, dataset: str) -> None:
 def commit_partitions(spark: SparkSession, dataset: str, granularity: str, window: Collection[str]) -> list[str]:
     """Exchange the staged partitions and remove those of the window that got no rows.
 
-    Partitions outside the window stay. Returns the removed partitions.
+    Partitions outside the window stay. Returns the removed partitions. One rename ends the exchange: up to it
+    a crash brings the replaced partitions back whole, from it on nothing of them, however far their deletion came.
     """
     live = Storage(spark, dataset)
     pattern = _level_glob(granularity)
@@ -260,7 +267,9 @@ def commit_partitions(spark: SparkSession, dataset: str, granularity: str, windo
     present = set(window).intersection(live.glob(pattern))
     live.rename_all([(p, f"{REPLACED}/{p}") for p in sorted(present)])
     live.rename_all([(f"{STAGING}/{p}", p) for p in sorted(staged)])
-    live.delete(REPLACED)
+    if live.exists(REPLACED):
+        live.rename(REPLACED, GONE)
+    live.delete(GONE)
     live.delete(STAGING)
     return sorted(present - staged)
 
@@ -278,11 +287,12 @@ def commit_append(
     task_id: str,
     reference_column: str,
     version: int,
+    state_root: str = "",
 ) -> None:
-    """Move the staged files in. ``version`` is the watermark version the load will store."""
+    """Move the staged files in. ``version`` is the watermark version the load will store in the table at ``state_root``."""
     live = Storage(spark, dataset)
     tag = append_tag(task_id, reference_column, version)
-    note = {"tag": tag, "task_identifier": task_id, "reference_column": reference_column, "version": version}
+    note = {"tag": tag, "task_identifier": task_id, "reference_column": reference_column, "version": version, "state_root": state_root}
     live.write_text(PENDING, json.dumps(note))
     folders = f"{STAGING}/{_level_glob(partitioning.granularity)}" if partitioning else STAGING
     moves = []
@@ -290,7 +300,7 @@ def commit_append(
         folder, _, name = path.removeprefix(f"{STAGING}/").rpartition("/")
         landed = f"{tag}-{name.removeprefix('part-')}"
         moves.append((path, f"{folder}/{landed}" if folder else landed))
-    live.rename_all(moves)
+    live.move_files(moves)
     live.delete(STAGING)
 
 
@@ -404,7 +414,8 @@ def _level_glob(granularity: str) -> str:
 
 
 def _restore_partitions(live: Storage) -> None:
-    """Put back partitions that a crashed exchange had moved aside but not replaced."""
+    """Put back partitions that a crashed exchange had moved aside but not replaced; drop what was replaced for good."""
+    live.delete(GONE)
     if not live.exists(REPLACED):
         return
     for granularity in reversed(LEVELS):

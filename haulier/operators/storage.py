@@ -76,6 +76,17 @@ class Storage:
         with ThreadPoolExecutor(_RENAME_THREADS) as pool:
             list(pool.map(lambda move: self.rename(*move), moves))
 
+    def move_files(self, moves: list[tuple[str, str]]) -> None:
+        """Move single files to names that are new; each folder is made once."""
+        for folder in sorted({destination.rpartition("/")[0] for _, destination in moves}):
+            self.make_folder(folder)
+        with ThreadPoolExecutor(_RENAME_THREADS) as pool:
+            list(pool.map(lambda move: self.move_file(*move), moves))
+
+    def move_file(self, source: str, destination: str) -> None:
+        if not self._fs.rename(self._path(source), self._path(destination)):
+            raise CommitError(f"could not move {source} to {destination} below {self._base}")
+
     def delete_all(self, paths: list[str]) -> None:
         with ThreadPoolExecutor(_RENAME_THREADS) as pool:
             list(pool.map(self.delete, paths))

@@ -140,8 +140,9 @@ def append_new(
     watermark; if it dies in between, the next run removes those files and loads them again.
     Rows at or below the watermark, and NULLs after the first run, are never read.
     ``upper_bound`` fixes the upper edge for sources whose parallel reads are no single snapshot.
-    ``prepare`` shapes the rows behind the bounds (type casts, say), so that the bounds are compared
-    with the source's own column and stay in reach of the scan.
+    ``prepare`` shapes the rows behind the bounds (type casts, say): bounds and watermark are those of the source's
+    own column, exact to the last digit, and stay in reach of the scan. A load whose maximum Spark fails to report stops
+    before its commit.
     """
     spark = source.sparkSession
     name = require_column(source.columns, reference_column, "strategy.reference_column")
@@ -156,16 +157,16 @@ def append_new(
                     "rows up to it would be missing for good"
                 )
         rows = new_rows(source, name, known, upper_bound)
-        if prepare is not None:
-            rows = prepare(rows)
+        landed = (prepare(rows) if prepare else rows).schema
         if known is not None:
-            landing.check_types(spark, dataset, rows.schema)
+            landing.check_types(spark, dataset, landed)
         staged = landing.stage(
             rows,
             staging,
             partitioning=partitioning,
             lineage=lineage,
             track=name,
+            prepare=prepare,
             max_rows_per_file=max_rows_per_file,
             clustered=clustered,
             # A few new rows spread over every task of a large scan must not become as many files.
@@ -188,14 +189,14 @@ def append_new(
             landing.commit_swap(spark, dataset)
         else:
             version = watermarks.next_version(task_identifier, name)
-            landing.commit_append(spark, dataset, partitioning, task_identifier, name, version)
+            landing.commit_append(spark, dataset, partitioning, task_identifier, name, version, watermarks.root)
     except BaseException:
         landing.discard_staging(spark, dataset)
         # A commit that failed half-way has stored no watermark yet: take its files back now.
         _settle_pending(source, dataset, watermarks)
         raise
 
-    label = watermark_type(rows.schema[name].dataType)
+    label = watermark_type(landed[name].dataType)
     if staged.top is not None:
         watermarks.put(task_identifier, name, staged.top, label, staged.rows)
     if known is not None:
@@ -227,6 +228,8 @@ def _settle_pending(source: DataFrame, dataset: str, watermarks: WatermarkTable)
     note = landing.pending_append(spark, dataset)
     if note is None:
         return 0
+    if note.get("state_root") and note["state_root"] != watermarks.root:
+        raise StateError(f"an append to {dataset} waits for its watermark in {note['state_root']}; run it with that state first")
     stored = watermarks.get(note["task_identifier"], note["reference_column"])
     if stored is not None and stored.version >= note["version"]:
         landing.close_append(spark, dataset)

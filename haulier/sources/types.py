@@ -23,7 +23,8 @@ def normalize_types(
     """Cast every column to its landing type.
 
     ``numeric="double"`` lands decimals as double; ``"decimal"`` keeps precision and scale.
-    ``time_columns`` names time-of-day columns, which JDBC delivers as timestamps.
+    Time-of-day columns, which JDBC delivers as timestamps, land as text: those that Spark's reader marks, and those
+    named in ``time_columns``.
     SQL Server integers widen to long and reals to double. Types without a landing type
     become text: nested values as JSON, PostgreSQL binaries in their ``\\x...`` text form.
     Columns that keep their type pass through untouched, so a scan stays column-pruned.
@@ -33,7 +34,15 @@ def normalize_types(
     if numeric not in NUMERIC_MODES:
         raise ContractError(f"numeric must be one of {NUMERIC_MODES}")
     wide = source_type == "sqlserver"
-    return df.select(*[_landed(f, wide, numeric, f.name in time_columns) for f in df.schema.fields])
+    return df.select(*[_landed(f, wide, numeric, f.name in time_columns or _is_time(f)) for f in df.schema.fields])
+
+
+# Fixed value: the mark of Spark's JDBC reader on fields that hold a time of day.
+_TIME_MARK = "logical_time_type"
+
+
+def _is_time(field: T.StructField) -> bool:
+    return bool(field.metadata.get(_TIME_MARK))
 
 
 def _landed(field: T.StructField, wide: bool, numeric: str, is_time: bool) -> Column:

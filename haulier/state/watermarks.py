@@ -40,6 +40,10 @@ class WatermarkTable:
         self._root = f"{root.rstrip('/')}/watermarks"
         self._storage = Storage(spark, self._root)
 
+    @property
+    def root(self) -> str:
+        return self._storage.url()
+
     def get(self, task_identifier: str, reference_column: str) -> Watermark | None:
         """Current watermark of one key, or None before its first load."""
         key = _key(task_identifier, reference_column)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.shape import Partitioning
 from ..plans.jobs import LoadResult, append_new
+from ..sources.types import normalize_types
 from ..state.watermarks import FIELDS, WatermarkTable
 from .registry import landed, table, work_folder, workload
 
@@ -32,10 +33,26 @@ class Appender:
         return append_new(source, self._dataset, **self._options)
 
 
-@workload("SELECT * FROM orders WHERE o_orderdate <= TIMESTAMP '2000-06-30'")
+@workload("SELECT * FROM orders")
 def append_first(spark: SparkSession, folder: str) -> DataFrame:
+    """A first run loads everything."""
     task = Appender(spark, "append_first", "orders", "o_orderdate")
-    return landed(spark, task.run(table(spark, folder, "orders").filter(FIRST_PART)))
+    return landed(spark, task.run(table(spark, folder, "orders")))
+
+
+@workload(
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+        CAST(CAST(9007199254740992 + o_orderkey AS DECIMAL(20, 0)) AS DOUBLE) AS big_key FROM orders"""
+)
+def append_decimal_watermark(spark: SparkSession, folder: str) -> DataFrame:
+    """Three runs over keys that a double cannot tell apart: every row once, though the column lands as double."""
+    orders = table(spark, folder, "orders")
+    orders = orders.withColumn("big_key", (F.lit(9007199254740992) + F.col("o_orderkey")).cast("decimal(20,0)"))
+    task = Appender(spark, "append_decimal", "orders", "big_key", prepare=normalize_types)
+    highest = orders.agg(F.max("o_orderkey")).first()[0]
+    for part in (3, 2):
+        task.run(orders.filter(F.col("o_orderkey") <= highest // part))
+    return landed(spark, task.run(orders))
 
 
 @workload("SELECT * FROM orders")
@@ -88,7 +105,7 @@ def append_late_and_ties(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @workload(
-    """SELECT o_orderkey, CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderdate END AS changed_at
+    """SELECT *, CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderdate END AS changed_at
     FROM orders
     WHERE o_orderdate <= TIMESTAMP '2000-06-30' OR o_orderpriority <> '1-URGENT'"""
 )
@@ -97,8 +114,8 @@ def append_nulls(spark: SparkSession, folder: str) -> DataFrame:
     changed = F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderdate"))
     orders = table(spark, folder, "orders")
     task = Appender(spark, "append_nulls", "orders", "changed_at")
-    task.run(orders.filter(FIRST_PART).select("o_orderkey", changed.alias("changed_at")))
-    return landed(spark, task.run(orders.select("o_orderkey", changed.alias("changed_at"))))
+    task.run(orders.filter(FIRST_PART).withColumn("changed_at", changed))
+    return landed(spark, task.run(orders.withColumn("changed_at", changed)))
 
 
 @workload(

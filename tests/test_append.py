@@ -108,7 +108,7 @@ def test_watermark_covers_rows_dropped_for_null_partition(spark, dataset, state)
         values(spark, columns, *rows, "5, DATE'2024-05-05'", "10, NULL"), dataset, state, reference_column="id", partitioning=layout
     )
     # 5 is below the watermark; 10 has no partition, so nothing is written and the state stays
-    assert (result.rows, result.rows_dropped_null) == (0, 1)
+    assert (result.rows, result.rows_dropped_null) == (0, None)
     assert state.get("raw.t", "id").watermark_value == "9"
 
 
@@ -181,11 +181,11 @@ def test_commit_fails_half_way(spark, dataset, state, monkeypatch):
     from haulier.operators.storage import Storage
 
     def first_only(self, moves):
-        self.rename(*moves[0])
+        self.move_file(*moves[0])
         raise OSError("file system down")
 
     with monkeypatch.context() as patch:
-        patch.setattr(Storage, "rename_all", first_only)
+        patch.setattr(Storage, "move_files", first_only)
         with pytest.raises(OSError):
             append(more, dataset, state, partitioning=MONTH)
     assert files(dataset) == before and leftovers(dataset) == []
@@ -229,21 +229,88 @@ def test_prepare_runs_behind_the_bound(spark, dataset, state):
     cast = lambda df: df.withColumn("x", F.col("x").cast("double"))
     rows = values(spark, "id INT, x FLOAT", "1, 1.25", "2, 2.5").withColumn("x", F.col("x").cast("decimal(9,2)"))
     first = append(rows, dataset, state, reference_column="x", prepare=cast)
-    assert (first.watermark, first.watermark_type, first.schema["x"].dataType.simpleString()) == ("2.5", "string", "double")
+    assert (first.watermark, first.watermark_type, first.schema["x"].dataType.simpleString()) == ("2.50", "string", "double")
     more = rows.unionByName(rows.withColumn("x", (F.col("x") + 2).cast("decimal(9,2)")))
     second = append(more, dataset, state, reference_column="x", prepare=cast)
-    assert (second.rows, second.watermark) == (2, "4.5")
+    assert (second.rows, second.watermark) == (2, "4.50")
 
 
 @pytest.mark.parametrize("partitioning", [None, MONTH])
-def test_lost_counters_are_taken_from_the_staged_files(spark, dataset, state, monkeypatch, partitioning):
+def test_a_lost_maximum_stops_the_load(spark, dataset, state, monkeypatch, partitioning):
+    """The newest row has no partition date, so nothing that landed could stand in for the report."""
+    rows = values(spark, "id INT, d TIMESTAMP_NTZ, seq INT", "1, TIMESTAMP_NTZ'2024-01-01 10:00:00', 10", "2, NULL, 20")
+    more = rows.unionByName(values(spark, "id INT, d TIMESTAMP_NTZ, seq INT", "3, TIMESTAMP_NTZ'2024-01-02 10:00:00', 30"))
+    options = {"partitioning": partitioning, "reference_column": "seq"}
+    with monkeypatch.context() as patch:
+        patch.setattr(landing, "observed", lambda *_: None)
+        with pytest.raises(StateError, match="lost the report"):
+            append(rows, dataset, state, **options)
+    assert state.get("raw.t", "seq") is None and files(dataset) == [] and leftovers(dataset) == []
+    assert append(rows, dataset, state, **options).watermark == "20"
+    before = ids(spark, dataset)
+    with monkeypatch.context() as patch:
+        patch.setattr(landing, "observed", lambda *_: None)
+        with pytest.raises(StateError, match="lost the report"):
+            append(more, dataset, state, **options)
+    assert state.get("raw.t", "seq").watermark_value == "20" and ids(spark, dataset) == before and leftovers(dataset) == []
+    assert append(more, dataset, state, **options).rows == 1
+    with monkeypatch.context() as patch:  # nothing new: there is no decision to make
+        patch.setattr(landing, "observed", lambda *_: None)
+        assert append(more, dataset, state, **options).rows == 0
+
+
+def test_lost_counts_of_a_full_load_are_taken_from_the_staged_files(spark, dataset, monkeypatch):
     monkeypatch.setattr(landing, "observed", lambda *_: None)
-    first = append(values(spark, COLUMNS, *START, "0, NULL"), dataset, state, partitioning=partitioning)
-    kept = 3 if partitioning is None else 2
-    assert (first.rows, first.watermark, first.rows_dropped_null) == (kept, "2024-02-01 10:00:00", None)
-    second = append(values(spark, COLUMNS, *MORE), dataset, state, partitioning=partitioning)
-    assert (second.rows, second.watermark) == (1, "2024-02-02 00:00:00.250000")
-    assert append(values(spark, COLUMNS, *MORE), dataset, state, partitioning=partitioning).rows == 0
+    result = full_load(values(spark, COLUMNS, *START, "0, NULL"), dataset, partitioning=MONTH)
+    assert (result.rows, result.rows_dropped_null) == (2, None)
+
+
+@pytest.mark.parametrize("start", [9007199254740993, 9007199254740995, 99999999999999999999 - 8])
+def test_watermarks_keep_every_digit(spark, dataset, state, start):
+    """Keys beyond the precision of the double they land as, rounded up and down by it."""
+    cast = lambda df: df.withColumn("x", F.col("x").cast("double"))
+    rows = spark.createDataFrame([(i, str(start + i)) for i in range(8)], "id int, x string")
+    rows = rows.withColumn("x", F.col("x").cast("decimal(20,0)"))
+    for n in (1, 2, 4, 5, 8):
+        result = append(rows.where(F.col("id") < n), dataset, state, reference_column="x", prepare=cast)
+        assert result.watermark == str(start + n - 1)
+        assert ids(spark, dataset) == list(range(n))
+
+
+@pytest.mark.parametrize("partitioning", [None, MONTH])
+def test_nothing_new_reads_the_source_once(spark, dataset, state, tmp_path, partitioning):
+    source = str(tmp_path / "source")
+    values(spark, COLUMNS, *START).write.parquet(source)
+    rows = spark.read.parquet(source)
+    append(rows, dataset, state, partitioning=partitioning)
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(1)
+            yield batch
+
+    # Every scan passes the counter once per row: two rows, one scan.
+    watched = rows.repartition(1).mapInPandas(count, rows.schema)
+    assert append(watched, dataset, state, partitioning=partitioning).rows == 0
+    assert read.value == 1
+
+
+def test_an_append_is_settled_with_its_own_state_only(spark, dataset, state, tmp_path, monkeypatch):
+    append(values(spark, COLUMNS, *START), dataset, state)
+    with monkeypatch.context() as patch:
+        patch.setattr(WatermarkTable, "put", failing_put)
+        with pytest.raises(RuntimeError):
+            append(values(spark, COLUMNS, *MORE), dataset, state)
+    other = WatermarkTable(spark, str(tmp_path / "other"))
+    with pytest.raises(StateError, match="waits for its watermark"):
+        append(values(spark, COLUMNS, *MORE), dataset, other)
+    assert append(values(spark, COLUMNS, *MORE), dataset, state).files_undone == 1
+    assert ids(spark, dataset) == [1, 2, 3]
+
+
+def failing_put(*_):
+    raise RuntimeError("the state table is away")
 
 
 def test_a_report_that_never_comes_is_given_up(spark):
@@ -273,7 +340,7 @@ def test_crash_during_the_commit(spark, dataset, state, monkeypatch, step, parti
         return run
 
     with monkeypatch.context() as patch:
-        for name in ("rename", "delete", "write_text"):
+        for name in ("rename", "move_file", "delete", "write_text"):
             patch.setattr(landing.Storage, name, crash(getattr(landing.Storage, name)))
         try:
             landing.commit_append(spark, dataset, partitioning, "raw.t", "d", state.next_version("raw.t", "d"))

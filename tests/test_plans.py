@@ -4,6 +4,7 @@ from datetime import date
 
 import pytest
 from helpers import files
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from haulier import Partitioning, WatermarkTable, append_new, full_load
@@ -24,9 +25,10 @@ def plan(frame):
 
 
 def written(source, partitioning=None, track=None, clustered=False):
-    measures = landing.read_measures(source, partitioning, track)
+    measures = landing.tracked_measures(source, track)
+    rows = source.observe(Observation(), *measures) if measures else source
     shuffle = partitioning is not None and not clustered
-    return plan(landing.staging_plan(source, partitioning, LINEAGE, measures, shuffle)[0])
+    return plan(landing.staging_plan(rows, partitioning, LINEAGE, shuffle, track)[0])
 
 
 @pytest.fixture
@@ -47,6 +49,12 @@ def test_partitioned_load_shuffles_once_without_constants(lineitem):
     assert PERIOD in shipped and "$banco_origem" not in shipped and "year" not in shipped
 
 
+def test_gathered_appends_shuffle_by_the_reference_column_without_a_sort(lineitem):
+    text = plan(landing.staging_plan(lineitem, None, LINEAGE, True, "l_shipdate")[0])
+    assert "REBALANCE_PARTITIONS_BY_COL" in text and "hashpartitioning(l_shipdate" in text
+    assert "RoundRobin" not in text and "Sort" not in text
+
+
 def test_replace_window_reaches_the_scan(lineitem):
     first, end = window_bounds(date(2000, 6, 15), "year", 2)
     text = written(keep_window(lineitem, YEAR, first, end), YEAR)

@@ -119,3 +119,30 @@ def test_crash_during_the_exchange(spark, dataset, monkeypatch, step):
     replace(new, dataset)
     assert sorted(r[0] for r in content(spark, first)) == [1, 2, 5, 31, 41]
     assert leftovers(dataset) == []
+
+
+@pytest.mark.parametrize("layout", [YEAR, Partitioning("d", "month")])
+def test_crash_inside_the_deletion_of_replaced_partitions(spark, dataset, monkeypatch, layout):
+    """A deletion that stops half-way never brings back a part of a partition, also after the window has moved on."""
+    old = [f"{i}, DATE'2023-0{1 + i % 2}-1{i % 10}'" for i in range(10)]
+    first = full_load(values(spark, COLUMNS, *old), dataset, partitioning=layout, max_rows_per_file=1)
+    delete = Storage.delete
+
+    def half(self, relative=""):
+        if relative in ("_old", "_gone") and self.exists(relative):
+            for file in sorted(p for p in (Path(dataset) / relative).rglob("*.parquet"))[::2]:
+                file.unlink()
+            raise KeyboardInterrupt
+        return delete(self, relative)
+
+    gone = {"year": ["year=2023"], "month": ["year=2023/month=01", "year=2023/month=02"]}[layout.granularity]
+    landing.open_staging(spark, dataset)
+    landing.stage(values(spark, COLUMNS, "70, DATE'2024-05-05'"), f"{dataset}/_tmp", partitioning=layout)
+    with monkeypatch.context() as patch:
+        patch.setattr(Storage, "delete", half)
+        with pytest.raises(KeyboardInterrupt):
+            landing.commit_partitions(spark, dataset, layout.granularity, gone)
+    new = values(spark, COLUMNS, "71, DATE'2024-06-05'")
+    replace_window(new, dataset, partitioning=layout, lookback_periods=1, as_of=date(2024, 6, 1))
+    ids = sorted(r[0] for r in content(spark, first))
+    assert ids in ([70, 71], [71]) and leftovers(dataset) == []

@@ -210,3 +210,11 @@ def test_split_append_fixes_its_upper_edge(database):
     # bounds are compared with the delivered column; the cast to the landing type comes behind them
     assert opened.rows.schema["n"].dataType.simpleString() == "decimal(9,2)"
     assert opened.shaped().schema["n"].dataType.simpleString() == "double"
+
+
+def test_time_fields_are_known_by_the_mark_of_the_reader(spark):
+    """A user query has no catalog entry, but Spark's JDBC reader marks fields that hold a time of day."""
+    rows = spark.sql("SELECT TIMESTAMP_NTZ'1970-01-01 08:00:00' AS at, TIMESTAMP_NTZ'1970-01-01 08:00:00' AS ts")
+    marked = rows.withMetadata("at", {"logical_time_type": True})
+    assert tuple(normalize_types(marked).first())[0] == "08:00:00"
+    assert normalize_types(marked).schema["ts"].dataType.simpleString() == "timestamp_ntz"
