@@ -60,6 +60,10 @@ def _run(
     clustered: bool,
 ) -> LoadResult:
     target = _settings(connections, task.target.runtime)
+    if task.target.type == "s3":
+        raise ContractError(
+            "commits are renames, which a plain object store carries out as copies; use a target of type 'local' on a store with real folders"
+        )
     if "path" not in target:
         raise ContractError(f"target runtime '{task.target.runtime}' needs a path")
     dataset = f"{str(target['path']).rstrip('/')}/{task.table.target_dataset_path}"
@@ -90,7 +94,7 @@ def _run(
 
 @dataclass(frozen=True)
 class Opened:
-    """A source: its rows, the shaping to landing types, and the fixed upper edge of a split append."""
+    """A source: its rows, the shaping to landing types, and the fixed upper edge of an append over JDBC."""
 
     rows: DataFrame
     prepare: Callable[[DataFrame], DataFrame] | None = None
@@ -139,8 +143,9 @@ def _open_jdbc(spark: SparkSession, task: Task, settings: dict[str, Any], query:
         numeric=numeric,
     )
     strategy = task.replication.strategy
-    if split is None or strategy is None or strategy.type != "append":
+    if strategy is None or strategy.type != "append":
         return Opened(rows, prepare)
+    # Also a read by one task may be repeated, when an executor is lost, and then find newer rows: the edge is fixed first.
     text = query or jdbc.default_query(kind, table.schema_name, table.name, rows.columns)
     return Opened(rows, prepare, jdbc.current_maximum(spark, settings, kind, text, strategy.reference_column))
 

@@ -38,9 +38,20 @@ def _filled(value: str | None, label: str) -> str:
     return value
 
 
-def _positive(value: int | None, label: str) -> None:
+def _positive(value: int | str | None, label: str) -> int | None:
+    if isinstance(value, str) and value.strip().isdigit():
+        value = int(value)
     if value is not None and (isinstance(value, bool) or not isinstance(value, int) or value <= 0):
         raise ContractError(f"{label} must be an integer greater than 0")
+    return value
+
+
+def _switch(value: bool | str, label: str) -> bool:
+    """A switch as YAML or a command line writes it; any other text is refused, not taken for yes."""
+    text = str(value).strip().lower()
+    if text not in ("true", "false"):
+        raise ContractError(f"{label} must be true or false, not '{value}'")
+    return text == "true"
 
 
 @dataclass(frozen=True)
@@ -77,7 +88,7 @@ class Source:
     def __post_init__(self) -> None:
         object.__setattr__(self, "type", _known(self.type, SOURCE_TYPES, "source.type"))
         _filled(self.runtime, "source.runtime")
-        _positive(self.chunk_size, "source.chunk_size")
+        object.__setattr__(self, "chunk_size", _positive(self.chunk_size, "source.chunk_size"))
 
 
 @dataclass(frozen=True)
@@ -89,7 +100,7 @@ class Target:
     def __post_init__(self) -> None:
         object.__setattr__(self, "type", _known(self.type, TARGET_TYPES, "target.type"))
         _filled(self.runtime, "target.runtime")
-        _positive(self.chunk_size, "target.chunk_size")
+        object.__setattr__(self, "chunk_size", _positive(self.chunk_size, "target.chunk_size"))
 
 
 @dataclass(frozen=True)
@@ -116,7 +127,7 @@ class Strategy:
         if self.type not in STRATEGIES:
             raise ContractError(f"strategy.type '{self.type}' is unknown; use one of {sorted(STRATEGIES)}")
         _filled(self.reference_column, "strategy.reference_column")
-        _positive(self.lookback_periods, "strategy.lookback_periods")
+        object.__setattr__(self, "lookback_periods", _positive(self.lookback_periods, "strategy.lookback_periods"))
         if self.type == "replace" and self.lookback_periods is None:
             raise ContractError("strategy.lookback_periods is required for replace")
         if self.type == "append" and self.lookback_periods is not None:
@@ -155,6 +166,9 @@ class LineageColumn:
     enabled: bool = True
     column_name: str | None = None
 
+    def __post_init__(self) -> None:
+        object.__setattr__(self, "enabled", _switch(self.enabled, "enabled of a lineage column"))
+
     def name(self, default: str) -> str:
         if self.column_name is None:
             return default
@@ -171,6 +185,9 @@ class Metadata:
     ingestion: LineageColumn = field(default_factory=LineageColumn)
     origin: LineageColumn = field(default_factory=LineageColumn)
 
+    def __post_init__(self) -> None:
+        object.__setattr__(self, "enabled", _switch(self.enabled, "metadata.enabled"))
+
     def lineage(self, origin: str, now: datetime) -> dict[str, str]:
         """Column names with their text, ingestion first."""
         if not self.enabled:
@@ -233,8 +250,10 @@ def _optional(kind: type, values: Mapping[str, Any] | None, label: str) -> Any:
 
 
 def _build(kind: type, values: Mapping[str, Any], label: str) -> Any:
-    known = kind.__dataclass_fields__
+    unknown = sorted(str(key) for key in values if key not in kind.__dataclass_fields__)
+    if unknown:
+        raise ContractError(f"{label} has unknown keys {unknown}; known are {sorted(kind.__dataclass_fields__)}")
     try:
-        return kind(**{k: v for k, v in values.items() if k in known})
+        return kind(**values)
     except TypeError as problem:
         raise ContractError(f"{label}: {problem}") from problem

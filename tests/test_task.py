@@ -84,3 +84,24 @@ def test_lineage_values():
         Metadata(ingestion=LineageColumn(column_name="  ")).lineage("x", now)
     with pytest.raises(ContractError):
         Metadata(ingestion=LineageColumn(column_name="A"), origin=LineageColumn(column_name="a")).lineage("x", now)
+
+
+def test_text_switches_and_numbers_are_read():
+    task = build(source={**BASE["source"], "chunk_size": "50000"}, metadata={"enabled": "False"})
+    assert task.source.chunk_size == 50000
+    assert task.metadata.lineage("public.posts", datetime(2024, 2, 1)) == {}
+    columns = {"data_ingestao": {"enabled": "false"}}
+    assert list(build(metadata={"columns": columns}).metadata.lineage("public.posts", datetime(2024, 2, 1))) == ["$banco_origem"]
+
+
+@pytest.mark.parametrize(
+    "sections",
+    [
+        {"metadata": {"enabled": "perhaps"}},
+        {"source": {**BASE["source"], "chunksize": 5}},
+        {"replication": {"mode": "incremental", "strategy": {**APPEND, "lookback": 2}}},
+    ],
+)
+def test_misspelt_keys_and_switches_are_refused(sections):
+    with pytest.raises(ContractError):
+        build(**sections)
