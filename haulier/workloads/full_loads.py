@@ -225,3 +225,23 @@ def delete_one_partition(spark: SparkSession, folder: str) -> DataFrame:
     result = full_load(table(spark, folder, "orders"), dataset, partitioning=Partitioning("o_orderdate", "year"))
     delete_partition(spark, dataset, "year=1999")
     return read_landed(spark, dataset, result.schema)
+
+
+@workload(
+    """SELECT 1 AS step, count(*) AS rows FROM orders
+    UNION ALL SELECT 2, 0
+    UNION ALL SELECT 3, count(*) FROM orders"""
+)
+def full_load_empty(spark: SparkSession, folder: str) -> DataFrame:
+    """An empty source empties the dataset, which keeps its columns; the next load fills it again."""
+    orders = table(spark, folder, "orders")
+    steps, counts = (orders, orders.where("o_orderkey IS NULL"), orders), None
+    for step, source in enumerate(steps, 1):
+        # A dataset for each step's last state: the loads up to it run in turn.
+        dataset = f"{work_folder(spark, f'empty-{step}')}/raw/orders"
+        for earlier in steps[: step - 1]:
+            full_load(earlier, dataset)
+        rows = landed(spark, full_load(source, dataset)).groupBy().agg(F.count("*").alias("rows"))
+        rows = rows.select(F.lit(step).alias("step"), "rows")
+        counts = rows if counts is None else counts.unionByName(rows)
+    return counts

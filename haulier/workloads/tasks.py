@@ -10,7 +10,7 @@ from ..errors import LoadError
 from ..plans.replicate import replicate
 from ..state.executions import ExecutionTable
 from ..task import task_from_mapping
-from .registry import landed, work_folder, workload
+from .registry import landed, table, work_folder, workload
 
 NOW = datetime(2024, 2, 1, 8, 30, 15, 999999)
 
@@ -99,3 +99,19 @@ def execution_history(spark: SparkSession, folder: str) -> DataFrame:
         .history()
         .select("name", "mode", "strategy_type", "partition_type", "status", "rows_processed")
     )
+
+
+@workload(
+    """SELECT 'orders' AS name, 'running' AS status, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS rows_processed
+    UNION ALL SELECT 'lineitem', 'success', (SELECT count(*) FROM lineitem)"""
+)
+def execution_progress(spark: SparkSession, folder: str) -> DataFrame:
+    """Progress rows: of a run that goes on, and of one that ended."""
+    executions = ExecutionTable(spark, f"{work_folder(spark, 'progress')}/state")
+    orders = executions.start(name="orders")
+    orders.update_rows(table(spark, folder, "orders").where("o_orderstatus = 'F'").count())
+    lineitem = executions.start(name="lineitem")
+    rows = table(spark, folder, "lineitem").count()
+    lineitem.update_rows(rows // 2)
+    lineitem.succeed(rows)
+    return executions.history().select("name", "status", "rows_processed")

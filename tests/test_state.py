@@ -2,7 +2,7 @@
 
 import json
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from helpers import content, values
@@ -197,3 +197,24 @@ def test_command(spark, setup, tmp_path):
     assert [r[0] for r in rows] == [1, 2] and history(spark, setup)["success"].rows_processed == 2
     with pytest.raises(SystemExit):
         main(["fly"])
+
+
+def test_compacted_days_tell_the_same_history(spark, tmp_path):
+    table = ExecutionTable(spark, str(tmp_path))
+    done, failed, open_run = (table.start(name=name) for name in ("done", "failed", "open"))
+    done.update_rows(5)
+    done.succeed(7)
+    failed.fail()
+    before = sorted(map(tuple, table.history().collect()))
+    tomorrow = datetime.now(timezone.utc).date() + timedelta(days=1)
+    assert table.compact(tomorrow - timedelta(days=1)) == 0
+    assert table.compact(tomorrow) == 1
+    folders = [p.name for p in (tmp_path / "executions").iterdir() if p.is_dir()]
+    assert len(folders) == 1 and len(list((tmp_path / "executions").rglob("*.parquet"))) == 1
+    assert sorted(map(tuple, table.history().collect())) == before
+    assert table.compact(tomorrow) == 0
+    open_run.succeed(9)  # recorded behind the compaction
+    assert table.history().where("name = 'open'").first().rows_processed == 9
+    assert table.compact(tomorrow) == 1
+    assert table.history(first=tomorrow - timedelta(days=1), last=tomorrow).count() == 3
+    assert table.history(last=tomorrow - timedelta(days=5)).count() == 0
