@@ -69,20 +69,26 @@ class Encoder:
             return piece[1:]
         return piece if piece == "\n" else " " + piece
 
-    def encode(self, texts: Iterable[str]) -> list[bytes]:
-        """Little-endian ids of each text, as bytes."""
-        out = []
-        for text in texts:
-            pieces = self._cut(text) if text else []
-            if pieces is None:
-                out.append(self._raw([text])[0])
-                continue
-            ids = list(map(self._new.get, pieces))
-            if None in ids:
-                missing = {piece for piece, known in zip(pieces, ids, strict=True) if known is None}
-                found = self._find(missing)
-                ids = [found[piece] if known is None else known for piece, known in zip(pieces, ids, strict=True)]
-            out.append(b"".join(ids))
+    def encode(self, texts: Iterable[str], together: int = 128) -> list[bytes]:
+        """Little-endian ids of each text, as bytes. Unseen pieces of ``together`` texts are encoded in one call."""
+        texts, out = list(texts), []
+        for begin in range(0, len(texts), together):
+            some = texts[begin : begin + together]
+            cuts = [self._cut(text) if text else [] for text in some]
+            known = [list(map(self._new.get, cut)) if cut else [] for cut in cuts]
+            missing: set[str] = set()
+            for cut, ids in zip(cuts, known, strict=True):
+                if None in ids:
+                    missing.update(piece for piece, found in zip(cut, ids, strict=True) if found is None)
+            found = self._find(missing) if missing else {}
+            whole = iter(self._raw([text for text, cut in zip(some, cuts, strict=True) if cut is None]))
+            for cut, ids in zip(cuts, known, strict=True):
+                if cut is None:
+                    out.append(next(whole))
+                elif None in ids:
+                    out.append(b"".join([found[piece] if got is None else got for piece, got in zip(cut, ids, strict=True)]))
+                else:
+                    out.append(b"".join(ids))
         return out
 
     def _find(self, missing: set[str]) -> dict[str, bytes]:
