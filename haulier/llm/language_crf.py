@@ -47,13 +47,26 @@ def lexicon_bucket(word: str) -> int:
     return _hash("w", word, LEXICON)
 
 
+#: Buckets of the beginnings, endings and n-grams met so far; these are few, however many words there are.
+_CODES: dict[str, int] = {}
+_MOST_CODES = 300_000
+
+
 def features(word: str) -> list[int]:
     """Buckets of a word's beginnings, endings and letter n-grams (each one once)."""
-    out = {_hash(f"p{n}", word[:n], BUCKETS) for n in AFFIXES if len(word) >= n}
-    out |= {_hash(f"s{n}", word[-n:], BUCKETS) for n in AFFIXES if len(word) >= n}
-    marked = f"^{word[:40]}$"
-    out |= {_hash(f"g{n}", marked[i : i + n], BUCKETS) for n in GRAMS for i in range(len(marked) - n + 1)}
-    return list(out)
+    marked, length = f"^{word[:40]}$", len(word)
+    keys = ["p" + word[:n] for n in AFFIXES if n <= length] + ["s" + word[-n:] for n in AFFIXES if n <= length]
+    for n in GRAMS:
+        keys += ["g" + marked[i : i + n] for i in range(len(marked) - n + 1)]
+    codes = set(map(_CODES.get, keys))
+    if None in codes:
+        if len(_CODES) > _MOST_CODES:
+            _CODES.clear()
+        for key in keys:
+            if key not in _CODES:
+                _CODES[key] = _hash("f", key, BUCKETS)
+        codes = {_CODES[key] for key in keys}
+    return list(codes)
 
 
 @dataclass
