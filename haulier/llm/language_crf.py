@@ -16,7 +16,7 @@ from .common import fold, map_arrow, text_or_empty
 UNDETERMINED = "und"
 #: Hashed affix and n-gram features; hashed words of the lexicon.
 BUCKETS, LEXICON = 1 << 15, 1 << 16
-AFFIXES, GRAMS = (1, 2, 3, 4), (2, 3)
+AFFIXES, GRAMS = (1, 2, 3, 4), (3,)
 #: A lexicon entry counts from so many occurrences in the training texts on.
 LEAST_COUNT = 5
 #: The training sample: texts of each language, longest text in words; sequences per step, their words, steps.
@@ -25,7 +25,7 @@ BATCH, WORDS, STEPS, RATE = 24, 48, 220, 0.15
 #: Words of a training sequence until it may switch to a text of another language.
 STRETCH = 12
 FOLDS, HELD_OUT = 4, 2
-MEMORY_WORDS = 200_000
+MEMORY_WORDS = 300_000
 SEED = 5
 
 
