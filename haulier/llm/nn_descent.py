@@ -66,17 +66,19 @@ def _graph(nodes: DataFrame, dims: int, threshold: float, rounds: int, audit: in
     size = LIST
     nodes = nodes.select("node", "v", "copies", "first_id")
     graph = stored(_lists(_first_candidates(nodes, dims, total, size).withColumn("age", F.lit(0)), size, threshold), "vectors-graph")
-    links_before, quiet = -1, 0
+    links_before, quiet, passed = -1, 0, False
     for turn in range(1, rounds + 1):
         if turn > 2 and quiet:
-            missing, share = _audited(nodes, graph, dims, audit, threshold)
+            missing, share = _audited(nodes, graph, dims, audit, threshold, turn)
             if share >= recall and missing.isEmpty():
+                passed = True
                 break
-            # The audit missed links: they enter the graph, and every list grows.
+            # The audit missed links: they enter the graph, every list grows and all of them join again.
             size = min(2 * size, LONGEST_LIST)
-            graph = stored(_lists(graph.unionByName(missing.withColumn("age", F.lit(turn))), size, threshold), "vectors-graph")
+            graph = _lists(graph.unionByName(missing.withColumn("age", F.lit(turn))), size, threshold)
+            graph = stored(graph.withColumn("age", F.lit(turn)), "vectors-graph")
             quiet = 0
-        candidates = _neighbours_of_neighbours(nodes, graph, dims, size, turn)
+        candidates = _neighbours_of_neighbours(nodes, graph, dims, size, turn, threshold)
         merged = graph.unionByName(candidates.withColumn("age", F.lit(turn)))
         refined = stored(_lists(merged, size, threshold), "vectors-graph")
         links = refined.where(F.col("sim") >= threshold).count()
@@ -193,8 +195,8 @@ def _first_candidates(nodes: DataFrame, dims: int, total: int, size: int) -> Dat
     return cells.transform(map_arrow, nearest, EDGES)
 
 
-def _neighbours_of_neighbours(nodes: DataFrame, graph: DataFrame, dims: int, size: int, turn: int) -> DataFrame:
-    """Pairs that meet in some node's list, at least one of them new there, and that improve a list."""
+def _neighbours_of_neighbours(nodes: DataFrame, graph: DataFrame, dims: int, size: int, turn: int, threshold: float) -> DataFrame:
+    """Pairs that meet in some node's list, at least one of them new there, and that improve a list or are links."""
     # Lists run both ways; of the nodes that point to a popular one the nearest few take part, the others meet it elsewhere.
     back = graph.select(F.col("other").alias("node"), F.col("node").alias("other"), "sim", "age")
     order = Window.partitionBy("node").orderBy(F.desc("sim"), "other")
@@ -217,7 +219,7 @@ def _neighbours_of_neighbours(nodes: DataFrame, graph: DataFrame, dims: int, siz
             vectors, least = unit_rows(_matrix(run["v"], dims).astype(np.float64)), run["least"].to_numpy()
             sims = vectors @ vectors.T
             np.fill_diagonal(sims, -3)
-            a, b = np.nonzero((sims > least[:, None]) & (fresh[:, None] | fresh[None, :]))
+            a, b = np.nonzero(((sims > least[:, None]) | (sims >= threshold)) & (fresh[:, None] | fresh[None, :]))
             if len(a):
                 yield _edges(ids[a], ids[b], sims[a, b])
 
@@ -225,9 +227,9 @@ def _neighbours_of_neighbours(nodes: DataFrame, graph: DataFrame, dims: int, siz
     return members.transform(map_arrow, joined, EDGES).groupBy("node", "other").agg(F.max("sim").alias("sim"))
 
 
-def _audited(nodes: DataFrame, graph: DataFrame, dims: int, audit: int, threshold: float) -> tuple[DataFrame, float]:
+def _audited(nodes: DataFrame, graph: DataFrame, dims: int, audit: int, threshold: float, turn: int) -> tuple[DataFrame, float]:
     """Links of a bounded random set of vectors that the graph lacks, and the share of their links that it holds."""
-    chosen = nodes.orderBy(F.xxhash64(F.lit(SEED), "node")).limit(audit).select("node", "v").collect()
+    chosen = nodes.orderBy(F.xxhash64(F.lit(SEED), F.lit(turn), "node")).limit(audit).select("node", "v").collect()
     ids = np.array([r["node"] for r in chosen], dtype=np.int64)
     queries = unit_rows(np.array([r["v"] for r in chosen], dtype=np.float64).reshape(-1, dims))
 
@@ -242,7 +244,7 @@ def _audited(nodes: DataFrame, graph: DataFrame, dims: int, audit: int, threshol
     links = stored(nodes.select("node", "v").transform(map_arrow, compared, EDGES), "vectors-audit")
     reversed_ = graph.select(F.col("other").alias("node"), F.col("node").alias("other"))
     known = graph.select("node", "other").unionByName(reversed_)
-    # A full list of a dense node is completed by blocks later on: what it lacks is no fault of the graph.
+    # Nodes with full lists are compared with all vectors later on: what their lists lack is no fault of the graph.
     full = graph.where(F.col("sim") >= threshold).groupBy("node").count().where(F.col("count") >= LONGEST_LIST).select("node")
     open_links = links.join(full, "node", "left_anti")
     missing = stored(open_links.join(known, ["node", "other"], "left_anti"), "vectors-missing")
