@@ -87,19 +87,66 @@ def _graph(nodes: DataFrame, dims: int, threshold: float, rounds: int, audit: in
     links = graph.where(F.col("sim") >= threshold).select(F.col("node").alias("a"), F.col("other").alias("b"))
     links = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "vectors-links")
     roots = stored(connected_components(links, "vectors"), "vectors-roots")
-    first = roots.join(nodes.select("node", "first_id"), "node").groupBy("root").agg(F.min("first_id").alias("component_id"))
     near = links.join(nodes.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node")).agg(
         F.sum("copies").alias("near"), F.count(F.lit(1)).alias("listed")
     )
     near = stored(near, "vectors-near")
-    # Lists that links fill to the last place may end too early: the components they lie in are counted exactly, block by
-    # block, and so are components of one block, where counting costs no more than reading.
-    full = near.where(F.col("listed") >= LONGEST_LIST).join(roots, "node").select("root")
+    # Lists that links fill to the last place may end too early: their nodes meet all vectors, and so does every node
+    # if no audit passed.
+    full = near.where(F.col("listed") >= LONGEST_LIST).select("node") if passed else nodes.select("node")
+    met, roots = _compared_with_all(full, nodes, roots, dims, threshold)
+    first = roots.join(nodes.select("node", "first_id"), "node").groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # The components that they lie in are counted exactly, block by block, and so are components of one block, where
+    # counting costs no more than reading.
+    dense = roots.join(full, "node").select("root") if passed else roots.select("root").limit(0)
     small = roots.groupBy("root").count().where((F.col("count") > 2) & (F.col("count") <= BLOCK)).select("root")
-    dense = stored(roots.join(full.unionByName(small).distinct(), "root"), "vectors-dense")
+    dense = stored(roots.join(dense.unionByName(small).distinct(), "root"), "vectors-dense")
     exact = _counted_in_blocks(dense, nodes, dims, threshold)
-    counts = near.join(exact, "node", "left").select("node", F.coalesce("exact", "near").alias("near"))
-    return counts.join(roots, "node").join(first, "root").select("node", "near", "component_id")
+    counts = roots.join(near, "node", "left").join(met, "node", "left").join(exact, "node", "left")
+    counts = counts.select("node", "root", F.coalesce("met", "exact", "near").alias("near"))
+    return counts.join(first, "root").select("node", "near", "component_id")
+
+
+def _compared_with_all(some: DataFrame, nodes: DataFrame, roots: DataFrame, dims: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Exact counts of ``some`` nodes over all vectors (``node``, ``met``), and ``roots`` merged along all of their links.
+
+    Links stay in the tasks: what leaves them is a count per node and block, and each pair of components that they tie once.
+    """
+    rows = nodes.select("node", "v", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    blocks = [max(1, -(-df.count() // (8 * BLOCK))) for df in (some, nodes)]
+    place = [F.pmod(F.xxhash64(F.lit(i), "node"), F.lit(n)) for i, n in enumerate(blocks)]
+    facing = [F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in blocks]
+    left = rows.join(some, "node").withColumn("own", place[0]).withColumn("other", facing[1]).withColumn("left", F.lit(True))
+    right = rows.withColumn("other", place[1]).withColumn("own", facing[0]).withColumn("left", F.lit(False))
+    both = left.unionByName(right).withColumn("pair", F.col("own") * F.lit(blocks[1]) + F.col("other"))
+    both = both.select("pair", "left", "node", "root", "copies", "v").repartition("pair").sortWithinPartitions("pair", "node")
+
+    def compared(batches):
+        for run in _runs(batches, "pair", ["left", "node", "root", "copies", "v"]):
+            side = run["left"].to_numpy(zero_copy_only=False)
+            node, root, copies = (run[c].to_numpy() for c in ("node", "root", "copies"))
+            vectors, right = unit_rows(_matrix(run["v"], dims)), np.flatnonzero(~side)
+            for at in range(0, int(side.sum()), 256):
+                mine = np.flatnonzero(side)[at : at + 256]
+                near = (vectors[mine] @ vectors[right].T >= threshold) & (node[mine][:, None] != node[right])
+                a, b = np.nonzero(near & (root[mine][:, None] != root[right]))
+                ties = np.unique(np.stack([root[mine][a], root[right][b]], axis=1), axis=0)
+                yield _met(np.zeros(len(mine), dtype=np.int64), node[mine], near @ copies[right])
+                yield _met(np.ones(len(ties), dtype=np.int64), ties[:, 0], ties[:, 1])
+
+    found = stored(both.transform(map_arrow, compared, "kind long, x long, y long"), "vectors-met")
+    met = found.where("kind = 0").groupBy(F.col("x").alias("node")).agg(F.sum("y").alias("met")).where("met > 0")
+    ties = found.where("kind = 1").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    if ties.isEmpty():
+        return met, roots
+    merged = stored(connected_components(ties, "vectors-ties").withColumnRenamed("root", "whole"), "vectors-merged")
+    lone = merged.select("node").join(roots.select("node"), "node", "left_anti").select("node", F.col("node").alias("root"))
+    every = roots.unionByName(lone).join(merged.withColumnRenamed("node", "root"), "root", "left")
+    return met, stored(every.select("node", F.coalesce("whole", "root").alias("root")), "vectors-roots")
+
+
+def _met(kind: np.ndarray, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (kind, x, y)], names=["kind", "x", "y"])
 
 
 def _lists(edges: DataFrame, size: int, threshold: float) -> DataFrame:
