@@ -19,7 +19,7 @@ BUCKETS, LEXICON = 1 << 15, 1 << 16
 AFFIXES, GRAMS = (1, 2, 3, 4), (3,)
 #: A lexicon entry counts from so many occurrences in the training texts on.
 LEAST_COUNT = 5
-#: The training sample: texts of each language, longest text in words; sequences per step, their words, steps.
+#: The training sample: texts of each language, words of a text at most (of longer ones a window); sequences per step, their words, steps.
 TEXTS, LONGEST = 150, 20_000
 BATCH, WORDS, STEPS, RATE = 24, 48, 220, 0.15
 #: Words of a training sequence until it may switch to a text of another language.
@@ -125,9 +125,10 @@ def marginals(emissions: np.ndarray, starts: np.ndarray, sizes: np.ndarray, tran
 
 
 def _spliced(texts: dict[str, list[list[str]]], languages: list[str], rng) -> tuple[list[str], list[int]]:
-    """A code-switched training sequence: stretches of real texts, each in the language of its text."""
+    """A code-switched training sequence: stretches of real texts, each in the language of its text. Languages without texts take no part."""
     words, labels = [], []
-    language = int(rng.integers(len(languages)))
+    filled = [i for i, name in enumerate(languages) if texts.get(name)]
+    language = filled[int(rng.integers(len(filled)))]
     while len(words) < WORDS:
         source = texts[languages[language]]
         text = source[int(rng.integers(len(source)))]
@@ -135,7 +136,7 @@ def _spliced(texts: dict[str, list[list[str]]], languages: list[str], rng) -> tu
         begin = int(rng.integers(len(text) - take + 1))
         words += text[begin : begin + take]
         labels += [language] * take
-        language = int(rng.integers(len(languages)))
+        language = filled[int(rng.integers(len(filled)))]
     return words, labels
 
 
@@ -149,7 +150,7 @@ def train(texts: dict[str, list[list[str]]], counts: np.ndarray, languages: list
     squares = {name: np.full_like(getattr(field, name), 1e-4) for name in ("weights", "lexicon_weights", "transitions", "start")}
     known: dict[str, tuple[np.ndarray, int]] = {}
     usable = {k: [t for t in v if t] for k, v in texts.items()}
-    if n < 2 or not all(usable.get(k) for k in languages):
+    if sum(bool(usable.get(k)) for k in languages) < 2:  # nothing to tell apart
         steps = 0
     for _ in range(steps):
         batch = [_spliced(usable, languages, rng) for _ in range(BATCH)]
@@ -241,10 +242,15 @@ def fitted(df: DataFrame) -> Field:
         return Field([], np.zeros((BUCKETS, 0)), np.zeros((LEXICON, 0)), np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0))
     counts = lexicon_counts(rows.select("lang", "text"), languages)
     order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id")
-    short = F.size(F.split("text", r"\s+", LONGEST + 2)) <= LONGEST + 1
-    chosen = rows.where(short).select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= TEXTS)
+    rows = rows.where(F.col("text").rlike(r"\p{L}"))  # nothing is learned from a text without letters
+    chosen = rows.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= TEXTS)
     ids = sorted({r["doc_id"] for r in chosen.select("doc_id").collect() if r["doc_id"] is not None})
-    sample = rows.where(F.col("doc_id").isin(ids) & short).dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    # Of a longer text a window takes part, begun anywhere.
+    split = F.split("text", r"\s+")
+    begin = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.greatest(F.size(split) - LONGEST, F.lit(1))) + 1
+    window = F.array_join(F.slice(split, begin.cast("int"), LONGEST), " ")
+    cut = F.when(F.size(split) <= LONGEST + 1, F.col("text")).otherwise(window)
+    sample = rows.where(F.col("doc_id").isin(ids)).dropDuplicates(["doc_id"]).select("doc_id", "lang", cut.alias("text")).orderBy("doc_id").collect()
     texts: dict[str, list[list[str]]] = {lang: [] for lang in languages}
     for row in sample:
         texts[row["lang"]].append(words_of(row["text"]))
