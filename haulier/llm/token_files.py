@@ -128,14 +128,18 @@ class FrameReader:
         for number in range(len(self.sizes)):
             yield from self.frame(number)
 
-    def read(self, wanted: Iterable[int]) -> dict[int, np.ndarray]:
-        """Token ids of the wanted documents; decompresses only frames whose id range may hold one."""
-        wanted, out = sorted(set(wanted)), {}
+    def chosen(self, wanted: Iterable[int | None]) -> Iterator[tuple[int | None, np.ndarray]]:
+        """Every document with a wanted id, repeated and NULL ids too, in file order; decompresses only frames whose id range may hold one."""
+        asked = set(wanted)
+        wanted = sorted(_EMPTY_ID if i is None else i for i in asked)
         for number, (first, last) in enumerate(zip(self.first.tolist(), self.last.tolist(), strict=True)):
             at = np.searchsorted(wanted, first)
             if at < len(wanted) and wanted[at] <= last:
-                out.update((doc_id, ids) for doc_id, ids in self.frame(number) if doc_id in set(wanted))
-        return out
+                yield from ((doc_id, ids) for doc_id, ids in self.frame(number) if doc_id in asked)
+
+    def read(self, wanted: Iterable[int]) -> dict[int, np.ndarray]:
+        """Token ids of the wanted documents by id; of a repeated id the last one (:meth:`chosen` has all)."""
+        return dict(self.chosen(wanted))
 
 
 MANIFEST = "path string, place int, first_id long, last_id long, documents long, tokens long, frames int"
@@ -200,8 +204,8 @@ def read_token_files(manifest: DataFrame, *, doc_ids: list[int] | None = None) -
     before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     files = manifest.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
     if doc_ids is not None:
-        wanted = F.array(*[F.lit(i).cast("long") for i in doc_ids])
-        files = files.where(F.exists(wanted, lambda i: (i >= F.coalesce("first_id", F.lit(_EMPTY_ID))) & (i <= F.col("last_id"))))
+        wanted = F.array(*[F.lit(_EMPTY_ID if i is None else i).cast("long") for i in doc_ids])
+        files = files.where(F.exists(wanted, lambda i: (i >= F.coalesce("first_id", F.lit(_EMPTY_ID))) & (i <= F.coalesce("last_id", F.lit(_EMPTY_ID)))))
     files = files.select("path", "base", "place")
     # One partition per file, as far as hashing goes: the listing is small, the files are not.
     files = files.repartition(max(1, min(manifest.count(), 20_000)), "place")
@@ -213,7 +217,7 @@ def read_token_files(manifest: DataFrame, *, doc_ids: list[int] | None = None) -
                 store, inner = open_store(path)
                 with store.open_input_file(inner) as file:
                     reader = FrameReader(file)
-                    chosen = reader if doc_ids is None else reader.read(doc_ids).items()
+                    chosen = reader if doc_ids is None else reader.chosen(doc_ids)
                     rows, start = [], base
                     for doc_id, ids in chosen:
                         crc = zlib.crc32(ids.astype("<u4").tobytes())
