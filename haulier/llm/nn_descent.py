@@ -40,9 +40,10 @@ def near_vectors(df: DataFrame, *, threshold: float = THRESHOLD, rounds: int = R
     nodes = rows.where("usable").groupBy(F.transform("v", lambda x: x + 0.0).alias("v"))
     nodes = nodes.agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()).withColumn("dims", F.size("v")), "vectors-distinct")
+    single = df.schema["embedding"].dataType.simpleString() == "array<float>"
     found = None
     for dims in sorted(r["dims"] for r in nodes.select("dims").distinct().collect()):
-        counts = _graph(nodes.where(F.col("dims") == dims), dims, threshold, rounds, audit, recall)
+        counts = _graph(nodes.where(F.col("dims") == dims), dims, threshold, rounds, audit, recall, single)
         found = counts if found is None else found.unionByName(counts)
     alone = rows.where(~F.col("usable")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if found is None:
@@ -60,12 +61,12 @@ def near_vectors(df: DataFrame, *, threshold: float = THRESHOLD, rounds: int = R
     return linked.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _graph(nodes: DataFrame, dims: int, threshold: float, rounds: int, audit: int, recall: float) -> DataFrame:
+def _graph(nodes: DataFrame, dims: int, threshold: float, rounds: int, audit: int, recall: float, single: bool) -> DataFrame:
     """(``node``, ``near``: linked vectors with multiplicity, ``component_id``) of the nodes that have links."""
     total = nodes.count()
     size = LIST
     nodes = nodes.select("node", "v", "copies", "first_id")
-    graph = stored(_lists(_first_candidates(nodes, dims, total, size).withColumn("age", F.lit(0)), size, threshold), "vectors-graph")
+    graph = stored(_lists(_first_candidates(nodes, dims, total, size, single).withColumn("age", F.lit(0)), size, threshold), "vectors-graph")
     links_before, quiet, passed = -1, 0, False
     for turn in range(1, rounds + 1):
         if turn > 2 and quiet:
@@ -78,7 +79,7 @@ def _graph(nodes: DataFrame, dims: int, threshold: float, rounds: int, audit: in
             graph = _lists(graph.unionByName(missing.withColumn("age", F.lit(turn))), size, threshold)
             graph = stored(graph.withColumn("age", F.lit(turn)), "vectors-graph")
             quiet = 0
-        candidates = _neighbours_of_neighbours(nodes, graph, dims, size, turn, threshold)
+        candidates = _neighbours_of_neighbours(nodes, graph, dims, size, turn, threshold, single)
         merged = graph.unionByName(candidates.withColumn("age", F.lit(turn)))
         refined = stored(_lists(merged, size, threshold), "vectors-graph")
         links = refined.where(F.col("sim") >= threshold).count()
@@ -172,6 +173,11 @@ def _edges(a, b, sim) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float64())], names=["node", "other", "sim"])
 
 
+def _narrow(single: bool):
+    """Vectors of a float table travel as floats, which loses nothing; others stay doubles."""
+    return F.transform("v", lambda x: x.cast("float")).alias("v") if single else F.col("v")
+
+
 EDGES = "node long, other long, sim double"
 
 
@@ -203,7 +209,7 @@ def _cut(table: pa.Table, begin: int, end: int, columns: list[str], most: int |
         yield {c: part.column(c).combine_chunks() for c in columns}
 
 
-def _first_candidates(nodes: DataFrame, dims: int, total: int, size: int) -> DataFrame:
+def _first_candidates(nodes: DataFrame, dims: int, total: int, size: int, single: bool) -> DataFrame:
     """Nearest vectors within small cells of random hyperplanes, several times over."""
     bits = max(1, min(60, int(np.ceil(np.log2(max(2, total / LEAF))))))
     planes = np.random.default_rng(SEED).standard_normal((ORDERS * bits, dims))
@@ -218,7 +224,7 @@ def _first_candidates(nodes: DataFrame, dims: int, total: int, size: int) -> Dat
             )
 
     cells = nodes.select("node", "v").transform(map_arrow, coded, "node long, codes array<long>, v array<double>")
-    cells = cells.select("node", F.posexplode("codes").alias("turn", "code"), F.transform("v", lambda x: x.cast("float")).alias("v"))
+    cells = cells.select("node", F.posexplode("codes").alias("turn", "code"), _narrow(single))
     # A cell that holds many vectors is dealt out at random in parts of a few leaves: parts, not the cell, are compared.
     cells = cells.withColumn("cell", F.xxhash64("turn", "code")).withColumn("part", F.xxhash64("node", "turn"))
     counts = stored(cells.groupBy("cell").count().where(F.col("count") > 4 * LEAF).select("cell", F.col("count").alias("many")), "vectors-cells")
@@ -242,7 +248,7 @@ def _first_candidates(nodes: DataFrame, dims: int, total: int, size: int) -> Dat
     return cells.transform(map_arrow, nearest, EDGES)
 
 
-def _neighbours_of_neighbours(nodes: DataFrame, graph: DataFrame, dims: int, size: int, turn: int, threshold: float) -> DataFrame:
+def _neighbours_of_neighbours(nodes: DataFrame, graph: DataFrame, dims: int, size: int, turn: int, threshold: float, single: bool) -> DataFrame:
     """Pairs that meet in some node's list, at least one of them new there, and that improve a list or are links."""
     # Lists run both ways; of the nodes that point to a popular one the nearest few take part, the others meet it elsewhere.
     back = graph.select(F.col("other").alias("node"), F.col("node").alias("other"), "sim", "age")
@@ -252,7 +258,7 @@ def _neighbours_of_neighbours(nodes: DataFrame, graph: DataFrame, dims: int, siz
     members = ahead.unionByName(back).groupBy("node", "other").agg(F.max("age").alias("age"))
     lowest = graph.groupBy("node").agg(F.min("sim").alias("least"), F.count(F.lit(1)).alias("n"))
     lowest = lowest.select(F.col("node").alias("other"), F.when(F.col("n") >= size, F.col("least")).otherwise(-2.0).alias("least"))
-    vectors = nodes.select(F.col("node").alias("other"), F.transform("v", lambda x: x.cast("float")).alias("v"))
+    vectors = nodes.select(F.col("node").alias("other"), _narrow(single))
     members = members.join(lowest, "other", "left").join(vectors, "other")
     members = members.select("node", "other", (F.col("age") >= turn - 1).alias("fresh"), F.coalesce("least", F.lit(-2.0)).alias("least"), "v")
     members = members.repartition("node").sortWithinPartitions("node", "other")
