@@ -1,4 +1,4 @@
-"""Whole-text encoding with a public tokenizer, helped by a memory of the pieces already seen."""
+"""Whole-text encoding with public tokenizers, helped by a memory of the pieces and words already seen."""
 
 from __future__ import annotations
 
@@ -8,80 +8,119 @@ import re
 import sys
 from collections.abc import Iterable
 
+import numpy as np
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Pieces kept per worker; both generations together stay below about 150 MB.
-MEMORY_PIECES = 300_000
+#: Pieces and words kept per worker in each of two generations: together at most about 350 MB.
+MEMORY_PIECES, MEMORY_WORDS = 400_000, 400_000
 LONGEST_PIECE = 64
 
-#: Marks that end a piece and that both tokenizers cut off from the letters in front.
+#: Marks that end a piece and that the tokenizers cut off from the letters in front.
 _TAIL = ".,;:!?*%$#&"
-_SPACE_RUN = re.compile(r"\s\s|^\s|\s$")
+#: Letters that normalisation leaves alone but for their case. A zero in front: no space stands before the word.
+_PLAIN = re.compile("\0?[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes with: printable ones are themselves, others follow from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+BYTE_LETTERS = _byte_letters()
+_ABOVE_SPACE = {byte: letter for byte, letter in BYTE_LETTERS.items() if byte > 0x20}
+_LETTER_BYTES = {ord(letter): byte for byte, letter in BYTE_LETTERS.items()}
+
+
+class Memory:
+    """A dictionary of bounded size in two generations: a full one becomes the old one, and what is asked for again moves on."""
+
+    def __init__(self, size: int) -> None:
+        self._size, self.new, self._old = size, {}, {}
+
+    def old(self, keys: Iterable[str]) -> dict[str, bytes]:
+        """What the old generation knows of keys that the new one lacks; they move on."""
+        old = self._old
+        found = {key: old[key] for key in keys if key in old}
+        self.add(found)
+        return found
 
+    def add(self, items: dict[str, bytes]) -> None:
+        if len(self.new) + len(items) > self._size:
+            self._old, self.new = self.new, {}
+        self.new.update(items)
 
-class Encoder:
-    """Encodes texts as the tokenizer's own ``encode(text, add_special_tokens=False)`` does, piece by piece.
 
-    Both public tokenizers cut a text at white space before they merge, so the ids of a text are the ids of its pieces
-    in a row. Pieces repeat, so each is encoded by the tokenizer once and remembered. The byte-level tokenizer joins a single
-    space to the word behind it; texts with runs of white space that a cut at spaces could change, and texts
-    that may hold a special token, are encoded whole. The memory has two generations of bounded size: a full one
-    becomes the old one, and pieces found there move on.
+def _irregular(piece: str) -> bool:
+    """Whether other white space than one space or line end stands at or in the piece."""
+    return piece != "\n" and (piece := piece.removeprefix("\0")).split() != [piece]
+
+
+class PieceEncoder:
+    """Encodes texts piece by piece where that gives the ids of the whole text.
+
+    The tokenizers cut a text at white space before they merge, so the ids of a text are the ids of its pieces in a row.
+    Pieces repeat, so each is encoded once and remembered; a piece of letters and closing marks is put together from a remembered word
+    and its tail, so that new pieces are mostly known words. Texts that cannot be cut this way are encoded whole. A subclass says how to cut and
+    how to encode. Pieces start with a zero where no space stands in front of them, if the tokenizer cares.
     """
 
-    def __init__(self, path: str, pieces: int = MEMORY_PIECES) -> None:
-        from tokenizers import Tokenizer
+    code = "H"
+    #: Whether white space has ids of its own.
+    _spaced = True
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._keeps_spaces = self._tokenizer.encode("a b", add_special_tokens=False).tokens != ["a</w>", "b</w>"]
-        self._code = "H" if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
-        self._pieces, self._new, self._old, self._tails = pieces, {}, {}, {}
+    def __init__(self, pieces: int = MEMORY_PIECES, words: int = MEMORY_WORDS) -> None:
+        self._pieces, self._words, self._tails = Memory(pieces), Memory(words), {}
 
     @property
     def dtype(self) -> str:
         """numpy type of the ids: little-endian, two or four bytes."""
-        return "<u2" if self._code == "H" else "<u4"
+        return "<u2" if self.code == "H" else "<u4"
 
     def _bytes(self, ids: list[int]) -> bytes:
-        packed = array.array(self._code, ids)
+        packed = array.array(self.code, ids)
         if sys.byteorder == "big":
             packed.byteswap()
         return packed.tobytes()
 
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        return [self._bytes(x.ids) for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
-
     def _cut(self, text: str) -> list[str] | None:
         """Pieces whose ids are the text's ids in a row; None where only the whole text gives them."""
-        if "<|" in text:
-            return None
-        if not self._keeps_spaces:
-            return text.replace("\n", " ").split(" ")
-        if "\0" in text or _SPACE_RUN.search(text):
-            return None
-        # A zero marks a piece without a space in front: the first one and those behind a line end.
-        return ("\0" + text.replace("\n", " \n \0")).split(" ")
+        raise NotImplementedError
 
-    def _text_of(self, piece: str) -> str:
-        if not self._keeps_spaces:
-            return piece
-        if piece[:1] == "\0":
-            return piece[1:]
-        return piece if piece == "\n" else " " + piece
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        raise NotImplementedError
+
+    def _odd(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces of any kind."""
+        raise NotImplementedError
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """Ids of pieces of plain letters only, many at a time."""
+        return self._odd(words)
 
-    def encode(self, texts: Iterable[str], together: int = 128) -> list[bytes]:
+    def _tail_ids(self, tail: str) -> bytes:
+        """Ids of closing marks behind a letter."""
+        raise NotImplementedError
+
+    def encode(self, texts: Iterable[str], together: int = 256) -> list[bytes]:
         """Little-endian ids of each text, as bytes. Unseen pieces of ``together`` texts are encoded in one call."""
         texts, out = list(texts), []
         for begin in range(0, len(texts), together):
-            some = texts[begin : begin + together]
-            cuts = [self._cut(text) if text else [] for text in some]
-            known = [list(map(self._new.get, cut)) if cut else [] for cut in cuts]
+            cuts = [self._cut(text) if text else [] for text in texts[begin : begin + together]]
+            get = self._pieces.new.get
+            known = [list(map(get, cut)) if cut else [] for cut in cuts]
             missing: set[str] = set()
             for cut, ids in zip(cuts, known, strict=True):
                 if None in ids:
-                    missing.update(piece for piece, found in zip(cut, ids, strict=True) if found is None)
+                    missing.update([piece for piece, found in zip(cut, ids, strict=True) if found is None])
+            if missing and self._spaced and (irregular := {piece for piece in missing if _irregular(piece)}):
+                # Runs of white space: the texts that have them are encoded whole, and such pieces never come into the memory.
+                cuts = [None if cut and not irregular.isdisjoint(cut) else cut for cut in cuts]
+                missing -= irregular
             found = self._find(missing) if missing else {}
-            whole = iter(self._raw([text for text, cut in zip(some, cuts, strict=True) if cut is None]))
+            whole = iter(self._whole([text for text, cut in zip(texts[begin : begin + together], cuts, strict=True) if cut is None]))
             for cut, ids in zip(cuts, known, strict=True):
                 if cut is None:
                     out.append(next(whole))
@@ -93,51 +132,167 @@ class Encoder:
 
     def _find(self, missing: set[str]) -> dict[str, bytes]:
         """Ids of pieces that the young generation of the memory lacks; remembers them."""
-        found = {piece: self._old[piece] for piece in missing if piece in self._old}
-        cores: dict[str, tuple[str, str]] = {}
-        single = []
-        for piece in missing.difference(found):
-            core = piece.rstrip(_TAIL)
-            if core.isalpha():
-                cores[piece] = core, piece[len(core) :]
+        found = self._pieces.old(missing)
+        parts = [(piece, piece.rstrip(_TAIL)) for piece in missing if piece not in found]
+        known = self._words.new
+        words = {core for _, core in parts if core not in known}
+        ids = self._words.old(words) if words else {}
+        plain = [word for word in words if word not in ids and _PLAIN(word)]
+        new = dict(zip(plain, self._plain(plain), strict=True)) if plain else {}
+        self._words.add({word: x for word, x in new.items() if len(word) <= LONGEST_PIECE})
+        ids |= new
+        made, odd = {}, []
+        for piece, core in parts:
+            got = ids.get(core) or known.get(core)
+            if got is None:
+                odd.append(piece)
             else:
-                single.append(piece)
-        found.update(zip(single, self._raw([self._text_of(p) for p in single]), strict=True))
-        if cores:
-            words = list({core for core, _ in cores.values()})
-            known = self._words(words)
-            for piece, (core, tail) in cores.items():
-                found[piece] = known[core] + self._tail(tail) if tail else known[core]
-        if len(self._new) + len(found) > self._pieces:
-            self._old, self._new = self._new, {}
-        self._new.update((p, ids) for p, ids in found.items() if len(p) <= LONGEST_PIECE)
-        return found
-
-    def _words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words of letters only: encoded as one text and taken apart at the tokenizer's own word numbers."""
-        encoded = self._tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0]
-        raw, numbers, size = self._bytes(encoded.ids), encoded.word_ids, array.array(self._code).itemsize
-        ends = [i for i in range(1, len(numbers)) if numbers[i] != numbers[i - 1]] + [len(numbers)]
-        if len(ends) != len(words):
-            return dict(zip(words, self._raw([self._text_of(w) for w in words]), strict=True))
-        return {w: raw[size * i : size * j] for w, i, j in zip(words, [0, *ends], ends, strict=False)}
+                made[piece] = got + self._tail(piece[len(core) :]) if len(core) < len(piece) else got
+        if odd:
+            made.update(zip(odd, self._odd(odd), strict=True))
+        self._pieces.add({piece: x for piece, x in made.items() if len(piece) <= LONGEST_PIECE})
+        return found | made
 
     def _tail(self, tail: str) -> bytes:
         if tail not in self._tails:
             if len(self._tails) > 10_000:
                 self._tails.clear()
-            self._tails[tail] = self._raw([tail])[0]
+            self._tails[tail] = self._tail_ids(tail)
         return self._tails[tail]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+class Encoder(PieceEncoder):
+    """A byte-level tokenizer of the ``tokenizers`` library: ids as of its ``encode(text, add_special_tokens=False)``.
 
+    A single space belongs to the word behind it, unless the tokenizer drops white space. Texts with runs of white space that a cut
+    at spaces could change are encoded whole, and so are texts that may hold a special token. ``plain_specials``: the names of special tokens are ordinary text.
+    Words of plain letters go straight to the merges of the model, many in one call, without normaliser and patterns.
+    """
+
+    def __init__(self, path: str, pieces: int = MEMORY_PIECES, words: int = MEMORY_WORDS, *, plain_specials: bool = False) -> None:
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        super().__init__(pieces, words)
+        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.encode_special_tokens = self._plain_specials = plain_specials
+        self._keeps_spaces = self._tokenizer.encode("a b", add_special_tokens=False).tokens != ["a</w>", "b</w>"]
+        self._spaced = self._keeps_spaces
+        self.code = "H" if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
+        self._merges = Tokenizer(self._tokenizer.model)
+        self._merges.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        names = [self._tokenizer.id_to_token(i) or "" for i in range(self._tokenizer.get_vocab_size(with_added_tokens=True))]
+        self._marked = np.array([name.startswith(BYTE_LETTERS[0x20]) if self._keeps_spaces else name.endswith("</w>") for name in names])
 
-def encoder(path: str) -> Encoder:
+    def token_bytes(self) -> list[bytes]:
+        """The bytes of every id of a vocabulary that keeps spaces."""
+        n = self._tokenizer.get_vocab_size(with_added_tokens=True)
+        names = [self._tokenizer.id_to_token(i) or "" for i in range(n)]
+        return [bytes(_LETTER_BYTES.get(ord(c), 0x3F) for c in name) for name in names]
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [self._bytes(x.ids) for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def _cut(self, text: str) -> list[str] | None:
+        if "<|" in text and not self._plain_specials:
+            return None
+        if not self._keeps_spaces:
+            return text.replace("\n", " ").split(" ")
+        if "\0" in text:
+            return None
+        return ("\0" + text.replace("\n", " \n \0")).split(" ")
+
+    def _text_of(self, piece: str) -> str:
+        if not self._keeps_spaces:
+            return piece
+        if piece[:1] == "\0":
+            return piece[1:]
+        return piece if piece == "\n" else " " + piece
+
+    def _odd(self, pieces: list[str]) -> list[bytes]:
+        return self._whole([self._text_of(piece) for piece in pieces])
+
+    def _tail_ids(self, tail: str) -> bytes:
+        return self._whole([tail])[0]
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        if self._keeps_spaces:
+            later = [word for word in words if word[0] != "\0"]
+            if len(later) < len(words):
+                ids = dict(zip(later, self._plain(later), strict=True)) if later else {}
+                first = [word for word in words if word[0] == "\0"]
+                ids.update(zip(first, self._odd(first), strict=True))
+                return [ids[word] for word in words]
+        letters = " ".join(words)
+        letters = "\x01" + letters.replace(" ", " \x01") if self._keeps_spaces else letters.lower()
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(_ABOVE_SPACE)
+        encoded = self._merges.encode_batch_fast([letters.replace("\x01", BYTE_LETTERS[0x20])], add_special_tokens=False)[0]
+        ids = np.array(encoded.ids, dtype=self.dtype)
+        # The first token of a word shows the space in front of it, or the last one the end of the word.
+        cuts = np.flatnonzero(self._marked[ids]) if self._keeps_spaces else np.flatnonzero(self._marked[ids])[:-1] + 1
+        ends = [*(cuts[1:] if self._keeps_spaces else cuts).tolist(), len(ids)]
+        if len(ends) != len(words):
+            return self._odd(words)
+        raw, size = ids.tobytes(), ids.itemsize
+        return [raw[size * i : size * j] for i, j in zip([0, *ends], ends, strict=False)]
+
+
+class PieceModelEncoder(PieceEncoder):
+    """A ``sentencepiece`` model that adds a space in front: ids as of its ``encode(text)``.
+
+    Whether its pieces allow the cuts is read from its vocabulary: none may hold a space behind another letter, a line end, or a
+    closing mark behind a letter; else texts are encoded whole.
+    """
+
+    def __init__(self, path: str, pieces: int = MEMORY_PIECES, words: int = MEMORY_WORDS) -> None:
+        import sentencepiece
+
+        super().__init__(pieces, words)
+        self._model = sentencepiece.SentencePieceProcessor(model_file=path)
+        names = [self._model.id_to_piece(i) for i in range(self._model.get_piece_size())]
+        self.code = "H" if len(names) <= 1 << 16 else "I"
+        pairs = {pair for name in names for pair in zip(name, name[1:], strict=False)}
+        at_spaces = not any(b == "▁" != a or "\n" in (a, b) for a, b in pairs) and "\n" not in names
+        at_tails = not any(a.isalpha() and b in _TAIL for a, b in pairs)
+        self._head = self._model.encode("\n")
+        self._cuts = at_spaces and at_tails and self._model.encode("\na b\nc") == [
+            *self._head, *self._model.encode("\na")[len(self._head) :], *self._model.encode("b"), self._head[-1], *self._model.encode("\nc")[len(self._head) :]
+        ]
+
+    def token_bytes(self) -> list[bytes]:
+        model = self._model
+        kinds = ((i, model.id_to_piece(i)) for i in range(model.get_piece_size()))
+        return [bytes([int(name[3:5], 16)]) if model.is_byte(i) else name.replace("▁", " ").encode() for i, name in kinds]
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return list(map(self._bytes, self._model.encode(texts, num_threads=1))) if texts else []
+
+    def _cut(self, text: str) -> list[str] | None:
+        if not self._cuts or "\0" in text or "▁" in text:
+            return None
+        return text.replace("\n", " \n \0").split(" ")
+
+    def _odd(self, pieces: list[str]) -> list[bytes]:
+        # A line end in front takes the added space; both are cut off again.
+        front = [piece[0] in "\0\n" for piece in pieces]
+        texts = [piece if not cut else piece if piece == "\n" else "\n" + piece[1:] for piece, cut in zip(pieces, front, strict=True)]
+        encoded = self._model.encode(texts, num_threads=1)
+        # Of a line end alone only the added space goes.
+        skip = [0 if not cut else len(self._head) - 1 if piece == "\n" else len(self._head) for piece, cut in zip(pieces, front, strict=True)]
+        return [self._bytes(ids[n:]) for ids, n in zip(encoded, skip, strict=True)]
+
+    def _tail_ids(self, tail: str) -> bytes:
+        return self._odd(["\0" + tail])[0]
+
+
+_ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}
+
+
+def encoder(path: str, *, plain_specials: bool = False) -> PieceEncoder:
     """One encoder per worker process, with a memory that lasts over its tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, plain_specials) not in _ENCODERS:
+        _ENCODERS[path, plain_specials] = PieceModelEncoder(path) if path.endswith(".model") else Encoder(path, plain_specials=plain_specials)
+    return _ENCODERS[path, plain_specials]
 
 
 def in_slices(batch, rows: int = 256, size: int = 4 << 20) -> Iterable:
@@ -148,4 +303,3 @@ def in_slices(batch, rows: int = 256, size: int = 4 << 20) -> Iterable:
     while begin < batch.num_rows:
         yield batch.slice(begin, step)
         begin += step
-

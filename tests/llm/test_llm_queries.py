@@ -7,7 +7,8 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pytest
-from test_llm_near import Forest, fingerprint
+from test_llm_near import Forest
+from test_llm_near_texts import shingles
 
 import __spark_entry__ as driver
 import corpus_pipeline
@@ -32,7 +33,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_all_operators_are_registered():
     names = {int(m[1]) for name in driver.queries() if (m := re.match(r"op(\d+)_", name))}
-    assert names == set(range(1, 11)) and "pipeline" in driver.queries()
+    assert names == set(range(1, 14)) and "pipeline" in driver.queries()
 
 
 def texts(df):
@@ -43,7 +44,7 @@ def test_each_stage_acts_on_what_the_one_before_kept(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     stages = dict(corpus_pipeline.STAGES)
-    assert list(stages) == ["toxicity", "exact_dedup", "simhash_near_dedup", "mixing", "packing"]
+    assert list(stages) == ["toxicity", "exact_dedup", "near_dedup", "mixing", "packing"]
 
     clean = stages["toxicity"](spark, docs, FOLDER)
     assert clean.columns == docs.columns
@@ -58,11 +59,11 @@ def test_each_stage_acts_on_what_the_one_before_kept(spark):
     rows = [r for r in rows if largest[r["text"]] == r["doc_id"]]
     assert single.columns == docs.columns and texts(single) == Counter((r["doc_id"], r["text"]) for r in rows)
 
-    different = stages["simhash_near_dedup"](spark, single, FOLDER)
-    forest, prints = Forest(), {r["doc_id"]: fingerprint(r["text"]) for r in rows}
-    for a in prints:
-        for b in prints:
-            if a < b and (prints[a] ^ prints[b]).bit_count() <= 2:
+    different = stages["near_dedup"](spark, single, FOLDER)
+    forest, sets = Forest(), {r["doc_id"]: shingles(r["text"]) for r in rows}
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
                 forest.join(a, b)
     rows = [r for r in rows if forest.root(r["doc_id"]) == r["doc_id"]]
     assert different.columns == docs.columns and texts(different) == Counter((r["doc_id"], r["text"]) for r in rows)

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 
 from haulier.llm import packing, token_files
 from haulier.llm.queries import tokenizer_path
-from haulier.llm.tokens import Encoder
+from haulier.llm.tokens import Encoder, PieceModelEncoder
 
 BYTE, WORD = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -21,7 +21,7 @@ BYTE, WORD = "byte_bpe_50k.json", "word_bpe_49k.json"
 def both(request):
     from tokenizers import Tokenizer
 
-    return Encoder(tokenizer_path(request.param), pieces=50), Tokenizer.from_file(tokenizer_path(request.param))
+    return Encoder(tokenizer_path(request.param), pieces=50, words=30), Tokenizer.from_file(tokenizer_path(request.param))
 
 
 @settings(max_examples=150, deadline=None)
@@ -37,6 +37,46 @@ def test_special_tokens_count_as_the_tokenizer_says(both):
         assert np.frombuffer(encoder.encode([text])[0], encoder.dtype).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="ab.,' \n\t\r \u00a0e\u0301éß1'<s>\0日▁", max_size=40), max_size=4))
+def test_the_piece_model_gives_the_ids_of_whole_texts(pieces, texts):
+    encoder, model = pieces
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == [model.encode(t) for t in texts]
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    import sentencepiece
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    return PieceModelEncoder(path, pieces=50, words=30), sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+def test_names_of_special_tokens_can_be_plain_text():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path(BYTE))
+    tokenizer.encode_special_tokens = True
+    for text in ("a<|endoftext|>b", "x <|endoftext|> y  <|"):
+        got = Encoder(tokenizer_path(BYTE), plain_specials=True).encode([text])[0]
+        assert np.frombuffer(got, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_token_bytes_are_those_of_the_text():
+    text = " Grüße, 日本 x"
+    encoder, model = Encoder(tokenizer_path(BYTE)), PieceModelEncoder(tokenizer_path("piece_bpe_32k.model"))
+    for one, given in ((encoder, text), (model, text[1:])):
+        ids = np.frombuffer(one.encode([given])[0], one.dtype).tolist()
+        assert b"".join(one.token_bytes()[i] for i in ids) == text.encode()
+
+
+def test_real_texts_have_the_ids_of_the_tokenizer(spark, both):
+    encoder, tokenizer = both
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect() if r["text"]]
+    got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)]
+    assert got == [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 def encoded(df, name, end):
     from tokenizers import Tokenizer
 
