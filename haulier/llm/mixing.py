@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, stored
+from .common import WORD_PATTERN, stored, text_or_empty
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2
@@ -55,7 +55,8 @@ def mixed(
 ) -> DataFrame:
     """Add ``size``, ``source_size``, ``target`` and ``taken`` (words the mix takes from the row, repeats counted).
 
-    Each source's rows stand in the order of a random key, md5 of the seed and ``doc_id``. Whole epochs are taken as often as the
+    Each source's rows stand in the order of a random key, md5 of the seed, ``doc_id`` and the text, so rows that repeat an id or have none
+    are spread like any other and only equal rows tie: every run gives the same result, however the rows are read. Whole epochs are taken as often as the
     target allows, then a last one is cut at the exact word: the row that crosses the budget gives a part. Running
     sums are taken in two steps: per key range (a prefix of the key, so ranges are even even in a source that
     holds most rows), then over the small table of range sums. Needs ``doc_id``, ``source`` and ``text``; NULL texts
@@ -64,9 +65,9 @@ def mixed(
     """
     kept = [c for c in df.columns if c not in ("size", "source_size", "target", "taken")] if carry is None else carry
     needed = [c for c in ("doc_id", "source") if c not in kept]
-    rows = df.select(*kept, *needed, words().alias("size"))
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
-    rows = rows.withColumn("_key", key)
+    of_text = F.md5(text_or_empty().cast("binary"))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), of_text).cast("binary"))
+    rows = df.select(*kept, *needed, words().alias("size"), key.alias("_key"))
     digits, count = 2, df.count()
     while count / 16**digits > RANGE_ROWS:
         digits += 1
@@ -80,7 +81,7 @@ def mixed(
     ranges = ranges.join(targets, ranges["source"].eqNullSafe(targets["source"])).select(
         ranges["source"].alias("_source"), F.col("_range").alias("_r"), "_before", "source_size", "target"
     )
-    within = Window.partitionBy("source", "_range").orderBy("_key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "_range").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
     rows = rows.join(ranges, rows["source"].eqNullSafe(ranges["_source"]) & (rows["_range"] == ranges["_r"]))
     budget = F.floor("target")

@@ -153,11 +153,13 @@ def write_token_files(
     Rows are range-partitioned by ``doc_id``, so files are in id order and each task writes one. A task writes under a name of its
     own attempt and only the names of attempts that succeeded enter the manifest, which is stored: a lost
     executor leaves at most a file that no manifest names. A NULL text is an empty document, a NULL id stands first, repeated ids stay
-    side by side, an empty table gives an empty manifest. Only ``doc_id`` and ``text`` are read.
+    side by side in the order of a hash of their texts (files may part them), an empty table gives an empty manifest. Only ``doc_id`` and ``text`` are read.
     """
     folder = folder or shared_path(df.sparkSession, "token-files")
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    # Rows that repeat an id or have none are told apart by their text, so that they spread over files like others.
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def write(batches):
         encode = encoder(tokenizer)
@@ -199,7 +201,8 @@ def read_token_files(manifest: DataFrame, *, doc_ids: list[int] | None = None) -
     """Documents of the files: ``doc_id``, ``start`` (token ids of all documents before it), ``n_tokens``, ``ids_crc32``.
 
     Each file is read by one task, frame by frame. ``doc_ids`` reads just these: files whose range cannot hold them
-    are pruned, and of the others only the frames that may; ``start`` is then NULL.
+    are pruned, and of the others only the frames that may; ``start`` is then NULL. NULL asks for documents without an id, a
+    repeated id gives all its documents, an id that no file has gives none. An empty manifest gives no rows.
     """
     before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     files = manifest.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)))

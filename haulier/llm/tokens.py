@@ -40,17 +40,23 @@ class Memory:
     def __init__(self, size: int) -> None:
         self._size, self.new, self._old = size, {}, {}
 
-    def old(self, keys: Iterable[str]) -> dict[str, bytes]:
-        """What the old generation knows of keys that the new one lacks; they move on."""
+    def turn(self) -> None:
+        """Start a new generation if this one is full."""
+        if len(self.new) > self._size:
+            self._old, self.new = self.new, {}
+
+    def lacks(self, keys: set[str]) -> set[str]:
+        """The keys that neither generation knows; those of the old one move on."""
+        unknown = keys.difference(self.new)
         old = self._old
-        found = {key: old[key] for key in keys if key in old}
-        self.add(found)
-        return found
+        known = {key: old[key] for key in unknown if key in old}
+        self.new.update(known)
+        return unknown.difference(known)
 
-    def add(self, items: dict[str, bytes]) -> None:
-        if len(self.new) + len(items) > self._size:
-            self._old, self.new = self.new, {}
-        self.new.update(items)
+    def forget_long(self, keys: Iterable[str]) -> None:
+        for key in keys:
+            if len(key) > LONGEST_PIECE:
+                del self.new[key]
 
 
 def _irregular(piece: str) -> bool:
@@ -108,50 +114,46 @@ class PieceEncoder:
         """Little-endian ids of each text, as bytes. Unseen pieces of ``together`` texts are encoded in one call."""
         texts, out = list(texts), []
         for begin in range(0, len(texts), together):
-            cuts = [self._cut(text) if text else [] for text in texts[begin : begin + together]]
-            get = self._pieces.new.get
-            known = [list(map(get, cut)) if cut else [] for cut in cuts]
-            missing: set[str] = set()
-            for cut, ids in zip(cuts, known, strict=True):
-                if None in ids:
-                    missing.update([piece for piece, found in zip(cut, ids, strict=True) if found is None])
-            if missing and self._spaced and (irregular := {piece for piece in missing if _irregular(piece)}):
+            some = texts[begin : begin + together]
+            self._pieces.turn()
+            self._words.turn()
+            cuts = [self._cut(text) if text else [] for text in some]
+            pieces: set[str] = set()
+            for cut in cuts:
+                pieces.update(cut or ())
+            missing = self._pieces.lacks(pieces)
+            irregular = self._learn(missing) if missing else set()
+            if irregular:
                 # Runs of white space: the texts that have them are encoded whole, and such pieces never come into the memory.
                 cuts = [None if cut and not irregular.isdisjoint(cut) else cut for cut in cuts]
-                missing -= irregular
-            found = self._find(missing) if missing else {}
-            whole = iter(self._whole([text for text, cut in zip(texts[begin : begin + together], cuts, strict=True) if cut is None]))
-            for cut, ids in zip(cuts, known, strict=True):
-                if cut is None:
-                    out.append(next(whole))
-                elif None in ids:
-                    out.append(b"".join([found[piece] if got is None else got for piece, got in zip(cut, ids, strict=True)]))
-                else:
-                    out.append(b"".join(ids))
+            whole = iter(self._whole([text for text, cut in zip(some, cuts, strict=True) if cut is None]))
+            known = self._pieces.new.__getitem__
+            out.extend([next(whole) if cut is None else b"".join(map(known, cut)) for cut in cuts])
+            self._pieces.forget_long(missing - irregular)
         return out
 
-    def _find(self, missing: set[str]) -> dict[str, bytes]:
-        """Ids of pieces that the young generation of the memory lacks; remembers them."""
-        found = self._pieces.old(missing)
-        parts = [(piece, piece.rstrip(_TAIL)) for piece in missing if piece not in found]
+    def _learn(self, missing: set[str]) -> set[str]:
+        """Bring the ids of unknown pieces into the memory; returns the pieces that only their whole text can give."""
+        parts = [(piece, piece.rstrip(_TAIL)) for piece in missing]
+        words = self._words.lacks({core for _, core in parts})
+        plain = [word for word in words if _PLAIN(word)]
         known = self._words.new
-        words = {core for _, core in parts if core not in known}
-        ids = self._words.old(words) if words else {}
-        plain = [word for word in words if word not in ids and _PLAIN(word)]
-        new = dict(zip(plain, self._plain(plain), strict=True)) if plain else {}
-        self._words.add({word: x for word, x in new.items() if len(word) <= LONGEST_PIECE})
-        ids |= new
-        made, odd = {}, []
+        if plain:
+            known.update(zip(plain, self._plain(plain), strict=True))
+        made, odd, irregular, tail = {}, [], set(), self._tail
         for piece, core in parts:
-            got = ids.get(core) or known.get(core)
-            if got is None:
-                odd.append(piece)
+            got = known.get(core)
+            if got is not None:
+                made[piece] = got + tail(piece[len(core) :]) if len(core) < len(piece) else got
+            elif self._spaced and _irregular(piece):
+                irregular.add(piece)
             else:
-                made[piece] = got + self._tail(piece[len(core) :]) if len(core) < len(piece) else got
+                odd.append(piece)
         if odd:
             made.update(zip(odd, self._odd(odd), strict=True))
-        self._pieces.add({piece: x for piece, x in made.items() if len(piece) <= LONGEST_PIECE})
-        return found | made
+        self._pieces.new.update(made)
+        self._words.forget_long(plain)
+        return irregular
 
     def _tail(self, tail: str) -> bytes:
         if tail not in self._tails:
@@ -199,7 +201,8 @@ class Encoder(PieceEncoder):
             return text.replace("\n", " ").split(" ")
         if "\0" in text:
             return None
-        return ("\0" + text.replace("\n", " \n \0")).split(" ")
+        text = text[1:] if text[0] == " " else "\0" + text
+        return text.replace("\n", " \n \0").split(" ")
 
     def _text_of(self, piece: str) -> str:
         if not self._keeps_spaces:

@@ -131,3 +131,16 @@ def test_mix_has_budgets_below_and_above_one_epoch(spark):
     got = {r["source"]: r for r in mixing.mixed(df, carry=["source"]).groupBy("source").agg({"taken": "sum", "target": "max"}).collect()}
     assert got["a"]["sum(taken)"] == 200
     assert got["big"]["sum(taken)"] == 1300
+
+
+def test_mix_does_not_depend_on_the_order_of_rows(spark):
+    """Rows that share an id or have none are told apart by their texts, also where the budget ends."""
+    rows = [(7 if i % 2 else None, "w " * i, None, "b") for i in range(1, 80)] + [(i, "w " * 30, None, "a") for i in range(100, 140)]
+    rows += [(7, "w " * 20, None, "b")] * 3
+    schema = "doc_id long, text string, lang string, source string"
+    results = [
+        sorted(map(repr, mixing.mixed(spark.createDataFrame(some, schema).repartition(n), carry=["doc_id", "source"]).collect()))
+        for some, n in ((rows, 1), (rows[::-1], 3), (rows[1::2] + rows[::2], 7))
+    ]
+    assert results[0] == results[1] == results[2]
+    assert any("taken=0" not in r for r in results[0])

@@ -1,0 +1,102 @@
+"""Archives: round trips, revisits, damaged files."""
+
+import base64
+import gzip
+import hashlib
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from haulier.llm import warc
+
+SCHEMA = "page_id long, url string, html string, size string, path string"
+
+
+def pages(spark):
+    texts = ["<p>one</p>", "<p>zwei é 日本</p>", "", None, "x" * 200_000, "a\r\n\r\nb\r\n", "WARC/1.1\r\n"]
+    rows = [(i, f"http://h{i % 3}.example/ü {i}\r\nX: y", texts[i % 7] if i % 2 else f"page {i}", "own", "own") for i in range(60)]
+    rows += [rows[1], rows[1], (None, None, "no id", "own", "own"), (None, "u", "<p>one</p>", "own", "own"), (1, "v", "other text", "own", "own")]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def digest(text):
+    return base64.b32encode(hashlib.sha1((text or "").encode()).digest()).decode()
+
+
+def expected(rows, least_bytes=0):
+    groups, out = defaultdict(list), []
+    for r in rows:
+        groups[r["html"] or ""].append(r["page_id"])
+    for text, ids in groups.items():
+        ids = sorted(ids, key=lambda i: (i is None, i or 0))
+        n = len(text.encode())
+        for k, i in enumerate(ids):
+            first = k == 0 or n < least_bytes
+            out.append((i, n, digest(text), "response" if first else "revisit", None if first else ids[0]))
+    return sorted(map(repr, out))
+
+
+@pytest.mark.parametrize("least_bytes", [0, 10])
+def test_repeated_payloads_become_revisits(spark, least_bytes):
+    df = pages(spark)
+    got = warc.deduplicated_pages(df.repartition(5), least_bytes=least_bytes).collect()
+    assert sorted(repr(tuple(r)) for r in got) == expected(df.collect(), least_bytes)
+
+
+def test_payloads_come_back_through_revisits(spark):
+    df = pages(spark)
+    written = warc.write_deduplicated(warc.write_archives(df.repartition(3), file_bytes=3000), file_bytes=2000)
+    assert written.select("path").distinct().count() > 3
+    got = warc.payloads(warc.read_headers(written)).collect()
+    assert sorted(repr(tuple(r)) for r in got) == sorted(repr((r["page_id"], r["html"] or "")) for r in df.collect())
+
+
+def test_archives_with_revisits_are_deduplicated_again(spark):
+    """Revisits of the input follow their response; the smallest page becomes the response of the new archive."""
+    df = pages(spark)
+    low = df.where("page_id >= 30 OR page_id IS NULL")
+    first = warc.write_deduplicated(warc.write_archives(low))
+    later = warc.write_archives(df.where("page_id < 30"))
+    both = warc.write_deduplicated(warc.read_headers(first.unionByName(later)))
+    got = warc.page_records(warc.read_headers(both)).collect()
+    assert sorted(repr(tuple(r)) for r in got) == expected(df.collect())
+    assert {r["record_id"] for r in both.collect()}.isdisjoint({r["record_id"] for r in first.unionByName(later).collect()})
+
+
+def test_a_revisit_without_its_response_stays(spark):
+    df = pages(spark)
+    first = warc.write_deduplicated(warc.write_archives(df.repartition(1), file_bytes=1), file_bytes=1)
+    lost = first.where(F.col("payload_digest") == digest("<p>one</p>")).where("record_type = 'revisit'").limit(1)
+    got = warc.page_records(warc.read_headers(warc.write_deduplicated(warc.read_headers(lost)))).collect()
+    assert [(r["record_type"], r["payload_bytes"], r["payload_digest"], r["refers_to"]) for r in got] == [("revisit", 10, digest("<p>one</p>"), None)]
+
+
+def test_files_are_gzip_members_of_whole_records(spark, tmp_path):
+    headers = warc.write_archives(pages(spark).coalesce(1), folder=str(tmp_path / "w"), date="2024-02-03T04:05:06Z")
+    rows = sorted(headers.collect(), key=lambda r: r["offset"])
+    (path,) = {r["path"] for r in rows}
+    raw = open(path, "rb").read()
+    plain = gzip.decompress(raw)
+    assert plain.count(b"WARC-Type: response\r\n") == len(rows) and plain.count(b"\r\nX: y") == 0
+    assert [(r["offset"], r["size"]) for r in rows] == [(a, n) for a, n, _ in warc.members(open(path, "rb"))]
+    one, payload = warc.parsed(zlib.decompress(raw[rows[3]["offset"] :][: rows[3]["size"]], 31))
+    assert one["warc-date"] == "2024-02-03T04:05:06Z" and one["page-id"] == str(rows[3]["page_id"]) and len(payload) == rows[3]["payload_bytes"]
+
+
+def test_damage_is_noticed(tmp_path):
+    record = warc.Record("urn:uuid:1", "response", 1, "u", "2024-01-01T00:00:00Z", 5, *warc.digests(b"hello"))
+    plain = zlib.decompress(warc.member(record, b"hello"), 31)
+    assert warc.parsed(plain)[1] == b"hello"
+    for broken in (plain.replace(b"hello", b"hallo"), plain[:-2], b"x" + plain):
+        with pytest.raises(ValueError):
+            warc.parsed(broken)
+    path = tmp_path / "cut.warc.gz"
+    path.write_bytes(warc.member(record, b"hello")[:-4])
+    with pytest.raises(ValueError):
+        list(warc.members(open(path, "rb")))
+
+
+def test_no_pages(spark):
+    assert warc.deduplicated_pages(spark.createDataFrame([], SCHEMA)).count() == 0
