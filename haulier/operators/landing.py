@@ -7,7 +7,8 @@ touch live data, by renames:
 * partitions - each partition of a window is exchanged or removed;
 * append    - the staged files are moved in beside the others under a run tag.
 
-Whatever a crash leaves behind is undone by :func:`open_staging` of the next load.
+Whatever a crash leaves behind is undone by :func:`open_staging` of the next load. Datasets can also be committed by
+versions, without renames: see :mod:`versions`. What reads a dataset here knows both kinds.
 """
 
 from __future__ import annotations
@@ -19,16 +20,17 @@ from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import LayoutError, SchemaError, StateError
-from ..functions.bounds import max_expression, watermark_text
+from ..functions.bounds import bound_literal, max_expression, watermark_text
 from ..functions.names import column, require_column
 from ..functions.periods import LEVELS, levels
 from .shape import PERIOD, Partitioning, add_lineage, check_lineage, check_partitioning, drop_null_periods
 from .shape import with_path_columns, with_period
+from . import versions
 from .storage import Storage
 
 # Fixed value: staging folder inside the dataset; Spark skips it when reading.
@@ -103,6 +105,7 @@ def stage(
     max_rows_per_file: int | None = None,
     clustered: bool = False,
     gather: bool = False,
+    upper_bound: Any = None,
 ) -> Staged:
     """Write all rows with one job and measure on the way.
 
@@ -111,14 +114,16 @@ def stage(
     period gets few, large files; the rebalance lets AQE split a hot period over many tasks and merge thin
     ones. ``clustered=True`` skips the shuffle for a source whose files already follow the partition column.
     Flat rows are written by the tasks that read them; ``gather=True`` brings few rows out of many tasks
-    together first. Constants and path columns are added behind the shuffle.
+    together first. Constants and path columns are added behind the shuffle. Should Spark lose the report of the maximum, it is
+    ``upper_bound``, where all rows up to it were read, or it is taken by a second read of that column.
     """
     reads = tracked_measures(source, track)
     seen = Observation() if reads else None
     tracked = source.observe(seen, *reads) if seen else source
     shaped = prepare(tracked) if prepare else tracked
     shuffle = (partitioning is not None or gather) and not clustered
-    rows, dropped, written, schema = staging_plan(shaped, partitioning, lineage or {}, shuffle, track)
+    bare = prepare(source) if prepare else source
+    rows, dropped, written, schema = staging_plan(shaped, partitioning, lineage or {}, shuffle, track, bare)
     writer = rows.write.mode("errorifexists")
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
@@ -126,7 +131,11 @@ def stage(
         writer = writer.partitionBy(*partitioning.levels)
     writer.parquet(staging)
 
-    counters = _counters(source.sparkSession, staging, schema, seen, dropped, written)
+    def again(landed: int) -> dict[str, Any]:
+        edge = None if upper_bound is None else bound_literal(upper_bound, source.schema[track].dataType)
+        return _measured_again(source, bare, partitioning, reads, landed, track, edge)
+
+    counters = _counters(source.sparkSession, staging, schema, seen, dropped, written, again)
     area = Storage(source.sparkSession, staging)
     files, size = area.summary()
     return Staged(
@@ -148,24 +157,43 @@ def _counters(
     seen: Observation | None,
     dropped: Observation | None,
     written: Observation,
+    again: Callable[[int], dict[str, Any]],
 ) -> dict[str, Any]:
     """What the write observed.
 
-    Spark can lose a report. The number of rows is then counted in the staged files, and a report on dropped rows is
-    left out. The maximum has no second source (what was landed need not hold the newest row read), so a
-    load that needs it stops here, with live data and state untouched.
+    Spark can lose a report. The number of rows is then counted in the staged files, a report on dropped rows is
+    left out, and the maximum comes from ``again``.
     """
-    after = observed(written) or read_landed(spark, staging, schema).agg(F.count(F.lit(1)).alias("rows")).first().asDict()
+    after = observed(written) or spark.read.schema(schema).parquet(staging).agg(F.count(F.lit(1)).alias("rows")).first().asDict()
     if not after["rows"]:
         # Nothing will be committed. AQE drops a shuffle stage without output, and with it what was observed in it.
         return {**after, "null_period": None if dropped else 0}
     before = observed(seen) if seen else {}
     if before is None:
-        raise StateError("Spark lost the report of the rows read, so the new watermark is unknown; run the load again")
+        before = again(after["rows"])
     report = observed(dropped) if dropped else {"null_period": 0}
     return {**before, **(report or {"null_period": None}), **after}
 
 
+def _measured_again(
+    source: DataFrame, bare: DataFrame, partitioning: Partitioning | None, reads: list[Column], landed: int, track: str, edge: Column | None
+) -> dict[str, Any]:
+    """The measures of the rows read, from a second source.
+
+    With a fixed upper edge everything up to it was read, and it is the watermark. Else the tracked column is read once more, and the
+    result holds only if that read finds as many rows as were landed: a source that has changed meanwhile stops the load,
+    with live data and state untouched.
+    """
+    if edge is not None:
+        one = source.sparkSession.range(1).select(edge.alias("edge"))
+        return {**one.agg(max_expression(F.col("edge"), source.schema[track].dataType).alias("top")).first().asDict(), "null_reference": 0}
+    found = source.agg(*reads).first().asDict()
+    kept = bare.filter(column(partitioning.column).isNotNull()) if partitioning else bare
+    if kept.agg(F.count(F.lit(1)).alias("rows")).first()["rows"] != landed:
+        raise StateError("Spark lost the report of the rows read, and the source has changed since, so the new watermark is unknown; run the load again")
+    return found
+
+
 def observed(observation: Observation, patience: float = REPORT_SECONDS) -> dict[str, Any] | None:
     """Result of an observation whose job has finished; None if it does not come.
 
@@ -196,8 +224,12 @@ def staging_plan(
     lineage: Mapping[str, str],
     shuffle: bool,
     track: str | None = None,
+    bare: DataFrame | None = None,
 ) -> tuple[DataFrame, Observation | None, Observation, T.StructType]:
-    """The frame that is written, its observations (rows without a period, rows written), and the schema it lands with."""
+    """The frame that is written, its observations (rows without a period, rows written), and the schema it lands with.
+
+    ``bare`` is the source without observations, for counts that must not end them.
+    """
     check_lineage(source, lineage)
     day = check_partitioning(source, partitioning, lineage) if partitioning else None
     rows, dropped = source, None
@@ -206,7 +238,8 @@ def staging_plan(
         rows = rows.observe(dropped, F.count_if(column(partitioning.column).isNull()).alias("null_period"))
         rows = with_period(drop_null_periods(rows, partitioning), day, partitioning)
     if shuffle:
-        rows = spread(rows, partitioning, track)
+        counted = with_period(drop_null_periods(source if bare is None else bare, partitioning), day, partitioning) if partitioning else None
+        rows = spread(rows, partitioning, track, counted)
     rows = add_lineage(rows, lineage)
     if partitioning:
         rows = with_path_columns(rows, partitioning)
@@ -216,10 +249,11 @@ def staging_plan(
     return rows.observe(written, F.count(F.lit(1)).alias("rows")), dropped, written, schema
 
 
-def spread(rows: DataFrame, partitioning: Partitioning | None, track: str | None = None) -> DataFrame:
+def spread(rows: DataFrame, partitioning: Partitioning | None, track: str | None = None, counted: DataFrame | None = None) -> DataFrame:
     """Shuffle into well-sized tasks: by period, without tying a period to one task, or by the reference column.
 
-    A shuffle by a column needs no sort in front of it, as one by turns would.
+    A shuffle by a column needs no sort in front of it, as one by turns would. Without AQE nothing splits a hot period at run time: one
+    pass over the dates of ``counted`` finds how many tasks each period is worth, and it is dealt to that many.
     """
     spark = rows.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -229,8 +263,13 @@ def spread(rows: DataFrame, partitioning: Partitioning | None, track: str | None
         return rows.hint("rebalance", tasks, key) if adaptive else rows.repartition(tasks, key)
     if adaptive:
         return rows.hint("rebalance", max(tasks, SPREAD), PERIOD)
-    # Without AQE nothing splits a hot period at run time: salt it by the reading task instead.
-    return rows.repartition(tasks, F.col(PERIOD), F.spark_partition_id() % F.lit(tasks))
+    periods = (rows if counted is None else counted).groupBy(PERIOD).agg(F.count(F.lit(1)).alias("n"))
+    total = Window.partitionBy()  # over one row per period
+    widths = periods.select(F.col(PERIOD).alias("_p"), F.ceil(F.col("n") * tasks / F.sum("n").over(total)).cast("int").alias("_width"))
+    # A day is four bytes and there are a few million of them at most.
+    dealt = rows.join(F.broadcast(widths), rows[PERIOD] == F.col("_p"), "left")
+    salt = F.monotonically_increasing_id() % F.coalesce(F.col("_width"), F.lit(1))
+    return dealt.repartition(tasks, F.col(PERIOD), salt).drop("_p", "_width")
 
 
 def landed_schema(source: T.StructType, lineage: Mapping[str, str], partitioning: Partitioning | None) -> T.StructType:
@@ -280,6 +319,12 @@ def append_tag(task_id: str, reference_column: str, version: int) -> str:
     return f"part-{digest}-v{version:08d}"
 
 
+def append_note(task_id: str, reference_column: str, version: int, state_root: str) -> dict[str, Any]:
+    """What an append leaves behind until its watermark is stored."""
+    tag = append_tag(task_id, reference_column, version)
+    return {"tag": tag, "task_identifier": task_id, "reference_column": reference_column, "version": version, "state_root": state_root}
+
+
 def commit_append(
     spark: SparkSession,
     dataset: str,
@@ -291,8 +336,8 @@ def commit_append(
 ) -> None:
     """Move the staged files in. ``version`` is the watermark version the load will store in the table at ``state_root``."""
     live = Storage(spark, dataset)
-    tag = append_tag(task_id, reference_column, version)
-    note = {"tag": tag, "task_identifier": task_id, "reference_column": reference_column, "version": version, "state_root": state_root}
+    note = append_note(task_id, reference_column, version, state_root)
+    tag = note["tag"]
     live.write_text(PENDING, json.dumps(note))
     folders = f"{STAGING}/{_level_glob(partitioning.granularity)}" if partitioning else STAGING
     moves = []
@@ -306,17 +351,24 @@ def commit_append(
 
 def pending_append(spark: SparkSession, dataset: str) -> dict[str, Any] | None:
     """The append whose watermark may not have been stored, if there is one."""
+    now = versions.current(spark, dataset)
+    if now is not None:
+        return dict(now.pending) if now.pending else None
     text = Storage(spark, dataset).read_text(PENDING)
     return json.loads(text) if text else None
 
 
 def close_append(spark: SparkSession, dataset: str) -> None:
     """The watermark is stored: the files of the append are final."""
+    if versions.is_versioned(spark, dataset):
+        return versions.close_append(spark, dataset)
     Storage(spark, dataset).delete(PENDING)
 
 
 def undo_append(spark: SparkSession, dataset: str, tag: str) -> int:
     """Delete the files of an append whose watermark was never stored. Returns their number."""
+    if versions.is_versioned(spark, dataset):
+        return versions.undo_append(spark, dataset)
     live = Storage(spark, dataset)
     patterns = [f"{tag}-*"] + [f"{_level_glob(g)}/{tag}-*" for g in LEVELS]
     found = [path for pattern in patterns for path in live.glob(pattern)]
@@ -329,14 +381,37 @@ def delete_partition(spark: SparkSession, dataset: str, path: str) -> None:
     """Delete one partition folder or one file of a dataset; absent is fine."""
     if not path.strip("/"):
         raise LayoutError("a partition path is needed; the dataset itself is not a partition")
+    if versions.is_versioned(spark, dataset):
+        return versions.drop_partition(spark, dataset, path.strip("/"))
     Storage(spark, dataset).delete(path.strip("/"))
 
 
+def delete_table_partition(spark: SparkSession, table: str, path: str) -> None:
+    """Delete one partition of a table of Spark's catalog, from the table and from its folder; absent is fine.
+
+    ``path`` is the partition as its folder names it, ``year=2024/month=02``; all path levels of the table must be given.
+    """
+    given = dict(piece.partition("=")[::2] for piece in path.strip("/").split("/"))
+    described = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    columns = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if not columns or set(given) != set(columns):
+        raise LayoutError(f"{table} is partitioned by {columns}, not by {sorted(given)}")
+    values = ", ".join(f"`{name}` = '{given[name]}'" for name in columns)
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({values})")
+    if described.get("Type") == "EXTERNAL":
+        # The catalog leaves the files of an external table where they are.
+        Storage(spark, described["Location"]).delete("/".join(f"{name}={given[name]}" for name in columns))
+    spark.catalog.refreshTable(table)
+
+
 # ---------------------------------------------------------------- layout and schema guards
 
 
 def dataset_layout(spark: SparkSession, dataset: str) -> str | None:
     """``flat``, ``year``, ``month`` or ``day``; None when there is no data. Mixed layouts raise."""
+    now = versions.current(spark, dataset)
+    if now is not None:
+        return (now.granularity or "flat") if now.loads else None
     live = Storage(spark, dataset)
     found = ["flat"] if live.any("*.parquet") else []
     if live.any("year=*"):
@@ -362,7 +437,13 @@ def check_types(spark: SparkSession, dataset: str, schema: T.StructType, replace
 
     One footer is read. ``replaced`` lists partitions that the load rewrites anyway.
     """
-    sample = _kept_file(Storage(spark, dataset), frozenset(replaced))
+    now = versions.current(spark, dataset)
+    live = Storage(spark, dataset)
+    if now is None:
+        sample = _kept_file(live, frozenset(replaced))
+    else:
+        folders = (f"{path}/*.parquet" for path in now.paths() if not any(path.endswith(f"/{p}") for p in replaced))
+        sample = next((live.url(found) for found in map(live.first, folders) if found), None)
     if sample is None:
         return
     present = {f.name: f.dataType for f in spark.read.parquet(sample).schema.fields}
@@ -392,7 +473,9 @@ def _kept_file(live: Storage, replaced: frozenset[str]) -> str | None:
 
 
 def read_landed(spark: SparkSession, dataset: str, schema: T.StructType | None = None) -> DataFrame:
-    """The dataset as a frame. With the schema of the load it also reads an empty dataset."""
+    """The dataset as a frame, of a versioned one its current version. With the schema of the load it also reads an empty dataset."""
+    if versions.is_versioned(spark, dataset):
+        return versions.read(spark, dataset, schema)
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(dataset)
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 from ..errors import CommitError
@@ -98,6 +99,29 @@ class Storage:
         finally:
             stream.close()
 
+    def create_text(self, relative: str, text: str) -> bool:
+        """Write a new file in one go; False if there is one by that name, which stays as it is."""
+        try:
+            stream = self._fs.create(self._path(relative), False)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in str(error.java_exception) or self.exists(relative):
+                return False
+            raise
+        try:
+            stream.write(bytearray(text, "utf-8"))
+        finally:
+            stream.close()
+        return True
+
+    def read_text_or_none(self, relative: str) -> str | None:
+        """Like :meth:`read_text`, also for a file that is deleted meanwhile."""
+        try:
+            return self.read_text(relative)
+        except Py4JJavaError:
+            if self.exists(relative):
+                raise
+            return None
+
     def read_text(self, relative: str) -> str | None:
         if not self.exists(relative):
             return None

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from datetime import date, datetime, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..errors import StateError
+from ..errors import LayoutError, StateError
 from ..functions.bounds import bound_literal, check_bound, watermark_type
 from ..functions.names import column, require_column
 from ..functions.periods import window_bounds, window_partitions
-from ..operators import landing
+from ..operators import landing, versions
 from ..operators.landing import Staged
 from ..operators.shape import Partitioning, keep_window
 from ..sources.tables import lower_bound
@@ -60,9 +61,22 @@ def full_load(
     lineage: Mapping[str, str] | None = None,
     max_rows_per_file: int | None = None,
     clustered: bool = False,
+    versioned: bool | None = None,
 ) -> LoadResult:
-    """Replace the dataset by the source. The old data stays until the new data is complete."""
+    """Replace the dataset by the source. The old data stays until the new data is complete.
+
+    ``versioned`` chooses the commit: by renames (False), or by a new version, without renames (True). None: as the dataset
+    is committed already, else as the session setting ``spark.haulier.commit`` says. A plain dataset becomes versioned by a full load only.
+    """
     spark = source.sparkSession
+    if versions.wanted(spark, dataset, versioned):
+        plain = not versions.is_versioned(spark, dataset)
+        with _new_load(spark, dataset) as (load, folder):
+            staged = landing.stage(source, folder, partitioning=partitioning, lineage=lineage, max_rows_per_file=max_rows_per_file, clustered=clustered)
+            versions.commit_whole(spark, dataset, load, partitioning.granularity if partitioning else None)
+        if plain:
+            versions.adopt(spark, dataset)
+        return _result(dataset, staged)
     try:
         staging = landing.open_staging(spark, dataset)
         staged = landing.stage(
@@ -90,17 +104,26 @@ def replace_window(
     lineage: Mapping[str, str] | None = None,
     max_rows_per_file: int | None = None,
     clustered: bool = False,
+    versioned: bool | None = None,
 ) -> LoadResult:
     """Rebuild the last ``lookback_periods`` partitions up to the one of ``as_of`` (today in UTC).
 
     A partition of the window without rows is removed; partitions outside the window, also
-    future ones, stay as they are, and source rows outside it are never read.
+    future ones, stay as they are, and source rows outside it are never read. ``versioned`` as in :func:`full_load`.
     """
     spark = source.sparkSession
     as_of = as_of or datetime.now(timezone.utc).date()
     granularity = partitioning.granularity
     first, end = window_bounds(as_of, granularity, lookback_periods)
     window = window_partitions(as_of, granularity, lookback_periods)
+    if _incremental_versions(spark, dataset, versioned):
+        landing.check_layout(spark, dataset, partitioning)
+        landing.check_types(spark, dataset, source.schema, window)
+        with _new_load(spark, dataset) as (load, folder):
+            rows = keep_window(source, partitioning, first, end)
+            staged = landing.stage(rows, folder, partitioning=partitioning, lineage=lineage, max_rows_per_file=max_rows_per_file, clustered=clustered)
+            removed = versions.commit_window(spark, dataset, load, granularity, window)
+        return replace(_result(dataset, staged), partitions_removed=tuple(removed))
     try:
         staging = landing.open_staging(spark, dataset)
         landing.check_layout(spark, dataset, partitioning)
@@ -133,6 +156,7 @@ def append_new(
     lineage: Mapping[str, str] | None = None,
     max_rows_per_file: int | None = None,
     clustered: bool = False,
+    versioned: bool | None = None,
 ) -> LoadResult:
     """Add the rows strictly above the stored watermark, or load everything when there is none.
 
@@ -141,14 +165,20 @@ def append_new(
     Rows at or below the watermark, and NULLs after the first run, are never read.
     ``upper_bound`` fixes the upper edge for sources whose parallel reads are no single snapshot.
     ``prepare`` shapes the rows behind the bounds (type casts, say): bounds and watermark are those of the source's
-    own column, exact to the last digit, and stay in reach of the scan. A load whose maximum Spark fails to report stops
-    before its commit.
+    own column, exact to the last digit, and stay in reach of the scan. A maximum that Spark fails to report is
+    ``upper_bound``, or is read again. ``versioned`` as in :func:`full_load`.
     """
     spark = source.sparkSession
     name = require_column(source.columns, reference_column, "strategy.reference_column")
     known = watermarks.get(task_identifier, name)
+    by_versions = _incremental_versions(spark, dataset, versioned)
+    load = versions.new_load(spark, dataset) if by_versions else None
+
+    def discard() -> None:
+        versions.discard_load(spark, dataset, load) if by_versions else landing.discard_staging(spark, dataset)
+
     try:
-        staging = landing.open_staging(spark, dataset)
+        staging = versions.load_folder(spark, dataset, load) if by_versions else landing.open_staging(spark, dataset)
         undone = _settle_pending(source, dataset, watermarks)
         if known is not None:
             if landing.check_layout(spark, dataset, partitioning) is None:
@@ -171,9 +201,10 @@ def append_new(
             clustered=clustered,
             # A few new rows spread over every task of a large scan must not become as many files.
             gather=known is not None,
+            upper_bound=upper_bound,
         )
         if staged.rows == 0:
-            landing.discard_staging(spark, dataset)
+            discard()
             kept = known.watermark_value if known else None
             return LoadResult(
                 dataset,
@@ -185,13 +216,19 @@ def append_new(
                 rows_dropped_null=staged.rows_dropped_null,
                 files_undone=undone,
             )
-        if known is None:
+        granularity = partitioning.granularity if partitioning else None
+        version = watermarks.next_version(task_identifier, name)
+        if by_versions and known is None:
+            versions.commit_whole(spark, dataset, load, granularity)
+        elif by_versions:
+            note = landing.append_note(task_identifier, name, version, watermarks.root)
+            versions.commit_more(spark, dataset, load, granularity, note)
+        elif known is None:
             landing.commit_swap(spark, dataset)
         else:
-            version = watermarks.next_version(task_identifier, name)
             landing.commit_append(spark, dataset, partitioning, task_identifier, name, version, watermarks.root)
     except BaseException:
-        landing.discard_staging(spark, dataset)
+        discard()
         # A commit that failed half-way has stored no watermark yet: take its files back now.
         _settle_pending(source, dataset, watermarks)
         raise
@@ -209,6 +246,26 @@ def append_new(
     )
 
 
+@contextmanager
+def _new_load(spark: SparkSession, dataset: str) -> Iterator[tuple[str, str]]:
+    """Name and folder of a load that is committed by a version; the folder goes if it is not."""
+    load = versions.new_load(spark, dataset)
+    try:
+        yield load, versions.load_folder(spark, dataset, load)
+    except BaseException:
+        versions.discard_load(spark, dataset, load)
+        raise
+
+
+def _incremental_versions(spark: SparkSession, dataset: str, versioned: bool | None) -> bool:
+    """Whether a replace or append commits by versions; what is already there decides, and telling otherwise is refused."""
+    has_versions = versions.is_versioned(spark, dataset)
+    plain = not has_versions and landing.dataset_layout(spark, dataset) is not None
+    if (versioned is True and plain) or (versioned is False and has_versions):
+        raise LayoutError(f"{dataset} is committed {'by versions' if has_versions else 'by renames'}; run a full load to change that")
+    return has_versions or (not plain and versions.wanted(spark, dataset, versioned))
+
+
 def new_rows(source: DataFrame, name: str, known: Watermark | None, upper_bound: Any = None) -> DataFrame:
     """The part of the source that an append reads."""
     dtype = source.schema[name].dataType

@@ -2,22 +2,23 @@
 
 The projection and every bound run in the database: the projection because it is the query
 text, the bounds because Spark pushes filters on the returned frame into it. Reads are parallel
-when the caller gives a split; each split is a query of its own, so an append over a split read
+when the caller gives a split, or asks for one cut by the table's own counts; each split is a query of its own, so an append over a split read
 fixes its upper edge first (:func:`current_maximum`).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import ContractError, SchemaError
 from ..functions.names import quote_ident
-from ..functions.periods import shift_periods
+from ..functions.periods import levels, shift_periods
 from .tables import single_statement
 from .types import normalize_types
 
@@ -79,6 +80,92 @@ def period_predicates(reference_column: str, granularity: str, first: date, last
     return inside + [f"{name} < {texts[0]} OR {name} IS NULL", f"{name} >= {texts[-1]}"]
 
 
+@dataclass(frozen=True)
+class EvenSplit:
+    """About ``parts`` reads of a date or timestamp column with like numbers of rows, cut by what the table holds.
+
+    One query counts rows per period. Neighbouring periods are put together up to an even share; a period with more than a share is cut into
+    equal stretches of time, down to seconds where the column has them (``timestamps``). What is uneven within a period is not seen, so
+    coarser periods than days only suit tables without hot days. NULLs and rows outside what was counted are read too.
+    """
+
+    column: str
+    parts: int
+    granularity: str = "day"
+    timestamps: bool = True
+
+    def __post_init__(self) -> None:
+        if self.parts < 1:
+            raise ContractError("a split needs at least one part")
+
+
+def period_counts_query(source_type: str, sql: str, split: EvenSplit) -> str:
+    """Query text: ``period`` (its first day, NULL for NULLs) and the ``n`` rows of each."""
+    name = quote_ident(split.column, source_type)
+    levels(split.granularity)  # refuses unknown words
+    if source_type == "sqlserver":
+        month, day = ("1" if split.granularity == "year" else f"MONTH({name})"), "1"
+        period = f"CAST({name} AS date)" if split.granularity == "day" else f"DATEFROMPARTS(YEAR({name}), {month}, {day})"
+    else:
+        period = f"CAST(DATE_TRUNC('{split.granularity}', {name}) AS date)"
+    return f"SELECT {period} AS period, COUNT(*) AS n FROM {subquery(sql)} GROUP BY {period}"
+
+
+def even_predicates(counts: Sequence[tuple[date | None, int]], split: EvenSplit, dialect: str) -> list[str]:
+    """Predicates that each row, whatever its value, meets exactly one of; their number is near ``split.parts``.
+
+    ``counts`` holds the first day of each period (None for NULLs) and its rows. One edge lies between neighbouring predicates; the
+    first is open below, the last above. NULLs have a predicate of their own.
+    """
+    name = quote_ident(split.column, dialect)
+    periods = sorted((day, n) for day, n in counts if day is not None and n)
+    share = max(1.0, sum(n for _, n in periods) / split.parts)
+    edges: list[datetime] = []
+    held = 0.0
+    for day, n in periods:
+        start = datetime.combine(day, time())
+        if held and held + n > share:
+            edges.append(start)
+            held = 0.0
+        slices = math.ceil(n / share - 1e-9)
+        if slices > 1 and split.timestamps:
+            length = datetime.combine(shift_periods(day, split.granularity, 1), time()) - start
+            step = timedelta(seconds=max(1, int(length.total_seconds() // slices)))
+            edges.extend(start + i * step for i in range(1, slices) if i * step < length)
+            held = n / slices
+        elif slices > 1 and split.granularity != "day":
+            days = (shift_periods(day, split.granularity, 1) - day).days
+            step = max(1, days // slices)
+            edges.extend(start + timedelta(days=i * step) for i in range(1, slices) if i * step < days)
+            held = n / slices
+        else:
+            held += n
+    texts = [_moment_literal(edge, dialect, split.timestamps) for edge in edges]
+    if not texts:
+        return [f"{name} IS NOT NULL", f"{name} IS NULL"]
+    inside = [f"{name} >= {a} AND {name} < {b}" for a, b in zip(texts, texts[1:])]
+    return [f"{name} < {texts[0]}", *inside, f"{name} >= {texts[-1]}", f"{name} IS NULL"]
+
+
+def _moment_literal(moment: datetime, dialect: str, timestamps: bool) -> str:
+    if not timestamps or moment.time() == time():
+        return _date_literal(moment.date(), dialect)
+    # The form with a T is read alike by SQL Server under every DATEFORMAT.
+    return f"'{moment:%Y-%m-%dT%H:%M:%S}'" if dialect == "sqlserver" else f"TIMESTAMP '{moment:%Y-%m-%d %H:%M:%S}'"
+
+
+def planned_predicates(spark: SparkSession, connection: Mapping[str, str], source_type: str, sql: str, split: EvenSplit) -> list[str]:
+    """Predicates cut by one query to the database; it returns a row per period."""
+    found = (
+        spark.read.format("jdbc")
+        .options(**reader_options(connection, source_type))
+        .option("dbtable", subquery(period_counts_query(source_type, sql, split)))
+        .load()
+        .collect()
+    )
+    return even_predicates([(row["period"], row["n"]) for row in found], split, source_type)
+
+
 def _date_literal(day: date, dialect: str) -> str:
     # SQL Server reads only the undashed form alike under every DATEFORMAT.
     return f"'{day:%Y%m%d}'" if dialect == "sqlserver" else f"DATE '{day.isoformat()}'"
@@ -146,12 +233,12 @@ def read_jdbc(
     table_name: str,
     query: str | None = None,
     chunk_size: int | None = None,
-    split: RangeSplit | Sequence[str] | None = None,
+    split: RangeSplit | EvenSplit | Sequence[str] | None = None,
     numeric: str = "double",
 ) -> DataFrame:
     """A table (all columns) or a user query, with landing types.
 
-    ``split`` is a :class:`RangeSplit` or a list of predicates; without it one task reads all.
+    ``split`` is a :class:`RangeSplit`, an :class:`EvenSplit` or a list of predicates; without it one task reads all.
     """
     rows, landing_types = scan_jdbc(
         spark, connection, source_type, schema_name, table_name, query, chunk_size, split, numeric
@@ -167,7 +254,7 @@ def scan_jdbc(
     table_name: str,
     query: str | None = None,
     chunk_size: int | None = None,
-    split: RangeSplit | Sequence[str] | None = None,
+    split: RangeSplit | EvenSplit | Sequence[str] | None = None,
     numeric: str = "double",
 ) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """The rows as JDBC delivers them, and the projection to landing types.
@@ -183,6 +270,8 @@ def scan_jdbc(
         query = default_query(source_type, schema_name, table_name, [c["name"] for c in catalog])
         time_columns = [c["name"] for c in catalog if c["data_type"] in TIME_TYPES]
     options = reader_options(connection, source_type, chunk_size)
+    if isinstance(split, EvenSplit):
+        split = planned_predicates(spark, connection, source_type, query, split)
     if isinstance(split, RangeSplit):
         options.update(split.options())
     if split is None or isinstance(split, RangeSplit):

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.landing import delete_partition, read_landed
+from ..operators.landing import delete_partition, delete_table_partition, read_landed
 from ..operators.shape import Partitioning
 from ..operators.summary import file_counts, partition_counts
 from ..plans.jobs import full_load
@@ -227,6 +228,20 @@ def delete_one_partition(spark: SparkSession, folder: str) -> DataFrame:
     return read_landed(spark, dataset, result.schema)
 
 
+@workload("SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders WHERE year(o_orderdate) <> 1998")
+def delete_table_partition_of_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """A partition of a catalog table over a landed dataset: gone from the table and from the folder."""
+    dataset = f"{work_folder(spark, 'catalog')}/raw/orders"
+    result = full_load(table(spark, folder, "orders"), dataset, partitioning=Partitioning("o_orderdate", "year"), versioned=False)
+    name = f"orders_{uuid.uuid4().hex[:12]}"
+    spark.catalog.createTable(name, path=dataset, source="parquet")
+    spark.catalog.recoverPartitions(name)
+    delete_table_partition(spark, name, "year=1998")
+    left = {path for path, in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    spark.sql(f"DROP TABLE {name}")
+    return read_landed(spark, dataset, result.schema).where(F.concat(F.lit("year="), "year").isin(*left))
+
+
 @workload(
     """SELECT 1 AS step, count(*) AS rows FROM orders
     UNION ALL SELECT 2, 0

@@ -236,27 +236,46 @@ def test_prepare_runs_behind_the_bound(spark, dataset, state):
 
 
 @pytest.mark.parametrize("partitioning", [None, MONTH])
-def test_a_lost_maximum_stops_the_load(spark, dataset, state, monkeypatch, partitioning):
+def test_a_lost_maximum_is_read_again(spark, dataset, state, monkeypatch, partitioning):
     """The newest row has no partition date, so nothing that landed could stand in for the report."""
     rows = values(spark, "id INT, d TIMESTAMP_NTZ, seq INT", "1, TIMESTAMP_NTZ'2024-01-01 10:00:00', 10", "2, NULL, 20")
     more = rows.unionByName(values(spark, "id INT, d TIMESTAMP_NTZ, seq INT", "3, TIMESTAMP_NTZ'2024-01-02 10:00:00', 30"))
     options = {"partitioning": partitioning, "reference_column": "seq"}
     with monkeypatch.context() as patch:
         patch.setattr(landing, "observed", lambda *_: None)
-        with pytest.raises(StateError, match="lost the report"):
-            append(rows, dataset, state, **options)
-    assert state.get("raw.t", "seq") is None and files(dataset) == [] and leftovers(dataset) == []
-    assert append(rows, dataset, state, **options).watermark == "20"
-    before = ids(spark, dataset)
-    with monkeypatch.context() as patch:
-        patch.setattr(landing, "observed", lambda *_: None)
-        with pytest.raises(StateError, match="lost the report"):
-            append(more, dataset, state, **options)
-    assert state.get("raw.t", "seq").watermark_value == "20" and ids(spark, dataset) == before and leftovers(dataset) == []
-    assert append(more, dataset, state, **options).rows == 1
-    with monkeypatch.context() as patch:  # nothing new: there is no decision to make
-        patch.setattr(landing, "observed", lambda *_: None)
+        assert append(rows, dataset, state, **options).watermark == "20"
+        assert append(more, dataset, state, **options).rows == 1
         assert append(more, dataset, state, **options).rows == 0
+    assert state.get("raw.t", "seq").watermark_value == "30" and leftovers(dataset) == []
+    assert ids(spark, dataset) == ([1, 3] if partitioning else [1, 2, 3])
+
+
+def test_a_lost_maximum_is_the_fixed_upper_edge(spark, dataset, state, monkeypatch):
+    """The edge holds even if the source has grown since."""
+    monkeypatch.setattr(landing, "observed", lambda *_: None)
+    rows = values(spark, COLUMNS, *START)
+    top = rows.agg(F.max("d")).first()[0]
+    result = append(rows, dataset, state, upper_bound=top)
+    assert result.watermark == str(top)
+    assert append(rows, dataset, state, upper_bound=top).rows == 0
+
+
+def test_a_lost_maximum_of_a_changed_source_stops_the_load(spark, dataset, state, tmp_path, monkeypatch):
+    """A source that gives other rows the second time: here files that were replaced while the load ran."""
+    source = str(tmp_path / "source")
+    values(spark, "id INT, seq INT", "1, 10", "2, 20").write.parquet(source)
+    rows = spark.read.parquet(source)
+    again = landing._measured_again
+
+    def changed(source_rows, bare, *rest):
+        more = values(spark, "id INT, seq INT", "1, 10", "2, 20", "3, 30")
+        return again(more, more, *rest)
+
+    monkeypatch.setattr(landing, "observed", lambda *_: None)
+    monkeypatch.setattr(landing, "_measured_again", changed)
+    with pytest.raises(StateError, match="has changed"):
+        append(rows, dataset, state, reference_column="seq")
+    assert state.get("raw.t", "seq") is None and files(dataset) == [] and leftovers(dataset) == []
 
 
 def test_lost_counts_of_a_full_load_are_taken_from_the_staged_files(spark, dataset, monkeypatch):

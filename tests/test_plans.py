@@ -1,5 +1,7 @@
 """What Spark does for a load: pushdown, shuffles, and how a hot partition is spread."""
 
+from pathlib import Path
+from collections import Counter
 from datetime import date
 
 import pytest
@@ -108,3 +110,20 @@ def test_few_new_rows_from_many_tasks_make_few_files(spark, tmp_path):
     assert result.rows == 640 and result.files < 8
     assert spark.read.parquet(str(tmp_path / "t")).count() == 6400
     assert append_new(rows, str(tmp_path / "t"), **options).rows == 0
+
+
+def test_without_aqe_a_period_gets_the_tasks_it_is_worth(spark, dataset):
+    """One day holds most rows: it is split; each of the thin days is one file, not one per task."""
+    rows = spark.sql(
+        """SELECT id, CASE WHEN id < 9000 THEN DATE'2024-01-01' ELSE DATE_ADD(DATE'2024-01-02', CAST(id % 50 AS INT)) END AS d
+        FROM range(0, 10000, 1, 8)"""
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        result = full_load(rows, dataset, partitioning=Partitioning("d", "day"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    per_day = Counter(Path(f).parent.name + Path(f).parent.parent.name for f in files(dataset))
+    hot = per_day.pop("day=01month=01")
+    assert 4 <= hot <= 8 and set(per_day.values()) == {1} and len(per_day) == 50
+    assert result.rows == 10000

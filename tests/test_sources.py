@@ -1,5 +1,6 @@
 """Type maps, column catalog, query texts, and the JDBC options and statements (no database needed)."""
 
+import re
 from datetime import date, datetime
 
 import pytest
@@ -127,6 +128,76 @@ def test_period_predicates_cover_every_row_once(spark, granularity):
     assert "'20231201'" in jdbc.period_predicates("d", "month", date(2023, 12, 15), date(2024, 2, 10), "sqlserver")[0]
 
 
+def hits(predicates, column="d"):
+    """How many predicates hold for a row, evaluated by Spark."""
+    plain = [re.sub(r"'(\d{8})'", lambda m: f"DATE'{m[1][:4]}-{m[1][4:6]}-{m[1][6:]}'", p) for p in predicates]
+    plain = [re.sub(r"(?<!TIMESTAMP )'(\d{4}-\d\d-\d\dT[\d:]+)'", r"TIMESTAMP_NTZ'\1'", p).replace("TIMESTAMP '", "TIMESTAMP_NTZ'") for p in plain]
+    held = [F.when(F.expr(p.replace(f'"{column}"', column).replace(f"[{column}]", column)), 1).otherwise(0) for p in plain]
+    return held
+
+
+def skewed(spark):
+    """Half of all rows on one day, the rest over three years, some NULL."""
+    return spark.sql(
+        """SELECT CAST(TIMESTAMP_NTZ'2022-01-01 00:00:00' + make_dt_interval(CAST(id % 1095 AS INT), 0, 0, id % 86400) AS TIMESTAMP_NTZ) AS d FROM range(20000)
+        UNION ALL SELECT TIMESTAMP_NTZ'2023-05-17 00:00:00' + make_dt_interval(0, 0, 0, id * 4) FROM range(20000)
+        UNION ALL SELECT CAST(NULL AS TIMESTAMP_NTZ) FROM range(500)"""
+    )
+
+
+@pytest.mark.parametrize("dialect", ["postgresql", "sqlserver"])
+@pytest.mark.parametrize("granularity", ["year", "month", "day"])
+@pytest.mark.parametrize("timestamps", [True, False])
+def test_even_splits_follow_the_counts(spark, dialect, granularity, timestamps):
+    rows = skewed(spark) if timestamps else skewed(spark).select(F.col("d").cast("date").alias("d"))
+    counts = rows.groupBy(F.trunc(F.col("d").cast("date"), granularity).alias("p") if granularity != "day" else F.col("d").cast("date").alias("p")).count()
+    split = jdbc.EvenSplit("d", 12, granularity, timestamps)
+    predicates = jdbc.even_predicates([tuple(r) for r in counts.collect()], split, dialect)
+    outside = spark.sql("SELECT TIMESTAMP_NTZ'1970-01-01 00:00:00' AS d UNION ALL SELECT TIMESTAMP_NTZ'2099-01-01 00:00:00'")
+    every = rows.unionByName(outside.select(F.col("d").cast(rows.schema["d"].dataType)))
+    held = hits(predicates)
+    total = sum(held[1:], held[0])
+    assert every.filter(total != 1).count() == 0
+    sizes = every.agg(*[F.sum(h).alias(str(i)) for i, h in enumerate(held)]).first()
+    assert sizes[-1] == 500 and len(predicates) <= 2 * 12 + 2
+    if granularity == "day":
+        # A day of dates cannot be cut; the others are still shared out.
+        assert sorted(sizes)[-1 if timestamps else -2] <= 2 * 40000 / 12
+
+
+def test_even_splits_of_little():
+    split = jdbc.EvenSplit("d", 4)
+    assert jdbc.even_predicates([], split, "postgresql") == ['"d" IS NOT NULL', '"d" IS NULL']
+    assert jdbc.even_predicates([(None, 9), (date(2024, 1, 1), 2)], jdbc.EvenSplit("d", 1), "sqlserver") == ["[d] IS NOT NULL", "[d] IS NULL"]
+    with pytest.raises(ContractError):
+        jdbc.EvenSplit("d", 0)
+    with pytest.raises(Exception):  # noqa: B017
+        jdbc.period_counts_query("postgresql", "SELECT 1", jdbc.EvenSplit("d", 2, "week"))
+
+
+def test_counts_are_asked_of_the_database_in_one_query(spark):
+    counts = spark.sql("SELECT DATE'2024-01-01' AS period, 30L AS n UNION ALL SELECT DATE'2024-02-01', 30L UNION ALL SELECT NULL, 1L")
+    database = RecordingSession([("GROUP BY", counts), ("", spark.sql("SELECT TIMESTAMP_NTZ'2024-01-05 00:00:00' AS d"))])
+    jdbc.read_jdbc(database, {"url": "jdbc:x"}, "postgresql", None, "t", query="SELECT * FROM t", split=jdbc.EvenSplit("d", 2, "month"))
+    counted, read = database.asked
+    assert counted["dbtable"] == (
+        "(SELECT CAST(DATE_TRUNC('month', \"d\") AS date) AS period, COUNT(*) AS n FROM (SELECT * FROM t) AS src "
+        "GROUP BY CAST(DATE_TRUNC('month', \"d\") AS date)) AS src"
+    )
+    assert read["predicates"] == ["\"d\" < DATE '2024-02-01'", "\"d\" >= DATE '2024-02-01'", '"d" IS NULL']
+    assert "DATEFROMPARTS(YEAR([d]), MONTH([d]), 1)" in jdbc.period_counts_query("sqlserver", "SELECT 1", jdbc.EvenSplit("d", 2, "month"))
+    task = task_from_mapping(
+        {
+            "table": {"schema_name": "dbo", "name": "t", "target_schema_name": "raw", "target_name": "t"},
+            "source": {"type": "postgresql", "runtime": "db", "query_path": "q.sql"},
+            "target": {"type": "local", "runtime": "out"},
+            "replication": {"mode": "full_load"},
+        }
+    )
+    open_source(database, task, {"db": {"url": "jdbc:x", "split": {"column": "d", "parts": 2}}}, {"q.sql": "SELECT * FROM t"})
+    assert len(database.asked[-1]["predicates"]) == 3
+
+
 class RecordingSession:
     """Stands in for the session: records what the JDBC reader is asked and answers with given frames."""
 
