@@ -68,14 +68,14 @@ def fold(column: str | Column, modulus: int) -> Column:
     return F.crc32(text.cast("binary")) % F.lit(modulus)
 
 
-def join_hot(left: DataFrame, right: DataFrame, key: str, name: str, share: int = 2000) -> DataFrame:
+def join_hot(left: DataFrame, right: DataFrame, key: str, name: str, share: int = 2000, counts: DataFrame | None = None) -> DataFrame:
     """Left join with a frame that has one row per key, for keys that may hold much of ``left``.
 
     A key with more than one of ``share`` rows is hot; there are fewer than ``share`` such keys, so their rows of ``right`` are broadcast. The
-    rest is shuffled; NULL keys match nothing and are not shuffled.
+    rest is shuffled; NULL keys match nothing and are not shuffled. ``counts`` are the rows of each key as ``_n``, if known.
     """
     added = [c for c in right.columns if c != key]
-    counts = stored(left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")), f"{name}-counts")
+    counts = counts if counts is not None else stored(left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")), f"{name}-counts")
     total = counts.agg(F.sum("_n")).first()[0] or 0
     hot = F.broadcast(counts.where(F.col("_n") * share > total).select(key))
     of_hot = left.join(hot, key, "left_semi").join(F.broadcast(right.join(hot, key, "left_semi")), key, "left")

@@ -16,7 +16,7 @@ from .common import fold, map_arrow, text_or_empty
 UNDETERMINED = "und"
 #: Hashed affix and n-gram features; hashed words of the lexicon.
 BUCKETS, LEXICON = 1 << 15, 1 << 16
-AFFIXES, GRAMS = (1, 2, 3, 4), (3,)
+AFFIXES, GRAMS = (1, 2, 3, 4), (2, 3)
 #: A lexicon entry counts from so many occurrences in the training texts on.
 LEAST_COUNT = 5
 #: The training sample: texts of each language, words of a text at most (of longer ones a window); sequences per step, their words, steps.
@@ -25,7 +25,7 @@ BATCH, WORDS, STEPS, RATE = 24, 48, 220, 0.15
 #: Words of a training sequence until it may switch to a text of another language.
 STRETCH = 12
 FOLDS, HELD_OUT = 4, 2
-MEMORY_WORDS = 300_000
+MEMORY_WORDS = 600_000
 SEED = 5
 
 
@@ -53,8 +53,8 @@ _MOST_CODES = 300_000
 
 
 def features(word: str) -> list[int]:
-    """Buckets of a word's beginnings, endings and letter n-grams (each one once)."""
-    marked, length = f"^{word[:40]}$", len(word)
+    """Buckets of the beginnings, endings and letter n-grams of a whole word, however long (each one once)."""
+    marked, length = f"^{word}$", len(word)
     keys = ["p" + word[:n] for n in AFFIXES if n <= length] + ["s" + word[-n:] for n in AFFIXES if n <= length]
     for n in GRAMS:
         keys += ["g" + marked[i : i + n] for i in range(len(marked) - n + 1)]

@@ -6,6 +6,7 @@ import json
 import math
 import random
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,31 +17,29 @@ PARTITION_ROWS = 500_000
 LEAST_PARTITIONS, MOST_PARTITIONS = 64, 32_768
 
 
-def hypergeometric(source: random.Random, good: int, bad: int, draws: int) -> int:
-    """How many of ``draws`` balls taken without putting back are good; exact inversion around the mode, any size."""
+def hypergeometric_weights(good: int, bad: int, draws: int) -> tuple[int, np.ndarray]:
+    """(smallest count, probabilities from it on) of good balls among ``draws`` taken without putting back.
+
+    Probabilities follow from their ratios, outwards from the mode, and are made to sum to 1, so no large logarithms are subtracted. Beyond
+    twelve deviations (and forty counts) what is left out is below the rounding of the sum.
+    """
     low, high = max(0, draws - bad), min(draws, good)
-    if low == high:
-        return low
     mode = min(high, max(low, (draws + 1) * (good + 1) // (good + bad + 2)))
-    choose = lambda n, k: math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
-    peak = math.exp(choose(good, mode) + choose(bad, draws - mode) - choose(good + bad, draws))
-    left = source.random() - peak
-    down = up = peak
-    i = j = mode
-    while left > 0 and (i > low or j < high):
-        if j < high:
-            up *= (good - j) * (draws - j) / ((j + 1) * (bad - draws + j + 1))
-            j += 1
-            left -= up
-            if left <= 0:
-                return j
-        if i > low:
-            down *= i * (bad - draws + i) / ((good - i + 1) * (draws - i + 1))
-            i -= 1
-            left -= down
-            if left <= 0:
-                return i
-    return mode
+    whole = good + bad
+    deviation = math.sqrt(draws / whole * good / whole * bad * max(0, whole - draws) / max(1, whole - 1)) if whole else 0.0
+    width = int(12 * deviation) + 40
+    up = np.arange(mode, min(high, mode + width), dtype=np.float64)
+    down = np.arange(mode, max(low, mode - width), -1, dtype=np.float64)
+    rising = np.cumprod((good - up) * (draws - up) / ((up + 1) * (bad - draws + up + 1)))
+    falling = np.cumprod(down * (bad - draws + down) / ((good - down + 1) * (draws - down + 1)))
+    weights = np.concatenate([falling[::-1], [1.0], rising])
+    return mode - len(falling), weights / weights.sum()
+
+
+def hypergeometric(source: random.Random, good: int, bad: int, draws: int) -> int:
+    """How many of ``draws`` balls taken without putting back are good; by inversion, at any size."""
+    first, weights = hypergeometric_weights(good, bad, draws)
+    return first + min(len(weights) - 1, int(np.searchsorted(np.cumsum(weights), source.random(), side="right")))
 
 
 def communication_matrix(counts: list[int], sizes: list[int], seed: int) -> list[list[int]]:

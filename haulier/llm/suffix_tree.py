@@ -15,12 +15,16 @@ from .common import fold, map_arrow, stored, text_or_empty
 
 #: Longest context in bytes. With the next byte a window is at most 7 bytes and fits a long.
 DEPTH = 6
+#: Contexts of so many bytes are always in the tree; longer ones must pass the test.
+TOP = 2
 #: A context is kept if what it adds to the training likelihood (natural log) is at least this for each of its next symbols.
 PENALTY = 0.5
 #: What every next symbol of a context gives up to the shorter suffix.
 DISCOUNT = 0.9
-#: Rows of the model that every worker holds; the penalty is doubled until they suffice.
-MOST_ROWS = 2_000_000
+#: Windows whose probabilities every worker holds, at most: only a short cut, those of all others are joined.
+SLOTS = 1 << 21
+#: Different windows that a counting task holds before it hands them on, and those scored together.
+HELD, CHUNK = 2_000_000, 250_000
 #: Words whose counts every worker holds; the counts of others are joined.
 FREQUENT = 200_000
 SLICE = 2 << 20
@@ -72,17 +76,39 @@ def _packed(parts: list[tuple[bytes, int]], depth: int) -> tuple[np.ndarray, np.
 
 
 def window_counts(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(``key``, ``n``): occurrences of every window in all texts of ``rows``."""
+    """(``key``, ``n``, ``seen``): of every window in the texts of ``rows`` its occurrences where ``train`` holds, and in all."""
 
     def count(batches):
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for batch in batches:
             for part in _slices(batch):
-                for keys, _ in windows([tokens(t) for t in part.column("text").to_pylist()], depth):
-                    unique, n = np.unique(keys, return_counts=True)
-                    for at in range(0, len(unique), 50_000):
-                        yield pa.RecordBatch.from_arrays([pa.array(unique[at : at + 50_000]), pa.array(n[at : at + 50_000])], names=["key", "n"])
+                train = np.array(part.column("train").to_pylist(), dtype=bool)
+                for keys, owner in windows([tokens(t) for t in part.column("text").to_pylist()], depth):
+                    for some, taught in ((keys[train[owner]], 1), (keys[~train[owner]], 0)):
+                        unique, n = np.unique(some, return_counts=True)
+                        held.append((unique, n * taught, n))
+                if sum(len(keys) for keys, _, _ in held) > 2 * HELD:
+                    held = [_merged(held)]
+                    if len(held[0][0]) > HELD:
+                        yield from _counted(held.pop())
+        if held:
+            yield from _counted(_merged(held))
 
-    return rows.select("text").transform(map_arrow, count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counted = rows.select("text", "train").transform(map_arrow, count, "key long, n long, seen long")
+    return counted.groupBy("key").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+
+
+def _merged(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    keys, n, seen = (np.concatenate(columns) for columns in zip(*held, strict=True))
+    order = np.argsort(keys, kind="stable")
+    keys, n, seen = keys[order], n[order], seen[order]
+    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, dtype=np.int64)
+    return (keys[heads], np.add.reduceat(n, heads), np.add.reduceat(seen, heads)) if len(keys) else (keys, n, seen)
+
+
+def _counted(columns: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(columns[0]), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 100_000].astype(np.int64)) for c in columns], names=["key", "n", "seen"])
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -114,136 +140,157 @@ def _slices(batch: pa.RecordBatch, rows: int = 512):
         yield batch.slice(at, rows)
 
 
-def context_levels(counts: DataFrame, depth: int = DEPTH) -> dict[int, DataFrame]:
-    """Per context length: windows (``key``) with occurrences ``n`` and the number ``fronts`` of different bytes in front."""
-    levels = {depth: counts.select("key", "n", F.col("n").alias("fronts"))}
-    for k in range(depth - 1, -1, -1):
-        mask = (1 << 8 * (k + 1)) - 1
-        shorter = levels[k + 1].groupBy(F.col("key").bitwiseAND(F.lit(mask)).alias("key"))
-        levels[k] = stored(shorter.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("fronts")), f"suffix-level{k}")
-    return levels
+def _mask(level: int) -> int:
+    """Selects the window of a context of ``level`` bytes from a longer one."""
+    return (1 << 8 * (level + 1)) - 1
 
 
-def divergences(levels: dict[int, DataFrame], depth: int = DEPTH) -> DataFrame:
-    """(``level``, ``context``, ``kinds``, ``gain``): by how much each context raises the training likelihood over its suffix.
+def top_probabilities(counts: DataFrame, top: int) -> DataFrame:
+    """(``short``, ``p``): smoothed probability of the last byte of every window after a context of ``top`` bytes.
 
-    ``gain`` is the Kullback-Leibler divergence of the context's next-symbol distribution from the smoothed one of its suffix, times the
-    context's occurrences, divided by the number of its different next symbols.
+    Shorter contexts weigh a symbol by the different bytes that stand in front of the window in training: a suffix speaks where the longer
+    context is new, so what counts is after how many of them the symbol follows. Every byte can come next, seen or not.
     """
-    context = F.shiftright("key", 8)
+    levels = {top + 1: counts.groupBy(F.col("key").bitwiseAND(F.lit(_mask(top + 1))).alias("key")).agg(F.sum("n").alias("fronts"))}
+    for k in range(top, -1, -1):
+        shorter = levels[k + 1].groupBy(F.col("key").bitwiseAND(F.lit(_mask(k))).alias("key"))
+        levels[k] = stored(shorter.agg(F.sum((F.col("fronts") > 0).cast("long")).alias("fronts")), f"suffix-level{k}")
     whole = levels[0].agg(F.sum("fronts")).first()[0] or 0
-    above = levels[0].select(F.col("key").alias("above_key"), ((F.col("fronts") + 1) / F.lit(whole + 256.0)).alias("above"))
-    out = None
-    for k in range(1, depth + 1):
-        totals = levels[k].groupBy(context.alias("context")).agg(
-            F.sum("n").alias("total"), F.sum("fronts").alias("weight"), F.count(F.lit(1)).alias("kinds")
-        )
-        rows = levels[k].select("key", "n", "fronts", context.alias("context"), F.col("key").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("above_key"))
-        rows = rows.join(above, "above_key")
-        sums = rows.groupBy("context").agg(F.sum(F.col("n") * F.log(F.col("n") / F.col("above"))).alias("sum"))
-        gains = sums.join(totals, "context")
-        gains = gains.select(F.lit(k).alias("level"), "context", "kinds", ((F.col("sum") - F.col("total") * F.log("total")) / F.col("kinds")).alias("gain"))
-        out = gains if out is None else out.unionByName(gains)
-        if k < depth:
-            smooth = F.greatest(F.col("fronts") - DISCOUNT, F.lit(0.0)) / F.col("weight") + DISCOUNT * F.col("kinds") / F.col("weight") * F.col("above")
-            above = rows.join(totals, "context").select(F.col("key").alias("above_key"), smooth.alias("above"))
-            above = stored(above, f"suffix-smooth{k}")
-    return stored(out, "suffix-gains")
-
-
-def retained(levels: dict[int, DataFrame], gains: DataFrame, penalty: float, depth: int = DEPTH) -> DataFrame:
-    """(``level``, ``key``, ``n``): next-symbol weights of the contexts that pass the divergence test, and of their suffixes.
-
-    The longest contexts weigh a symbol by its occurrences, shorter ones by the different bytes that stand in front of the
-    window: a suffix speaks where the longer context is new, so what counts is after how many of them the symbol follows.
+    above = levels[0].select(F.col("key").alias("short"), ((F.col("fronts") + 1) / F.lit(whole + 256.0)).alias("p"))
+    for k in range(1, top + 1):
+        context = F.shiftright("key", 8)
+        totals = levels[k].groupBy(context.alias("context")).agg(F.sum("fronts").alias("weight"), F.sum((F.col("fronts") > 0).cast("long")).alias("kinds"))
+        rows = levels[k].select("key", "fronts", context.alias("context"), F.col("key").bitwiseAND(F.lit(_mask(k - 1))).alias("short"))
+        rows = rows.join(above, "short").join(totals, "context")
+        p = F.greatest(F.col("fronts") - DISCOUNT, F.lit(0.0)) / F.col("weight") + DISCOUNT * F.col("kinds") / F.col("weight") * F.col("p")
+        above = stored(rows.select(F.col("key").alias("short"), F.when(F.col("weight") > 0, p).otherwise(F.col("p")).alias("p")), f"suffix-top{k}")
+    return above
+
+
+def tree_scores(keys: np.ndarray, n: np.ndarray, base: np.ndarray, depth: int, top: int, penalty: float = PENALTY) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Natural log probability of the last byte of every window, and the contexts kept per length.
+
+    ``keys`` are different windows with their ``n`` occurrences in training (0: none) and ``base``, the probability after ``top`` bytes. They hold every
+    window of each context of ``top`` + 1 bytes that occurs in them, so nothing else bears on the result. A context is kept if the Kullback-Leibler
+    divergence of its next symbols from those smoothed by its suffixes, times its occurrences and divided by its different next symbols, reaches
+    ``penalty``, or if a longer context that ends with it is kept. The longest kept context scores.
+    """
+    window, times, fronts, to_shorter = {depth: keys}, {depth: n.astype(np.float64)}, {depth: n.astype(np.float64)}, {}
+    first = np.arange(len(keys))
+    for k in range(depth - 1, top, -1):
+        window[k], to_shorter[k + 1] = np.unique(window[k + 1] & _mask(k), return_inverse=True)
+        size = len(window[k])
+        times[k] = np.bincount(to_shorter[k + 1], times[k + 1], size)
+        fronts[k] = np.bincount(to_shorter[k + 1], times[k + 1] > 0, size)
+        first = to_shorter[k + 1][first]
+    above = np.empty(len(window[top + 1]))
+    above[first] = base
+    smooth, place, share, rest, contexts, passes = above, {}, {}, {}, {}, {}
+    for k in range(top + 1, depth + 1):
+        if k > top + 1:
+            smooth = smooth[to_shorter[k]]
+        contexts[k], place[k] = np.unique(window[k] >> 8, return_inverse=True)
+        size = len(contexts[k])
+        total, weight = np.bincount(place[k], times[k], size), np.bincount(place[k], fronts[k], size)
+        kinds = np.bincount(place[k], times[k] > 0, size)
+        taught = times[k] > 0
+        gain = np.zeros(size)
+        np.add.at(gain, place[k][taught], times[k][taught] * np.log(times[k][taught] / smooth[taught]))
+        known = total > 0
+        gain[known] = (gain[known] - total[known] * np.log(total[known])) / kinds[known]
+        passes[k] = known & (gain >= penalty)
+        safe = np.where(weight > 0, weight, 1.0)
+        share[k] = np.maximum(fronts[k] - DISCOUNT, 0) / safe[place[k]]
+        rest[k] = np.where(weight > 0, DISCOUNT * kinds / safe, 1.0)[place[k]]
+        smooth = share[k] + rest[k] * smooth
+    for k in range(depth - 1, top, -1):
+        longer = contexts[k + 1][passes[k + 1]] & ((1 << 8 * k) - 1)
+        passes[k][np.searchsorted(contexts[k], longer)] = True
+    score = above
+    for k in range(top + 1, depth + 1):
+        if k > top + 1:
+            score = score[to_shorter[k]]
+        score = np.where(passes[k][place[k]], share[k] + rest[k] * score, score)
+    return np.log(score), {k: contexts[k][passes[k]] for k in contexts}
+
+
+def window_scores(rows: DataFrame, *, depth: int = DEPTH, penalty: float = PENALTY) -> DataFrame:
+    """(``key``, ``seen``, ``log_p``) of every window of all texts, under the tree of those where ``train`` holds; a stored table.
+
+    All counts and tests run over all texts, and the test is the same at every size, so the tree grows with the corpus. Windows are dealt out by the last ``TOP`` + 1
+    bytes of their contexts: all longer contexts and windows that bear on one of them are then in one task, which goes through them in order.
     """
-    out, needed = levels[0].select(F.lit(0).alias("level"), "key", F.col("fronts").alias("n")), None
-    for k in range(depth, 0, -1):
-        contexts = gains.where((F.col("level") == k) & (F.col("gain") >= penalty)).select("context")
-        contexts = contexts if needed is None else contexts.unionByName(needed).distinct()
-        contexts = stored(contexts, f"suffix-kept{k}")
-        rows = levels[k].withColumn("context", F.shiftright("key", 8)).join(contexts, "context", "left_semi")
-        out = out.unionByName(rows.select(F.lit(k).alias("level"), "key", F.col("fronts").alias("n")))
-        needed = contexts.select(F.col("context").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1)).alias("context")).distinct()
-    return stored(out, "suffix-model")
-
-
-class SuffixTree:
-    """Smoothed next-symbol distributions of the kept contexts, as sorted arrays per level."""
-
-    def __init__(self, rows: pa.Table, depth: int = DEPTH) -> None:
-        level, key, n = (rows.column(c).to_numpy() for c in ("level", "key", "n"))
-        self.depth, self.levels = depth, []
-        previous = None
-        for k in range(depth + 1):
-            mine = level == k
-            order = np.argsort(key[mine])
-            keys, counts = key[mine][order], n[mine][order].astype(np.float64)
-            contexts, where = np.unique(keys >> 8, return_inverse=True)
-            totals, kinds = np.bincount(where, counts, len(contexts)), np.bincount(where, minlength=len(contexts))
-            if k == 0:
-                # Every byte can come next, seen or not.
-                p = np.full(256, 1.0)
-                p[keys] += counts
-                self.root, logs = np.log(p / p.sum()), None
-                previous = (keys, p[keys] / p.sum())
+    top = min(TOP, depth - 1)
+    counts = stored(window_counts(rows, depth), "suffix-windows")
+    ends = top_probabilities(counts, top)
+    keyed = counts.withColumn("short", F.col("key").bitwiseAND(F.lit(_mask(top)))).join(ends, "short")
+    keyed = keyed.select(F.shiftright("key", 8).bitwiseAND(F.lit(_mask(top))).alias("class"), "key", "n", "seen", "p")
+
+    def scored(batches):
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size < CHUNK:
                 continue
-            # Every next symbol gives a fixed part of its weight to the suffix.
-            weight = DISCOUNT * kinds / totals
-            above = previous[1][np.searchsorted(previous[0], keys & ((1 << 8 * k) - 1))] if len(keys) else np.empty(0)
-            p = np.maximum(counts - DISCOUNT, 0) / totals[where] + weight[where] * above if len(keys) else np.empty(0)
-            logs = np.log(p)
-            self.levels.append((keys, logs.astype(np.float32), contexts, np.log(weight).astype(np.float32)))
-            previous = (keys, p)
-
-    def log_probabilities(self, windows_: np.ndarray) -> np.ndarray:
-        """Natural log probability of the lowest byte of each window after its longest kept context."""
-        out = self.root[windows_ & 0xFF]
-        inside = np.arange(len(windows_))
-        for k, (keys, logs, contexts, weights) in enumerate(self.levels, 1):
-            if not len(contexts) or not len(inside):
-                break
-            window = windows_[inside] & ((1 << 8 * (k + 1)) - 1)
-            at = np.minimum(np.searchsorted(contexts, window >> 8), len(contexts) - 1)
-            known = contexts[at] == window >> 8  # a context whose suffix is not kept is not kept either
-            inside, window, at = inside[known], window[known], at[known]
-            place = np.minimum(np.searchsorted(keys, window), len(keys) - 1)
-            out[inside] = np.where(keys[place] == window, logs[place], weights[at] + out[inside])
-        return out
-
-    def spellings(self, words: list[list[bytes]]) -> np.ndarray:
-        """Natural log probability of every token of the texts, one behind the other: a word with its space, or the end."""
-        total = np.zeros(sum(len(text) + 1 for text in words))
-        before = 0
-        for keys, _ in windows(words, self.depth):
-            closing = ((keys & 0xFF) == 0x20) | ((keys & 0xFF) == 0x0A)  # no word holds these
-            token = before + np.cumsum(closing) - closing
-            before += int(closing.sum())
-            unique, inverse = np.unique(keys, return_inverse=True)
-            total += np.bincount(token, self.log_probabilities(unique)[inverse], len(total))
-        return total
-
-
-def fitted(rows: DataFrame, *, depth: int = DEPTH, penalty: float = PENALTY, most_rows: int = MOST_ROWS) -> SuffixTree:
-    """The tree of all texts of ``rows``: counts and tests run over all of them; the model has at most ``most_rows`` rows."""
-    levels = context_levels(stored(window_counts(rows, depth), "suffix-windows"), depth)
-    gains = divergences(levels, depth)
-    steps = [penalty * 2**i for i in range(40)]
-    sizes = gains.agg(*[F.sum(F.when(F.col("gain") >= step, F.col("kinds"))).alias(f"s{i}") for i, step in enumerate(steps)]).first()
-    at = next(i for i in range(len(steps)) if (sizes[i] or 0) <= most_rows or i == len(steps) - 1)
-    while True:
-        model = retained(levels, gains, steps[at], depth)
-        if model.count() <= most_rows or at == len(steps) - 1:
-            return SuffixTree(model.toArrow(), depth)
-        at += 1  # the suffixes of what passed took too much
+            table = pa.Table.from_batches(held).combine_chunks()
+            kinds = table.column("class").to_numpy()
+            cut = int(np.searchsorted(kinds, kinds[-1]))  # the last class may go on
+            if cut:
+                yield from _log_p(table.slice(0, cut))
+            held = table.slice(cut).to_batches()
+            size = len(kinds) - cut
+        if size:
+            yield from _log_p(pa.Table.from_batches(held))
+
+    def _log_p(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys, n, p = (table.column(c).to_numpy() for c in ("key", "n", "p"))
+        log_p, _ = tree_scores(keys, n, p, depth, top, penalty)
+        columns = [keys, table.column("seen").to_numpy(), log_p]
+        for at in range(0, len(keys), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 100_000]) for c in columns], names=["key", "seen", "log_p"])
+
+    dealt = keyed.repartition("class").sortWithinPartitions("class")
+    return stored(dealt.transform(map_arrow, scored, "key long, seen long, log_p double"), "suffix-probabilities")
+
+
+class Slots:
+    """Probabilities of frequent windows in a table of slots; of the windows of one slot the most frequent one has it."""
+
+    def __init__(self, keys: np.ndarray, seen: np.ndarray, log_p: np.ndarray, slots: int) -> None:
+        self._shift = np.uint64(64 - max(1, slots - 1).bit_length())
+        order = np.argsort(-seen, kind="stable")
+        slot, first = np.unique(self._slot(keys[order]), return_index=True)
+        self._keys, self._values = np.full(1 << (64 - int(self._shift)), -1, dtype=np.int64), np.zeros(1 << (64 - int(self._shift)))
+        self._keys[slot], self._values[slot] = keys[order][first], log_p[order][first]
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self._shift).view(np.int64)
+
+    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(values, which are known); the value of an unknown window is 0."""
+        slot = self._slot(keys)
+        known = self._keys[slot] == keys
+        return np.where(known, self._values[slot], 0.0), known
+
+
+def frequent_windows(scores: DataFrame, slots: int) -> Slots:
+    """At most ``slots`` of the windows seen most often."""
+    powers = [F.sum((F.col("seen") >= 2**i).cast("long")).alias(f"p{i}") for i in range(50)]
+    sizes = scores.agg(*powers).first()
+    floor = next((2**i for i in range(50) if (sizes[f"p{i}"] or 0) <= slots), 2**50)
+    table = scores.where(F.col("seen") >= floor).toArrow()
+    return Slots(*(table.column(c).to_numpy() for c in ("key", "seen", "log_p")), slots)
 
 
 def document_scores(df: DataFrame, *, depth: int = DEPTH) -> DataFrame:
     """Log probabilities of all texts under a model of those outside the held-out fold (crc32 of the id modulo 7 is 2).
 
     Columns: ``doc_id``, ``held_out``, ``n_tokens`` (words and one end), ``n_known`` (tokens seen in training), ``train_tokens``,
-    ``base_score`` (add-one unigrams over tokens, log10), ``score`` (the model's log10 probability of the tokens). A token is
-    spelled by the suffix tree byte by byte, in contexts that run on across the words of the text. A NULL text is an empty
+    ``base_score`` (add-one unigrams over tokens, log10), ``score`` (the model's log10 probability of the tokens). Tokens are
+    spelled by the suffix tree byte by byte, in contexts that run on across the words of the text. Probabilities of frequent windows are held by the workers,
+    those of the others are joined from the table of all windows; both are the same numbers. A NULL text is an empty
     one: its end only. Nothing to learn from means uniform bytes and no known token. Repeated rows are scored one by one, an empty table stays empty; other columns are not read.
     """
     spark = df.sparkSession
@@ -251,7 +298,8 @@ def document_scores(df: DataFrame, *, depth: int = DEPTH) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"), text_or_empty().alias("text")
     )
     training = rows.where(~F.col("held_out"))
-    tree = spark.sparkContext.broadcast(fitted(training, depth=depth))
+    scores = window_scores(rows.withColumn("train", ~F.col("held_out")), depth=depth)
+    held = spark.sparkContext.broadcast(frequent_windows(scores, SLOTS))
     counts = stored(word_counts(training), "unigrams")
     powers = [F.sum((F.col("n") >= 2**i).cast("long")).alias(f"p{i}") for i in range(50)]
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("N"), F.count(F.lit(1)).alias("V"), *powers).first()
@@ -266,12 +314,18 @@ def document_scores(df: DataFrame, *, depth: int = DEPTH) -> DataFrame:
         for batch in batches:
             for part in _slices(batch):
                 words = [tokens(t) for t in part.column("text").to_pylist()]
-                spelling = tree.value.spellings(words)
+                spelled, others, owners = np.zeros(len(words)), [], []
+                for keys, owner in windows(words, depth):
+                    values, found = held.value.look_up(keys)
+                    spelled += np.bincount(owner, values, len(words))
+                    others.append(keys[~found])
+                    owners.append(owner[~found])
+                at = np.searchsorted(np.concatenate(owners), np.arange(len(words) + 1))
+                others = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(np.concatenate(others)))
                 words = [[*text, END] for text in words]
                 n = np.array([counts_of.get(w, 0) for text in words for w in text], dtype=np.float64)
                 sizes = np.array([len(text) for text in words])
                 starts = np.cumsum(sizes) - sizes
-                scores = np.add.reduceat(spelling, starts) / math.log(10)
                 seen = np.add.reduceat((n > 0).astype(np.int64), starts)
                 logs = np.add.reduceat(np.log10(n + 1), starts)
                 rare = [Counter(w for w in text if w not in counts_of) for text in words]
@@ -279,20 +333,22 @@ def document_scores(df: DataFrame, *, depth: int = DEPTH) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(sizes, pa.int64()), pa.array(seen, pa.int64()),
-                        pa.array(logs, pa.float64()), pa.array(scores, pa.float64()),
+                        pa.array(logs, pa.float64()), pa.array(spelled), others,
                         pa.array(pairs, pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))),
                     ],
-                    names=["row", "doc_id", "held_out", "n_tokens", "seen", "logs", "score", "rare"],
+                    names=["row", "doc_id", "held_out", "n_tokens", "seen", "logs", "spelled", "windows", "rare"],
                 )
 
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, seen long, logs double, score double, rare array<struct<word: binary, times: long>>"
+    schema = "row long, doc_id long, held_out boolean, n_tokens long, seen long, logs double, spelled double, windows array<long>, rare array<struct<word: binary, times: long>>"
     # Row numbers tell repeated rows apart; they are written down with the rows before they are used.
     scored = stored(rows.withColumn("row", F.monotonically_increasing_id()).transform(map_arrow, score, schema), "suffix-scores")
     pairs = scored.select("row", F.inline("rare"))
     others = pairs.join(counts.where(F.col("n") < floor), "word").groupBy("row").agg(
         F.sum("times").alias("more_seen"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_logs")
     )
-    out = scored.drop("rare").join(others, "row", "left")
+    spelled = scored.select("row", F.explode("windows").alias("key")).join(scores.select("key", "log_p"), "key")
+    spelled = spelled.groupBy("row").agg(F.sum("log_p").alias("more_spelled"))
+    out = scored.drop("rare", "windows").join(others, "row", "left").join(spelled, "row", "left")
     return out.select(
         "doc_id",
         "held_out",
@@ -300,5 +356,5 @@ def document_scores(df: DataFrame, *, depth: int = DEPTH) -> DataFrame:
         (F.col("seen") + F.coalesce("more_seen", F.lit(0))).cast("long").alias("n_known"),
         F.lit(all_tokens).cast("long").alias("train_tokens"),
         (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(math.log10(all_tokens + kinds + 1))).alias("base_score"),
-        "score",
+        ((F.col("spelled") + F.coalesce("more_spelled", F.lit(0.0))) / F.lit(math.log(10))).alias("score"),
     )

@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.storage import Storage
 from .common import join_hot, map_arrow, shared_path, stored
 from .token_files import open_store
 
@@ -55,9 +56,14 @@ class Record(NamedTuple):
     refers_to_date: str | None = None
 
 
+def payload_digest(payload: bytes) -> str:
+    """SHA-1 in base32."""
+    return base64.b32encode(hashlib.sha1(payload).digest()).decode()
+
+
 def digests(payload: bytes) -> tuple[str, str]:
     """(base32 SHA-1, hex SHA-256)."""
-    return base64.b32encode(hashlib.sha1(payload).digest()).decode(), hashlib.sha256(payload).hexdigest()
+    return payload_digest(payload), hashlib.sha256(payload).hexdigest()
 
 
 def member(record: Record, payload: bytes) -> bytes:
@@ -98,7 +104,8 @@ def parsed(data: bytes) -> tuple[dict[str, str], bytes]:
     if rest[len(block) :] != b"\r\n\r\n":
         raise ValueError(f"record {headers.get('warc-record-id')} does not end where it says")
     payload = block.partition(b"\r\n\r\n")[2] if headers.get("content-type", "").startswith("application/http") else block
-    if headers["warc-type"] != "revisit" and "warc-payload-digest" in headers and headers["warc-payload-digest"] != f"sha1:{digests(payload)[0]}":
+    given = headers.get("warc-payload-digest", "")
+    if headers["warc-type"] != "revisit" and given.startswith("sha1:") and given != f"sha1:{payload_digest(payload)}":
         raise ValueError(f"payload of {headers.get('warc-record-id')} does not have its digest")
     return headers, payload
 
@@ -217,7 +224,10 @@ def read_headers(headers: DataFrame) -> DataFrame:
                         if headers["warc-type"] == "revisit":
                             digest, check, length = headers.get("warc-payload-digest", "").removeprefix("sha1:") or None, headers.get("payload-sha256"), headers.get("payload-length")
                         else:
-                            (digest, check), length = digests(payload), len(payload)
+                            # A digest in the header has just been checked.
+                            given = headers.get("warc-payload-digest", "")
+                            digest = given.removeprefix("sha1:") if given.startswith("sha1:") else payload_digest(payload)
+                            check, length = hashlib.sha256(payload).hexdigest(), len(payload)
                         rows.append(
                             (
                                 path, offset, size, headers["warc-record-id"].strip("<>"), headers["warc-type"],
@@ -359,4 +369,7 @@ def deduplicated_pages(df: DataFrame, *, least_bytes: int = 0) -> DataFrame:
 
     NULL html counts as empty, NULL ids come last, repeated rows are revisits of the first; an empty table gives an empty result.
     """
-    return page_records(read_headers(write_deduplicated(read_headers(write_archives(df)), least_bytes=least_bytes)))
+    folder = shared_path(df.sparkSession, "warc-crawl")
+    written = write_deduplicated(read_headers(write_archives(df, folder=folder)), least_bytes=least_bytes)
+    Storage(df.sparkSession, folder).delete()  # all that is kept is in the new archives
+    return page_records(read_headers(written))

@@ -1,10 +1,13 @@
 """Block naming, sharding and mixing against plain Python."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
+import numpy as np
 import pytest
 from frames import SCHEMA, clashing, documents
 
@@ -85,6 +88,23 @@ def test_hypergeometric_draws_have_the_right_mean_at_any_size():
     assert abs(sum(large) / 50 - 125_000) < 500
 
 
+@pytest.mark.parametrize(("good", "bad", "draws"), [(0, 0, 0), (3, 5, 4), (5, 0, 3), (0, 9, 4), (7, 2, 9), (2000, 3000, 1000), (40_000, 280_000, 5_000)])
+def test_hypergeometric_weights_are_the_exact_ones(good, bad, draws):
+    first, weights = sharding.hypergeometric_weights(good, bad, draws)
+    whole = math.comb(good + bad, draws)
+    exact = [float(Fraction(math.comb(good, k) * math.comb(bad, draws - k), whole)) for k in range(first, first + len(weights))]
+    assert sum(exact) == pytest.approx(1, abs=1e-12) and np.allclose(weights, exact, rtol=1e-9, atol=1e-15)
+
+
+def test_hypergeometric_weights_of_large_numbers_have_the_right_moments():
+    for good, bad, draws in ((10**9, 7 * 10**9, 10**6), (10**11, 7 * 10**11, 3 * 10**9)):
+        first, weights = sharding.hypergeometric_weights(good, bad, draws)
+        n, share = good + bad, good / (good + bad)
+        counts = np.arange(len(weights)) + (first - draws * share)
+        assert abs(float(weights @ counts)) < 1e-3
+        assert float(weights @ counts**2) == pytest.approx(draws * share * (1 - share) * (n - draws) / (n - 1), rel=1e-6)
+
+
 def water_level(sizes, weights, total, most):
     """The excess above the limit is dealt again until none is above."""
     out, free, rest = {}, set(sizes), total

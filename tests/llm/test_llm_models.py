@@ -160,16 +160,113 @@ def test_windows_see_every_byte_once():
         assert keys[0] == int.from_bytes(b"\0\0\na", "big") and keys[3] == int.from_bytes(b"abc"[0:2] + b" c", "big")
 
 
-def test_tree_is_a_distribution_and_uses_the_longest_suffix(spark):
+class PlainTree:
+    """The suffix tree with dictionaries of byte strings, context by context."""
+
+    def __init__(self, texts, depth, top, penalty, discount=suffix_tree.DISCOUNT):
+        self.depth, self.top, self.discount = depth, top, discount
+        n = Counter(w for text in texts for w in self.cut(text))
+        self.fronts, times = {depth: n}, {depth: n}
+        for k in range(depth - 1, -1, -1):
+            self.fronts[k] = Counter(w[1:] for w in self.fronts[k + 1])
+            times[k] = Counter()
+            for w, c in times[k + 1].items():
+                times[k][w[1:]] += c
+        self.weight, self.kinds = {}, {}
+        for k in range(1, depth + 1):
+            self.weight[k], self.kinds[k] = Counter(), Counter()
+            for w, c in self.fronts[k].items():
+                self.weight[k][w[:-1]] += c
+                self.kinds[k][w[:-1]] += 1
+        self.kept = {k: set(self.weight[k]) for k in range(1, top + 1)}
+        for k in range(depth, top, -1):
+            gains, totals = Counter(), Counter()
+            for w, c in times[k].items():
+                gains[w[:-1]] += c * math.log(c / self.smooth(w[1:], k - 1))
+                totals[w[:-1]] += c
+            self.kept[k] = {c for c in gains if (gains[c] - totals[c] * math.log(totals[c])) / self.kinds[k][c] >= penalty}
+            self.kept[k] |= {c[1:] for c in self.kept.get(k + 1, ())}
+
+    def cut(self, words):
+        text = b"\0" * (self.depth - 1) + b"\n" + b" ".join([*words, b"\n"])
+        return [text[i : i + self.depth + 1] for i in range(len(text) - self.depth)]
+
+    def step(self, w, k, shorter):
+        weight = self.weight[k][w[:-1]]
+        if not weight:
+            return shorter
+        return max(self.fronts[k][w] - self.discount, 0) / weight + self.discount * self.kinds[k][w[:-1]] / weight * shorter
+
+    def smooth(self, w, k):
+        if k == 0:
+            return (self.fronts[0][w] + 1) / (sum(self.fronts[0].values()) + 256)
+        return self.step(w, k, self.smooth(w[1:], k - 1))
+
+    def p(self, w):
+        p = self.smooth(w[-1:], 0)
+        for k in range(1, self.depth + 1):
+            if w[-k - 1 : -1] in self.kept[k]:
+                p = self.step(w[-k - 1 :], k, p)
+        return p
+
+
+@pytest.mark.parametrize("slots", [4, 1 << 16])
+def test_scores_are_those_of_a_plain_tree(spark, monkeypatch, slots):
+    monkeypatch.setattr(suffix_tree, "SLOTS", slots)
+    monkeypatch.setattr(suffix_tree, "HELD", 500)
+    monkeypatch.setattr(suffix_tree, "CHUNK", 300)
+    df = documents(spark)
+    rows = [(r["doc_id"], suffix_tree.tokens(r["text"] or "")) for r in df.collect()]
+    taught = [words for doc_id, words in rows if zlib.crc32(str("" if doc_id is None else doc_id).encode()) % 7 != 2]
+    tree = PlainTree(taught, suffix_tree.DEPTH, suffix_tree.TOP, suffix_tree.PENALTY)
+    assert all(0 < len(tree.kept[k]) < len(tree.weight[k]) for k in (4, 5, 6))
+    known = {}
+    want = []
+    for doc_id, words in rows:
+        score = 0.0
+        for w in tree.cut(words):
+            if w not in known:
+                known[w] = math.log10(tree.p(w))
+            score += known[w]
+        want.append((str(doc_id), round(score, 4)))
+    got = [(str(r["doc_id"]), round(r["score"], 4)) for r in suffix_tree.document_scores(clashing(df).repartition(5)).collect()]
+    assert [d for d, _ in sorted(got)] == [d for d, _ in sorted(want)]
+    assert np.allclose([x for _, x in sorted(got)], [x for _, x in sorted(want)], atol=2e-4)
+
+
+def tree_windows(depth=4):
+    """Windows of a small corpus, and all next bytes of some contexts, with their counts in training."""
     rng = random.Random(6)
-    rows = [(i, " ".join(rng.choice(["abab", "abc", "xyz", "é"]) for _ in range(20)), None, None, None) for i in range(40)]
-    tree = suffix_tree.fitted(spark.createDataFrame(rows, SCHEMA), depth=4)
-    for context in (b"abab", b" xyz", b"zzzz", b"\0\0\0\n", "é".encode() + b" a"):
-        keys = (int.from_bytes(context[-4:], "big") << 8) | np.arange(256)
-        assert np.exp(tree.log_probabilities(keys)).sum() == pytest.approx(1, abs=1e-4)
-    keys = np.array([int.from_bytes(b" xyz", "big") << 8 | 0x20, int.from_bytes(b" xyz", "big") << 8 | 0x61])
-    p = np.exp(tree.log_probabilities(keys))
-    assert p[0] > 0.9 > 0.05 > p[1]
+    texts = [[rng.choice([b"abab", b"abc", b"xyz", "é".encode()]) for _ in range(20)] for _ in range(40)]
+    keys, n = np.unique(np.concatenate([k for k, _ in suffix_tree.windows(texts, depth)]), return_counts=True)
+    contexts = [int.from_bytes(c[-depth:], "big") for c in (b"abab", b" xyz", b"zzzz", b"\0\0\0\n", "é".encode() + b" a")]
+    every = np.concatenate([(c << 8) | np.arange(256) for c in contexts])
+    new = np.setdiff1d(every, keys)
+    return contexts, np.concatenate([keys, new]), np.concatenate([n, np.zeros(len(new), dtype=np.int64)])
+
+
+def test_tree_is_a_distribution_and_uses_the_longest_suffix():
+    contexts, keys, n = tree_windows()
+    log_p, kept = suffix_tree.tree_scores(keys, n, np.full(len(keys), 1 / 256), 4, 2)
+    p = dict(zip(keys.tolist(), np.exp(log_p).tolist(), strict=True))
+    for context in contexts:
+        assert sum(p[(context << 8) | b] for b in range(256)) == pytest.approx(1)
+    after = int.from_bytes(b" xyz", "big") << 8
+    assert p[after | 0x20] > 0.9 > 0.05 > p[after | 0x61] and len(kept[3])
+
+
+def test_a_larger_corpus_keeps_every_context_of_a_smaller_one():
+    """One fixed test: contexts are never given up for the size of the model."""
+    _, keys, n = tree_windows()
+    base = np.full(len(keys), 1 / 256)
+    sizes = []
+    for times in (1, 2, 50):
+        _, kept = suffix_tree.tree_scores(keys, n * times, base, 4, 2, penalty=30.0)
+        if sizes:
+            assert all(set(before[k].tolist()) <= set(kept[k].tolist()) for k in kept)
+        before = kept
+        sizes.append(sum(map(len, kept.values())))
+    assert sizes[0] < sizes[-1]
 
 
 @pytest.mark.parametrize("frequent", [3, 10**6])
