@@ -19,6 +19,7 @@ from ..operators import landing, versions
 from ..operators.landing import Staged
 from ..operators.shape import Partitioning, keep_window
 from ..sources.tables import lower_bound
+from ..state import leases
 from ..state.watermarks import Watermark, WatermarkTable
 
 
@@ -157,6 +158,7 @@ def append_new(
     max_rows_per_file: int | None = None,
     clustered: bool = False,
     versioned: bool | None = None,
+    lease_seconds: float | None = None,
 ) -> LoadResult:
     """Add the rows strictly above the stored watermark, or load everything when there is none.
 
@@ -166,8 +168,48 @@ def append_new(
     ``upper_bound`` fixes the upper edge for sources whose parallel reads are no single snapshot.
     ``prepare`` shapes the rows behind the bounds (type casts, say): bounds and watermark are those of the source's
     own column, exact to the last digit, and stay in reach of the scan. A maximum that Spark fails to report is
-    ``upper_bound``, or is read again. ``versioned`` as in :func:`full_load`.
+    ``upper_bound``, or is read again. ``versioned`` as in :func:`full_load`. With ``lease_seconds`` the load holds the dataset for that long at most: a
+    second one is refused before it writes, and one whose lease is over before it commits.
     """
+    spark = source.sparkSession
+    lease = leases.acquire(spark, watermarks.root, dataset, lease_seconds) if lease_seconds is not None else None
+    try:
+        return _append(
+            source,
+            dataset,
+            task_identifier=task_identifier,
+            reference_column=reference_column,
+            watermarks=watermarks,
+            partitioning=partitioning,
+            upper_bound=upper_bound,
+            prepare=prepare,
+            lineage=lineage,
+            max_rows_per_file=max_rows_per_file,
+            clustered=clustered,
+            versioned=versioned,
+            lease=lease,
+        )
+    finally:
+        if lease is not None:
+            lease.release()
+
+
+def _append(
+    source: DataFrame,
+    dataset: str,
+    *,
+    task_identifier: str,
+    reference_column: str,
+    watermarks: WatermarkTable,
+    partitioning: Partitioning | None,
+    upper_bound: Any,
+    prepare: Callable[[DataFrame], DataFrame] | None,
+    lineage: Mapping[str, str] | None,
+    max_rows_per_file: int | None,
+    clustered: bool,
+    versioned: bool | None,
+    lease: leases.Lease | None,
+) -> LoadResult:
     spark = source.sparkSession
     name = require_column(source.columns, reference_column, "strategy.reference_column")
     known = watermarks.get(task_identifier, name)
@@ -216,6 +258,8 @@ def append_new(
                 rows_dropped_null=staged.rows_dropped_null,
                 files_undone=undone,
             )
+        if lease is not None:
+            lease.confirm()
         granularity = partitioning.granularity if partitioning else None
         version = watermarks.next_version(task_identifier, name)
         if by_versions and known is None:

@@ -86,6 +86,7 @@ def _run(
         watermarks=WatermarkTable(spark, state_root),
         upper_bound=opened.upper_bound,
         prepare=opened.prepare,
+        lease_seconds=target.get("lease_seconds"),
         **options,
     )
 
