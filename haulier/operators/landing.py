@@ -483,6 +483,11 @@ def read_landed(spark: SparkSession, dataset: str, schema: T.StructType | None =
 # ---------------------------------------------------------------- helpers
 
 
+def check_path(dataset: str) -> None:
+    """A dataset is a folder of its own, and no pattern."""
+    _split(dataset)
+
+
 def _split(dataset: str) -> tuple[str, str]:
     folder, _, name = dataset.rstrip("/").rpartition("/")
     if not name:

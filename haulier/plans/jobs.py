@@ -70,6 +70,7 @@ def full_load(
     is committed already, else as the session setting ``spark.haulier.commit`` says. A plain dataset becomes versioned by a full load only.
     """
     spark = source.sparkSession
+    landing.check_path(dataset)
     if versions.wanted(spark, dataset, versioned):
         plain = not versions.is_versioned(spark, dataset)
         with _new_load(spark, dataset) as (load, folder):
@@ -113,6 +114,7 @@ def replace_window(
     future ones, stay as they are, and source rows outside it are never read. ``versioned`` as in :func:`full_load`.
     """
     spark = source.sparkSession
+    landing.check_path(dataset)
     as_of = as_of or datetime.now(timezone.utc).date()
     granularity = partitioning.granularity
     first, end = window_bounds(as_of, granularity, lookback_periods)
@@ -172,6 +174,7 @@ def append_new(
     second one is refused before it writes, and one whose lease is over before it commits.
     """
     spark = source.sparkSession
+    landing.check_path(dataset)
     lease = leases.acquire(spark, watermarks.root, dataset, lease_seconds) if lease_seconds is not None else None
     try:
         return _append(
