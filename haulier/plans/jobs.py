@@ -307,10 +307,12 @@ def _new_load(spark: SparkSession, dataset: str) -> Iterator[tuple[str, str]]:
 def _incremental_versions(spark: SparkSession, dataset: str, versioned: bool | None) -> bool:
     """Whether a replace or append commits by versions; what is already there decides, and telling otherwise is refused."""
     has_versions = versions.is_versioned(spark, dataset)
+    if not has_versions and not versions.wanted(spark, dataset, versioned):
+        return False
     plain = not has_versions and landing.dataset_layout(spark, dataset) is not None
     if (versioned is True and plain) or (versioned is False and has_versions):
         raise LayoutError(f"{dataset} is committed {'by versions' if has_versions else 'by renames'}; run a full load to change that")
-    return has_versions or (not plain and versions.wanted(spark, dataset, versioned))
+    return not plain
 
 
 def new_rows(source: DataFrame, name: str, known: Watermark | None, upper_bound: Any = None) -> DataFrame:
