@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 import zipfile
@@ -35,6 +36,12 @@ def forget(df: DataFrame) -> None:
         Storage(df.sparkSession, path).delete()
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now: its cleaner follows the driver's garbage collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new shared folder for files that tasks write themselves."""
     return f"{scratch_folder(spark, name)}/{uuid.uuid4().hex[:8]}"

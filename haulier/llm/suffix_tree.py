@@ -5,13 +5,14 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, map_arrow, stored, text_or_empty
+from .common import fold, forget, map_arrow, release_shuffles, stored, text_or_empty
 
 #: Longest context in bytes. With the next byte a window is at most 7 bytes and fits a long.
 DEPTH = 6
@@ -23,6 +24,8 @@ PENALTY = 0.5
 DISCOUNT = 0.9
 #: Windows whose probabilities every worker holds, at most: only a short cut, those of all others are joined.
 SLOTS = 1 << 21
+#: The others are joined in so many passes, each over its share of all windows, so that the disk holds the shuffle of one share.
+PASSES = 4
 #: Different windows that a counting task holds before it hands them on, and those scored together.
 HELD, CHUNK = 2_000_000, 250_000
 #: Words whose counts every worker holds; the counts of others are joined.
@@ -76,39 +79,43 @@ def _packed(parts: list[tuple[bytes, int]], depth: int) -> tuple[np.ndarray, np.
 
 
 def window_counts(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(``key``, ``n``, ``seen``): of every window in the texts of ``rows`` its occurrences where ``train`` holds, and in all."""
+    """(``key``, ``n``): every window in the texts of ``rows``, with its occurrences in those where ``train`` holds."""
 
     def count(batches):
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for part in _slices(batch):
                 train = np.array(part.column("train").to_pylist(), dtype=bool)
                 for keys, owner in windows([tokens(t) for t in part.column("text").to_pylist()], depth):
-                    for some, taught in ((keys[train[owner]], 1), (keys[~train[owner]], 0)):
+                    taught = train[owner]
+                    for some, times in ((keys[taught], 1), (keys[~taught], 0)):
                         unique, n = np.unique(some, return_counts=True)
-                        held.append((unique, n * taught, n))
-                if sum(len(keys) for keys, _, _ in held) > 2 * HELD:
+                        held.append((unique, (n * times).astype(np.int32)))
+                if sum(len(keys) for keys, _ in held) > 2 * HELD:
                     held = [_merged(held)]
                     if len(held[0][0]) > HELD:
-                        yield from _counted(held.pop())
+                        yield from _counted(*held.pop())
         if held:
-            yield from _counted(_merged(held))
+            yield from _counted(*_merged(held))
 
-    counted = rows.select("text", "train").transform(map_arrow, count, "key long, n long, seen long")
-    return counted.groupBy("key").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+    counted = rows.select("text", "train").transform(map_arrow, count, "key long, n long")
+    return counted.groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _merged(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    keys, n, seen = (np.concatenate(columns) for columns in zip(*held, strict=True))
+def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, n = (np.concatenate(columns) for columns in zip(*held, strict=True))
+    held.clear()
+    if not len(keys):
+        return keys, n
     order = np.argsort(keys, kind="stable")
-    keys, n, seen = keys[order], n[order], seen[order]
-    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, dtype=np.int64)
-    return (keys[heads], np.add.reduceat(n, heads), np.add.reduceat(seen, heads)) if len(keys) else (keys, n, seen)
+    keys, n = keys[order], n[order]
+    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[heads], np.add.reduceat(n, heads, dtype=np.int64)
 
 
-def _counted(columns: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(columns[0]), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 100_000].astype(np.int64)) for c in columns], names=["key", "n", "seen"])
+def _counted(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(keys), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + 100_000]), pa.array(n[at : at + 100_000].astype(np.int64))], names=["key", "n"])
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -215,16 +222,17 @@ def tree_scores(keys: np.ndarray, n: np.ndarray, base: np.ndarray, depth: int, t
 
 
 def window_scores(rows: DataFrame, *, depth: int = DEPTH, penalty: float = PENALTY) -> DataFrame:
-    """(``key``, ``seen``, ``log_p``) of every window of all texts, under the tree of those where ``train`` holds; a stored table.
+    """(``key``, ``n``, ``log_p``) of every window of all texts, under the tree of those where ``train`` holds; a stored table.
 
     All counts and tests run over all texts, and the test is the same at every size, so the tree grows with the corpus. Windows are dealt out by the last ``TOP`` + 1
     bytes of their contexts: all longer contexts and windows that bear on one of them are then in one task, which goes through them in order.
     """
     top = min(TOP, depth - 1)
     counts = stored(window_counts(rows, depth), "suffix-windows")
+    release_shuffles(rows.sparkSession)
     ends = top_probabilities(counts, top)
     keyed = counts.withColumn("short", F.col("key").bitwiseAND(F.lit(_mask(top)))).join(ends, "short")
-    keyed = keyed.select(F.shiftright("key", 8).bitwiseAND(F.lit(_mask(top))).alias("class"), "key", "n", "seen", "p")
+    keyed = keyed.select(F.shiftright("key", 8).bitwiseAND(F.lit(_mask(top))).alias("class"), "key", "n", "p")
 
     def scored(batches):
         held: list[pa.RecordBatch] = []
@@ -247,20 +255,22 @@ def window_scores(rows: DataFrame, *, depth: int = DEPTH, penalty: float = PENAL
     def _log_p(table: pa.Table) -> Iterator[pa.RecordBatch]:
         keys, n, p = (table.column(c).to_numpy() for c in ("key", "n", "p"))
         log_p, _ = tree_scores(keys, n, p, depth, top, penalty)
-        columns = [keys, table.column("seen").to_numpy(), log_p]
         for at in range(0, len(keys), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 100_000]) for c in columns], names=["key", "seen", "log_p"])
+            yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 100_000]) for c in (keys, n, log_p)], names=["key", "n", "log_p"])
 
     dealt = keyed.repartition("class").sortWithinPartitions("class")
-    return stored(dealt.transform(map_arrow, scored, "key long, seen long, log_p double"), "suffix-probabilities")
+    out = stored(dealt.transform(map_arrow, scored, "key long, n long, log_p double"), "suffix-probabilities")
+    forget(counts)
+    release_shuffles(rows.sparkSession)
+    return out
 
 
 class Slots:
     """Probabilities of frequent windows in a table of slots; of the windows of one slot the most frequent one has it."""
 
-    def __init__(self, keys: np.ndarray, seen: np.ndarray, log_p: np.ndarray, slots: int) -> None:
+    def __init__(self, keys: np.ndarray, n: np.ndarray, log_p: np.ndarray, slots: int) -> None:
         self._shift = np.uint64(64 - max(1, slots - 1).bit_length())
-        order = np.argsort(-seen, kind="stable")
+        order = np.argsort(-n, kind="stable")
         slot, first = np.unique(self._slot(keys[order]), return_index=True)
         self._keys, self._values = np.full(1 << (64 - int(self._shift)), -1, dtype=np.int64), np.zeros(1 << (64 - int(self._shift)))
         self._keys[slot], self._values[slot] = keys[order][first], log_p[order][first]
@@ -276,12 +286,12 @@ class Slots:
 
 
 def frequent_windows(scores: DataFrame, slots: int) -> Slots:
-    """At most ``slots`` of the windows seen most often."""
-    powers = [F.sum((F.col("seen") >= 2**i).cast("long")).alias(f"p{i}") for i in range(50)]
+    """At most ``slots`` of the windows that are most frequent in training."""
+    powers = [F.sum((F.col("n") >= 2**i).cast("long")).alias(f"p{i}") for i in range(50)]
     sizes = scores.agg(*powers).first()
     floor = next((2**i for i in range(50) if (sizes[f"p{i}"] or 0) <= slots), 2**50)
-    table = scores.where(F.col("seen") >= floor).toArrow()
-    return Slots(*(table.column(c).to_numpy() for c in ("key", "seen", "log_p")), slots)
+    table = scores.where(F.col("n") >= floor).toArrow()
+    return Slots(*(table.column(c).to_numpy() for c in ("key", "n", "log_p")), slots)
 
 
 def document_scores(df: DataFrame, *, depth: int = DEPTH) -> DataFrame:
@@ -301,6 +311,7 @@ def document_scores(df: DataFrame, *, depth: int = DEPTH) -> DataFrame:
     scores = window_scores(rows.withColumn("train", ~F.col("held_out")), depth=depth)
     held = spark.sparkContext.broadcast(frequent_windows(scores, SLOTS))
     counts = stored(word_counts(training), "unigrams")
+    release_shuffles(spark)
     powers = [F.sum((F.col("n") >= 2**i).cast("long")).alias(f"p{i}") for i in range(50)]
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("N"), F.count(F.lit(1)).alias("V"), *powers).first()
     all_tokens, kinds = int(sums["N"]), int(sums["V"])
@@ -346,8 +357,11 @@ def document_scores(df: DataFrame, *, depth: int = DEPTH) -> DataFrame:
     others = pairs.join(counts.where(F.col("n") < floor), "word").groupBy("row").agg(
         F.sum("times").alias("more_seen"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_logs")
     )
-    spelled = scored.select("row", F.explode("windows").alias("key")).join(scores.select("key", "log_p"), "key")
-    spelled = spelled.groupBy("row").agg(F.sum("log_p").alias("more_spelled"))
+    # One join after the other, so that the disk holds the shuffles of one of them.
+    others = stored(others, "suffix-words")
+    release_shuffles(spark)
+    parts = [stored(_spelled(scored, scores, part), f"suffix-spelled{part}") for part in range(PASSES)]
+    spelled = reduce(DataFrame.unionByName, parts).groupBy("row").agg(F.sum("more_spelled").alias("more_spelled"))
     out = scored.drop("rare", "windows").join(others, "row", "left").join(spelled, "row", "left")
     return out.select(
         "doc_id",
@@ -358,3 +372,11 @@ def document_scores(df: DataFrame, *, depth: int = DEPTH) -> DataFrame:
         (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(math.log10(all_tokens + kinds + 1))).alias("base_score"),
         ((F.col("spelled") + F.coalesce("more_spelled", F.lit(0.0))) / F.lit(math.log(10))).alias("score"),
     )
+
+
+def _spelled(scored: DataFrame, scores: DataFrame, part: int) -> DataFrame:
+    """(``row``, ``more_spelled``) over one part of the windows that workers do not hold."""
+    release_shuffles(scored.sparkSession)
+    mine = F.pmod(F.xxhash64("key"), F.lit(PASSES)) == part
+    keys = scored.select("row", F.explode("windows").alias("key")).where(mine)
+    return keys.join(scores.select("key", "log_p").where(mine), "key").groupBy("row").agg(F.sum("log_p").alias("more_spelled"))
