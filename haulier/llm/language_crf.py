@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fold, map_arrow, text_or_empty
+from .common import fold, map_arrow, text_or_empty, worker_memory
 
 UNDETERMINED = "und"
 #: Hashed affix and n-gram features; hashed words of the lexicon.
@@ -305,7 +305,7 @@ class Tagger:
         return names, scores
 
 
-_TAGGERS: dict[int, Tagger] = {}
+_TAGGERS: dict[int, Tagger] = worker_memory()
 
 
 def document_languages(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stored, text_or_empty
+from .common import map_arrow, stored, text_or_empty, worker_memory
 from .tokens import MEMORY_PIECES, MEMORY_WORDS, Encoder, PieceModelEncoder, in_slices
 
 #: Pairs of ids whose counts are broadcast, at most; the counts of others are joined.
@@ -132,7 +132,7 @@ class Aligner:
         return out
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
+_ALIGNERS: dict[tuple[str, str], Aligner] = worker_memory()
 
 
 def _aligner(a_path: str, b_path: str) -> Aligner:
