@@ -5,6 +5,8 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +31,20 @@ MEMORY_WORDS = 600_000
 SEED = 5
 
 
+_MARKS = "\"'.,;:!?()[]{}*%$#&-_0123456789"
+
+
 def words_of(text: str) -> list[str]:
     """Lower-case words that hold a letter, without the marks around them."""
-    out = []
-    for word in text.lower().split():
-        word = word if word.isalpha() else word.strip("\"'.,;:!?()[]{}*%$#&-_0123456789")
-        if word.isalpha() or any(map(str.isalpha, word)):
-            out.append(word)
-    return out
+    return list(filter(None, map(_bare, text.lower().split())))
+
+
+def _bare(word: str) -> str:
+    """The word without the marks around it; empty if it holds no letter."""
+    if word.isalpha():
+        return word
+    word = word.strip(_MARKS)
+    return word if word.isalpha() or any(map(str.isalpha, word)) else ""
 
 
 def _hash(kind: str, text: str, size: int) -> int:
@@ -47,25 +55,32 @@ def lexicon_bucket(word: str) -> int:
     return _hash("w", word, LEXICON)
 
 
-#: Buckets of the beginnings, endings and n-grams met so far; these are few, however many words there are.
-_CODES: dict[str, int] = {}
-_MOST_CODES = 300_000
+class _Codes(dict):
+    """Buckets of the beginnings, endings or n-grams met so far; these are few, however many words there are."""
+
+    def __init__(self, kind: str) -> None:
+        self._kind = kind
+
+    def __missing__(self, key: str) -> int:
+        if len(self) > _MOST_CODES:
+            self.clear()
+        self[key] = code = _hash("f", self._kind + key, BUCKETS)
+        return code
+
+
+_MOST_CODES = 100_000
+_BEGINNINGS, _ENDINGS, _GRAMS = _Codes("p"), _Codes("s"), _Codes("g")
 
 
 def features(word: str) -> list[int]:
     """Buckets of the beginnings, endings and letter n-grams of a whole word, however long (each one once)."""
-    marked, length = f"^{word}$", len(word)
-    keys = ["p" + word[:n] for n in AFFIXES if n <= length] + ["s" + word[-n:] for n in AFFIXES if n <= length]
-    for n in GRAMS:
-        keys += ["g" + marked[i : i + n] for i in range(len(marked) - n + 1)]
-    codes = set(map(_CODES.get, keys))
-    if None in codes:
-        if len(_CODES) > _MOST_CODES:
-            _CODES.clear()
-        for key in keys:
-            if key not in _CODES:
-                _CODES[key] = _hash("f", key, BUCKETS)
-        codes = {_CODES[key] for key in keys}
+    grams, marked, length = f"^{word}$", f"^{word}$", len(word)
+    codes = {_BEGINNINGS[word[:n]] for n in AFFIXES if n <= length}
+    codes.update([_ENDINGS[word[-n:]] for n in AFFIXES if n <= length])
+    for n in range(2, max(GRAMS) + 1):
+        grams = list(map(add, grams, marked[n - 1 :]))
+        if n in GRAMS:
+            codes.update(map(_GRAMS.__getitem__, grams))
     return list(codes)
 
 
@@ -82,9 +97,8 @@ class Field:
 
     def emissions(self, words: list[str]) -> np.ndarray:
         lists = [features(w) for w in words]
-        flat = np.array([f for x in lists for f in x], dtype=np.int64)
         begins = np.cumsum([0] + [len(x) for x in lists[:-1]])
-        sums = np.add.reduceat(self.weights[flat], begins, axis=0)
+        sums = np.add.reduceat(self.weights[np.fromiter(chain.from_iterable(lists), dtype=np.int64)], begins, axis=0)
         return sums + self.lexicon[[lexicon_bucket(w) for w in words]] @ self.lexicon_weights
 
 
@@ -261,45 +275,58 @@ class Tagger:
     """Labels texts in a worker; remembers the emissions of words already seen."""
 
     def __init__(self, field: Field) -> None:
-        self._field, self._ids, self._used = field, {}, 0
+        # Row of each word as it stands in a text, marks and all; -1 if it holds no letter. Words alike but for their marks share a row.
+        self._field, self._ids, self._bare, self._used = field, {}, {}, 0
         self._table = np.zeros((1024, len(field.languages)))
 
     def _rows(self, words: list[str]) -> np.ndarray:
-        get = self._ids.get
-        known = list(map(get, words))
-        if None in known:
-            fresh = list({w for w, k in zip(words, known, strict=True) if k is None})
-            if self._used + len(fresh) > MEMORY_WORDS:
+        """Rows of the table for words as they stand in the texts."""
+        fresh = set(words).difference(self._ids)
+        if fresh:
+            if len(self._ids) + len(fresh) > MEMORY_WORDS:
                 self._ids.clear()
-                self._used = 0
-                fresh = list(set(words))
-            while self._used + len(fresh) > len(self._table):
+                self._bare.clear()
+                self._used, fresh = 0, set(words)
+            bare = {word: _bare(word) for word in fresh}
+            new = list(set(bare.values()).difference(self._bare, ("",)))
+            while self._used + len(new) > len(self._table):
                 self._table = np.concatenate([self._table, np.zeros_like(self._table)])
-            self._table[self._used : self._used + len(fresh)] = self._field.emissions(fresh)
-            self._ids.update(zip(fresh, range(self._used, self._used + len(fresh)), strict=True))
-            self._used += len(fresh)
-            known = list(map(get, words))
-        return self._table[known]
+            for at in range(0, len(new), 4096):
+                some = new[at : at + 4096]
+                self._table[self._used : self._used + len(some)] = self._field.emissions(some)
+                self._bare.update(zip(some, range(self._used, self._used + len(some)), strict=True))
+                self._used += len(some)
+            self._bare[""] = -1
+            self._ids.update(zip(bare, map(self._bare.__getitem__, bare.values()), strict=True))
+        return np.fromiter(map(self._ids.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def _marginals(self, texts: list[str]) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
+        """(words as they stand in each text, how many of them have letters), and label probabilities of these."""
+        split = [text.lower().split() for text in texts]
+        rows = self._rows(list(chain.from_iterable(split)))
+        before = np.concatenate([[0], np.cumsum(rows >= 0)])
+        sizes = np.diff(before[np.cumsum([0] + [len(words) for words in split])])
+        p = self._table[rows[rows >= 0]]
+        filled = sizes > 0
+        if filled.any():
+            starts = np.cumsum(sizes) - sizes
+            p = marginals(p, starts[filled], sizes[filled], self._field.transitions, self._field.start)
+        return split, sizes, p
 
     def words(self, texts: list[str]) -> list[tuple[list[str], np.ndarray]]:
         """(words, label probabilities) of every text."""
-        split = [words_of(text) for text in texts]
-        sizes = np.array([len(w) for w in split], dtype=np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-        width = len(self._field.languages)
-        emissions = np.concatenate([self._rows(w) if w else np.empty((0, width)) for w in split])
-        filled = sizes > 0
-        if filled.any():
-            emissions = marginals(emissions, starts[filled], sizes[filled], self._field.transitions, self._field.start)
-        return [(w, emissions[s : s + n]) for w, s, n in zip(split, starts, sizes, strict=True)]
+        split, sizes, p = self._marginals(texts)
+        starts = np.cumsum(sizes) - sizes
+        return [(list(filter(None, map(_bare, words))), p[s : s + n]) for words, s, n in zip(split, starts, sizes, strict=True)]
 
     def texts(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """(language, score): the label with the highest mean probability over the words, and that mean."""
         if not self._field.languages:
             return [UNDETERMINED] * len(texts), [0.0] * len(texts)
         names, scores = [], []
-        for words, p in self.words(texts):
-            mean = p.mean(axis=0) if words else None
+        _, sizes, p = self._marginals(texts)
+        for end, size in zip(np.cumsum(sizes).tolist(), sizes.tolist(), strict=True):
+            mean = p[end - size : end].mean(axis=0) if size else None
             names.append(UNDETERMINED if mean is None else self._field.languages[int(mean.argmax())])
             scores.append(0.0 if mean is None else float(min(1.0, mean.max())))
         return names, scores
@@ -336,7 +363,7 @@ def document_languages(df: DataFrame) -> DataFrame:
     return rows.transform(map_arrow, label, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def _slices(batch: pa.RecordBatch, rows: int = 1024, size: int = 6 << 20):
+def _slices(batch: pa.RecordBatch, rows: int = 4096, size: int = 8 << 20):
     """Slices of at most ``rows`` rows and, beyond one row, about ``size`` bytes of text."""
     lengths = np.array([len(x) for x in batch.column("text").to_pylist()], dtype=np.int64)
     begin = 0
