@@ -6,6 +6,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain, filterfalse, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -294,6 +295,16 @@ def frequent_windows(scores: DataFrame, slots: int) -> Slots:
     return Slots(*(table.column(c).to_numpy() for c in ("key", "n", "log_p")), slots)
 
 
+def looked_up(words: list[list[bytes]], counts: dict[bytes, int]) -> tuple[np.ndarray, pa.Array]:
+    """The counts of all words in a row (0 where ``counts`` has none), and of each text its words that are not in ``counts``, with how often it has them."""
+    n = np.fromiter(map(counts.get, chain.from_iterable(words), repeat(0)), dtype=np.float64)
+    rare = [Counter(filterfalse(counts.__contains__, text)) for text in words]
+    ends = np.cumsum([0, *map(len, rare)]).astype(np.int32)
+    word, times = list(chain.from_iterable(rare)), list(chain.from_iterable(c.values() for c in rare))
+    pairs = pa.StructArray.from_arrays([pa.array(word, pa.binary()), pa.array(times, pa.int64())], names=["word", "times"])
+    return n, pa.ListArray.from_arrays(pa.array(ends), pairs)
+
+
 def document_scores(df: DataFrame, *, depth: int = DEPTH) -> DataFrame:
     """Log probabilities of all texts under a model of those outside the held-out fold (crc32 of the id modulo 7 is 2).
 
@@ -334,18 +345,15 @@ def document_scores(df: DataFrame, *, depth: int = DEPTH) -> DataFrame:
                 at = np.searchsorted(np.concatenate(owners), np.arange(len(words) + 1))
                 others = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(np.concatenate(others)))
                 words = [[*text, END] for text in words]
-                n = np.array([counts_of.get(w, 0) for text in words for w in text], dtype=np.float64)
+                n, rare = looked_up(words, counts_of)
                 sizes = np.array([len(text) for text in words])
                 starts = np.cumsum(sizes) - sizes
                 seen = np.add.reduceat((n > 0).astype(np.int64), starts)
                 logs = np.add.reduceat(np.log10(n + 1), starts)
-                rare = [Counter(w for w in text if w not in counts_of) for text in words]
-                pairs = [[{"word": w, "times": n} for w, n in c.items()] for c in rare]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(sizes, pa.int64()), pa.array(seen, pa.int64()),
-                        pa.array(logs, pa.float64()), pa.array(spelled), others,
-                        pa.array(pairs, pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))),
+                        pa.array(logs, pa.float64()), pa.array(spelled), others, rare,
                     ],
                     names=["row", "doc_id", "held_out", "n_tokens", "seen", "logs", "spelled", "windows", "rare"],
                 )
