@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
-from itertools import chain, filterfalse, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold, forget, map_arrow, release_shuffles, stored, text_or_empty
@@ -25,10 +25,14 @@ PENALTY = 0.5
 DISCOUNT = 0.9
 #: Windows whose probabilities every worker holds, at most: only a short cut, those of all others are joined.
 SLOTS = 1 << 21
+#: Odd factors whose products with a window scatter it over the tables of slots.
+MIXERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 #: The others are joined in so many passes, each over its share of all windows, so that the disk holds the shuffle of one share.
 PASSES = 4
 #: Different windows that a counting task holds before it hands them on, and those scored together.
 HELD, CHUNK = 2_000_000, 250_000
+#: Windows looked up at a time, few enough to stay in a processor's own cache.
+LOOK_UP = 1 << 16
 #: Words whose counts every worker holds; the counts of others are joined.
 FREQUENT = 200_000
 SLICE = 2 << 20
@@ -42,22 +46,40 @@ def tokens(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
+def spelled_words(texts: pa.Array) -> tuple[list[bytes], pa.ListArray]:
+    """Every text as its words, each with a space behind it, and a line end; and the :func:`tokens` of every text with the end, as numbers of different words."""
+    plain = pc.ascii_trim_whitespace(pc.ascii_lower(texts.cast(pa.string())))
+    words = pc.ascii_split_whitespace(pc.if_else(pc.equal(plain, ""), None, plain))
+    bodies = pc.binary_join_element_wise(pc.binary_join(words, " "), END.decode(), " ", null_handling="skip")
+    coded = words.flatten().cast(pa.binary()).dictionary_encode()
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False))
+    codes = np.insert(coded.indices.to_numpy(), ends, len(coded.dictionary)).astype(np.int32)
+    kinds = pa.concat_arrays([coded.dictionary, pa.array([END], pa.binary())])
+    starts = pa.array(np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]).astype(np.int32))
+    return bodies.cast(pa.binary()).to_pylist(), pa.ListArray.from_arrays(starts, pa.DictionaryArray.from_arrays(pa.array(codes), kinds))
+
+
 def windows(words: list[list[bytes]], depth: int = DEPTH, size: int = SLICE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The :func:`text_windows` of texts given as their words."""
+    yield from text_windows((b" ".join([*text, END]) for text in words), depth, size)
+
+
+def text_windows(bodies: Iterable[bytes], depth: int = DEPTH, size: int = SLICE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(windows, text number) of every byte of the texts, in slices of about ``size`` bytes.
 
     A text is its words, each with a space behind it, and a line end; a line end stands before it too. A window holds the byte in
     its lowest place and the ``depth`` bytes before it above; places before the text are zero.
     """
     head = b"\0" * (depth - 1) + END
-    parts: list[tuple[bytes, int]] = []
+    parts: list[tuple[bytes, bytes, int]] = []
     held = 0
-    for number, text in enumerate(words):
-        body = b" ".join([*text, END])
+    for number, body in enumerate(bodies):
         front = head
         for at in range(0, len(body), size):  # a very long text goes on with its last bytes in front
-            parts.append((front + body[at : at + size], number))
-            held += len(parts[-1][0])
-            front = (head + body[: at + size])[-depth:]
+            part = body[at : at + size]
+            parts.append((front, part, number))
+            held += depth + len(part)
+            front = (front + part[-depth:])[-depth:]
             if held >= size:
                 yield _packed(parts, depth)
                 parts, held = [], 0
@@ -65,18 +87,15 @@ def windows(words: list[list[bytes]], depth: int = DEPTH, size: int = SLICE) ->
         yield _packed(parts, depth)
 
 
-def _packed(parts: list[tuple[bytes, int]], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(b"".join(part for part, _ in parts), dtype=np.uint8)
-    sizes = np.array([len(part) for part, _ in parts])
-    keys = np.zeros(len(raw), dtype=np.int64)
-    for back in range(depth + 1):
-        keys[back:] |= raw[: len(raw) - back].astype(np.int64) << (8 * back)
-    starts = np.cumsum(sizes) - sizes
-    real = np.ones(len(raw), dtype=bool)
-    for k in range(depth):
-        real[starts + k] = False
-    owner = np.repeat(np.array([number for _, number in parts]), sizes)
-    return keys[real], owner[real]
+def _packed(parts: list[tuple[bytes, bytes, int]], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = b"".join([bytes(8), *chain.from_iterable((front, part) for front, part, _ in parts)])
+    # The eight bytes up to every byte, read as one number at once; a window is the lowest of them.
+    keys = np.ndarray(len(raw) - 8, dtype=">i8", buffer=raw, offset=1, strides=(1,)).astype(np.int64)
+    keys &= _mask(depth)
+    sizes = np.array([len(part) for _, part, _ in parts])
+    ends = np.cumsum(sizes + depth)
+    keys = np.concatenate([keys[end - size : end] for size, end in zip(sizes.tolist(), ends.tolist(), strict=True)])
+    return keys, np.repeat(np.array([number for _, _, number in parts]), sizes)
 
 
 def window_counts(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -86,11 +105,9 @@ def window_counts(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for part in _slices(batch):
-                train = np.array(part.column("train").to_pylist(), dtype=bool)
-                for keys, owner in windows([tokens(t) for t in part.column("text").to_pylist()], depth):
-                    taught = train[owner]
-                    for some, times in ((keys[taught], 1), (keys[~taught], 0)):
-                        unique, n = np.unique(some, return_counts=True)
+                for texts, times in ((part.filter(part.column("train")), 1), (part.filter(pc.invert(part.column("train"))), 0)):
+                    for keys, _ in text_windows(spelled_words(texts.column("text"))[0], depth):
+                        unique, n = np.unique(keys, return_counts=True)
                         held.append((unique, (n * times).astype(np.int32)))
                 if sum(len(keys) for keys, _ in held) > 2 * HELD:
                     held = [_merged(held)]
@@ -123,24 +140,26 @@ def word_counts(rows: DataFrame) -> DataFrame:
     """(``word``, ``n``): occurrences of every token in all texts of ``rows``; the end is the token of one line end."""
 
     def count(batches):
-        held: Counter = Counter()
+        held: list[pa.Table] = []
         for batch in batches:
             for part in _slices(batch):
-                for text in part.column("text").to_pylist():
-                    held.update(tokens(text))
-                    held[END] += 1
-                    if len(held) >= MEMORY_WORDS:
-                        yield from _words(held)
-                        held = Counter()
-        yield from _words(held)
+                held.append(_sums(spelled_words(part.column("text"))[1].flatten().value_counts()))
+                if sum(map(len, held)) > 2 * MEMORY_WORDS:
+                    held = [_summed(held)]
+                    if len(held[0]) > MEMORY_WORDS:
+                        yield from held.pop().to_batches(50_000)
+        if held:
+            yield from _summed(held).to_batches(50_000)
 
     return rows.select("text").transform(map_arrow, count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _words(held: Counter) -> Iterator[pa.RecordBatch]:
-    words, counts = list(held), list(held.values())
-    for at in range(0, len(words), 50_000):
-        yield pa.RecordBatch.from_arrays([pa.array(words[at : at + 50_000], pa.binary()), pa.array(counts[at : at + 50_000], pa.int64())], names=["word", "n"])
+def _sums(counts: pa.StructArray) -> pa.Table:
+    return pa.table({"word": counts.field("values").dictionary_decode(), "n": counts.field("counts")})
+
+
+def _summed(held: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
 
 
 def _slices(batch: pa.RecordBatch, rows: int = 512):
@@ -267,42 +286,83 @@ def window_scores(rows: DataFrame, *, depth: int = DEPTH, penalty: float = PENAL
 
 
 class Slots:
-    """Probabilities of frequent windows in a table of slots; of the windows of one slot the most frequent one has it."""
+    """Probabilities of windows in tables of slots. Of the windows of one slot the most frequent one has it, the others go on to a table half as large
+    under another hash, so that none is lost and nearly every look-up ends in the first table."""
 
     def __init__(self, keys: np.ndarray, n: np.ndarray, log_p: np.ndarray, slots: int) -> None:
-        self._shift = np.uint64(64 - max(1, slots - 1).bit_length())
+        self._tables: list[tuple[np.uint64, np.uint64, np.ndarray]] = []
         order = np.argsort(-n, kind="stable")
-        slot, first = np.unique(self._slot(keys[order]), return_index=True)
-        self._keys, self._values = np.full(1 << (64 - int(self._shift)), -1, dtype=np.int64), np.zeros(1 << (64 - int(self._shift)))
-        self._keys[slot], self._values[slot] = keys[order][first], log_p[order][first]
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self._shift).view(np.int64)
+        keys, log_p = keys[order], log_p[order]
+        bits = max(1, slots - 1).bit_length()
+        while len(keys) or not self._tables:
+            factor, shift = np.uint64(MIXERS[len(self._tables) % len(MIXERS)]), np.uint64(64 - bits)
+            slot, first = np.unique(_slot(keys, factor, shift), return_index=True)
+            pairs = np.full((1 << bits, 2), -1, dtype=np.int64)
+            pairs[slot, 0], pairs[slot, 1] = keys[first], log_p[first].view(np.int64)
+            self._tables.append((factor, shift, pairs.view(np.complex128)[:, 0]))  # window and value of a slot are read as one number
+            rest = np.ones(len(keys), dtype=bool)
+            rest[first] = False
+            keys, log_p = keys[rest], log_p[rest]
+            bits = max(bits - 1, len(keys).bit_length(), 1)
 
     def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(values, which are known); the value of an unknown window is 0."""
-        slot = self._slot(keys)
-        known = self._keys[slot] == keys
-        return np.where(known, self._values[slot], 0.0), known
-
-
-def frequent_windows(scores: DataFrame, slots: int) -> Slots:
-    """At most ``slots`` of the windows that are most frequent in training."""
-    powers = [F.sum((F.col("n") >= 2**i).cast("long")).alias(f"p{i}") for i in range(50)]
-    sizes = scores.agg(*powers).first()
-    floor = next((2**i for i in range(50) if (sizes[f"p{i}"] or 0) <= slots), 2**50)
-    table = scores.where(F.col("n") >= floor).toArrow()
-    return Slots(*(table.column(c).to_numpy() for c in ("key", "n", "log_p")), slots)
-
-
-def looked_up(words: list[list[bytes]], counts: dict[bytes, int]) -> tuple[np.ndarray, pa.Array]:
-    """The counts of all words in a row (0 where ``counts`` has none), and of each text its words that are not in ``counts``, with how often it has them."""
-    n = np.fromiter(map(counts.get, chain.from_iterable(words), repeat(0)), dtype=np.float64)
-    rare = [Counter(filterfalse(counts.__contains__, text)) for text in words]
-    ends = np.cumsum([0, *map(len, rare)]).astype(np.int32)
-    word, times = list(chain.from_iterable(rare)), list(chain.from_iterable(c.values() for c in rare))
-    pairs = pa.StructArray.from_arrays([pa.array(word, pa.binary()), pa.array(times, pa.int64())], names=["word", "times"])
-    return n, pa.ListArray.from_arrays(pa.array(ends), pairs)
+        out, known = np.empty(len(keys)), np.empty(len(keys), dtype=bool)
+        for at in range(0, len(keys), LOOK_UP):
+            part = slice(at, at + LOOK_UP)
+            out[part], known[part] = self._in_table(0, keys[part])
+        left = np.flatnonzero(~known)
+        for number in range(1, len(self._tables)):
+            values, hit = self._in_table(number, keys[left])
+            out[left], known[left] = values, hit
+            left = left[~hit]
+        return out, known
+
+    def _in_table(self, number: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        factor, shift, slots = self._tables[number]
+        pairs = slots[_slot(keys, factor, shift)].view(np.int64).reshape(-1, 2)
+        hit = pairs[:, 0] == keys
+        return np.where(hit, pairs[:, 1].view(np.float64), 0.0), hit
+
+
+def _slot(keys: np.ndarray, factor: np.uint64, shift: np.uint64) -> np.ndarray:
+    return ((keys.view(np.uint64) * factor) >> shift).view(np.int64)
+
+
+def frequency(column: str = "n") -> Column:
+    """Steps of counts that grow by a sixteenth power of two; -1 if a count is 0."""
+    return F.when(F.col(column) > 0, F.floor(F.log2(column) * 16).cast("int")).otherwise(F.lit(-1))
+
+
+def least_frequency(counts: DataFrame, most: int) -> int:
+    """The least step of :func:`frequency` that at most ``most`` rows of ``counts`` reach; 0 at least."""
+    sizes = dict(counts.groupBy(frequency().alias("step")).agg(F.count(F.lit(1)).alias("size")).collect())
+    rows = 0
+    least = max([0, *(step + 1 for step in sizes)])
+    for step in sorted((step for step in sizes if step >= 0), reverse=True):
+        rows += sizes[step]
+        if rows > most:
+            return least
+        least = step
+    return 0
+
+
+def looked_up(words: pa.ListArray | list[list[bytes]], counts: tuple[pa.Array, np.ndarray] | dict[bytes, int]) -> tuple[np.ndarray, pa.Array]:
+    """The counts of all words in a row (0 where ``counts``, words and their numbers, has none), and of each text its words that are not in ``counts``, with
+    how often it has them."""
+    if isinstance(words, list):
+        words = pa.array(words, pa.list_(pa.binary()))
+    known, numbers = (pa.array(counts, pa.binary()), np.array([*counts.values()])) if isinstance(counts, dict) else counts
+    coded = words.flatten()
+    coded = coded if pa.types.is_dictionary(coded.type) else coded.dictionary_encode()
+    kinds, codes = len(coded.dictionary), coded.indices.to_numpy()
+    n = np.append(numbers, 0)[pc.index_in(coded.dictionary, value_set=known).fill_null(len(numbers)).to_numpy()][codes].astype(np.float64)
+    new = np.flatnonzero(n == 0)
+    owner = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy())
+    pairs, times = np.unique(owner[new] * kinds + codes[new], return_counts=True)
+    word = coded.dictionary.take(pa.array(pairs % max(kinds, 1)))
+    ends = np.searchsorted(pairs, np.arange(len(words) + 1) * kinds).astype(np.int32)
+    return n, pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([word, pa.array(times, pa.int64())], names=["word", "times"]))
 
 
 def document_scores(df: DataFrame, *, depth: int = DEPTH) -> DataFrame:
@@ -320,34 +380,35 @@ def document_scores(df: DataFrame, *, depth: int = DEPTH) -> DataFrame:
     )
     training = rows.where(~F.col("held_out"))
     scores = window_scores(rows.withColumn("train", ~F.col("held_out")), depth=depth)
-    held = spark.sparkContext.broadcast(frequent_windows(scores, SLOTS))
+    floor = least_frequency(scores, SLOTS)
+    top = scores.where(frequency() >= floor).toArrow()
+    held = spark.sparkContext.broadcast(Slots(*(top.column(c).to_numpy() for c in ("key", "n", "log_p")), SLOTS))
+    del top
+    rest = scores.where(frequency() < floor)
     counts = stored(word_counts(training), "unigrams")
     release_shuffles(spark)
-    powers = [F.sum((F.col("n") >= 2**i).cast("long")).alias(f"p{i}") for i in range(50)]
-    sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("N"), F.count(F.lit(1)).alias("V"), *powers).first()
+    sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("N"), F.count(F.lit(1)).alias("V")).first()
     all_tokens, kinds = int(sums["N"]), int(sums["V"])
-    floor = next((2**i for i in range(50) if (sums[f"p{i}"] or 0) <= FREQUENT), 2**50)
-    frequent = counts.where(F.col("n") >= floor).toArrow()
-    known = dict(zip(frequent.column("word").to_pylist(), frequent.column("n").to_pylist(), strict=True))
-    known = spark.sparkContext.broadcast(known)
+    common = least_frequency(counts, FREQUENT)
+    frequent = counts.where(frequency() >= common).toArrow()
+    known = spark.sparkContext.broadcast((frequent.column("word").combine_chunks(), frequent.column("n").to_numpy()))
 
     def score(batches):
         counts_of = known.value
         for batch in batches:
             for part in _slices(batch):
-                words = [tokens(t) for t in part.column("text").to_pylist()]
-                spelled, others, owners = np.zeros(len(words)), [], []
-                for keys, owner in windows(words, depth):
+                bodies, words = spelled_words(part.column("text"))
+                spelled, others, owners = np.zeros(len(bodies)), [], []
+                for keys, owner in text_windows(bodies, depth):
                     values, found = held.value.look_up(keys)
-                    spelled += np.bincount(owner, values, len(words))
+                    spelled += np.bincount(owner, values, len(bodies))
                     others.append(keys[~found])
                     owners.append(owner[~found])
-                at = np.searchsorted(np.concatenate(owners), np.arange(len(words) + 1))
+                at = np.searchsorted(np.concatenate(owners), np.arange(len(bodies) + 1))
                 others = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(np.concatenate(others)))
-                words = [[*text, END] for text in words]
                 n, rare = looked_up(words, counts_of)
-                sizes = np.array([len(text) for text in words])
-                starts = np.cumsum(sizes) - sizes
+                starts = words.offsets.to_numpy()
+                sizes, starts = np.diff(starts), starts[:-1]
                 seen = np.add.reduceat((n > 0).astype(np.int64), starts)
                 logs = np.add.reduceat(np.log10(n + 1), starts)
                 yield pa.RecordBatch.from_arrays(
@@ -362,13 +423,13 @@ def document_scores(df: DataFrame, *, depth: int = DEPTH) -> DataFrame:
     # Row numbers tell repeated rows apart; they are written down with the rows before they are used.
     scored = stored(rows.withColumn("row", F.monotonically_increasing_id()).transform(map_arrow, score, schema), "suffix-scores")
     pairs = scored.select("row", F.inline("rare"))
-    others = pairs.join(counts.where(F.col("n") < floor), "word").groupBy("row").agg(
+    others = pairs.join(counts.where(frequency() < common), "word").groupBy("row").agg(
         F.sum("times").alias("more_seen"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_logs")
     )
     # One join after the other, so that the disk holds the shuffles of one of them.
     others = stored(others, "suffix-words")
     release_shuffles(spark)
-    parts = [stored(_spelled(scored, scores, part), f"suffix-spelled{part}") for part in range(PASSES)]
+    parts = [stored(_spelled(scored, rest, part), f"suffix-spelled{part}") for part in range(PASSES)]
     spelled = reduce(DataFrame.unionByName, parts).groupBy("row").agg(F.sum("more_spelled").alias("more_spelled"))
     out = scored.drop("rare", "windows").join(others, "row", "left").join(spelled, "row", "left")
     return out.select(
