@@ -35,7 +35,8 @@ HELD, CHUNK = 2_000_000, 250_000
 LOOK_UP = 1 << 16
 #: Words whose counts every worker holds; the counts of others are joined.
 FREQUENT = 200_000
-SLICE = 2 << 20
+#: Bytes of text whose windows are counted, and scored, at a time.
+SLICE, SCORED = 2 << 20, 256 << 10
 MEMORY_WORDS = 300_000
 FOLDS, HELD_OUT = 7, 2
 END = b"\n"
@@ -399,7 +400,7 @@ def document_scores(df: DataFrame, *, depth: int = DEPTH) -> DataFrame:
             for part in _slices(batch):
                 bodies, words = spelled_words(part.column("text"))
                 spelled, others, owners = np.zeros(len(bodies)), [], []
-                for keys, owner in text_windows(bodies, depth):
+                for keys, owner in text_windows(bodies, depth, SCORED):
                     values, found = held.value.look_up(keys)
                     spelled += np.bincount(owner, values, len(bodies))
                     others.append(keys[~found])
